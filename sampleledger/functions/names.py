@@ -30,22 +30,17 @@ def _or_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def name_parts(file: Column, mode: str = "disk") -> Column:
-    """The (seqprep, well, suffix) array of an artefact name, NULL when the name does not parse.
-
-    One regex pass gives all three parts.
-    """
-    marked = F.regexp_replace(file, _NAME_MODES[mode], _NUL.join(("$1", "$2", "$3")))
-    parts = F.split(marked, _NUL)
-    return F.when(F.size(parts) == 3, parts)
-
-
 def with_name_parts(listing: DataFrame, file: str = "file", mode: str = "disk") -> DataFrame:
-    """Add ``seqprep``, ``s_well`` and ``suffix`` parsed from the file name."""
+    """Add ``seqprep``, ``s_well`` and ``suffix`` parsed from the file name, NULL when it does not
+    parse. One regex pass gives all three: it leaves the parts with NULs between them."""
+    marked = F.regexp_replace(file, _NAME_MODES[mode], _NUL.join(("$1", "$2", "$3")))
     parts = F.col("_parts")
+    parsed = F.size(parts) == 3
     return (
-        listing.withColumn("_parts", name_parts(F.col(file), mode))
-        .withColumns({"seqprep": parts[0], "s_well": parts[1], "suffix": parts[2]})
+        listing.withColumn("_parts", F.split(marked, _NUL))
+        .withColumns(
+            {name: F.when(parsed, parts[i]) for i, name in enumerate(("seqprep", "s_well", "suffix"))}
+        )
         .drop("_parts")
     )
 
