@@ -1,0 +1,179 @@
+"""Sample manifest, stage plan and abundance queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sampleledger.catalog.registry import query
+from sampleledger.fixed import EXPECTED_ARTEFACTS, FUNCTION_VERSION_TAG, PROFILE_DATABASE
+from sampleledger.plans import abundance, manifests
+
+_RAW = r"""
+SELECT s.sample, max(f.path) FILTER (WHERE regexp_matches(f.file, '_1\.(fastq|fq)(\.gz)?$', 'i')) AS paired_1,
+  max(f.path) FILTER (WHERE regexp_matches(f.file, '_2\.(fastq|fq)(\.gz)?$', 'i')) AS paired_2,
+  max(f.path) FILTER (WHERE NOT regexp_matches(f.file, '_[12]\.(fastq|fq)(\.gz)?$', 'i')) AS unpaired,
+  count(f.path) FILTER (WHERE regexp_matches(f.file, '_1\.(fastq|fq)(\.gz)?$', 'i')) AS n_1
+FROM fx_samples s LEFT JOIN fx_raw f ON regexp_extract(f.file, '^[A-Za-z0-9]*') = s.sample GROUP BY s.sample"""
+
+
+@query("m01_raw_inputs", f"""
+SELECT sample, paired_1, paired_2, unpaired, CASE WHEN n_1 > 1 THEN 'duplicate' WHEN (paired_1 IS NULL) <> (paired_2 IS NULL) THEN 'single_mate'
+  WHEN paired_1 IS NULL AND unpaired IS NULL THEN 'none' ELSE 'ok' END AS status FROM ({_RAW}) AS r""")
+def _(inputs):
+    return manifests.raw_inputs(inputs["fx_raw"], inputs["fx_samples"]).select(
+        "sample", *manifests.RAW_ROLES, "status"
+    )
+
+
+@query("m02_pairing", f"""
+SELECT sample, paired_1 IS NOT NULL AND paired_2 IS NOT NULL AS has_pair, unpaired IS NOT NULL AS has_orphan FROM ({_RAW}) AS r""")
+def _(inputs):
+    manifest = manifests.raw_inputs(inputs["fx_raw"], inputs["fx_samples"])
+    return manifests.pairing(manifest).select("sample", "has_pair", "has_orphan")
+
+
+def _role(pattern: str, extra: str = "") -> str:
+    return rf"regexp_matches(f.file, '_kneaddata.*{pattern}.*\.(fastq|fq)(\.gz)?$', 'i'){extra}"
+
+
+_ROLES = {
+    "paired_1": _role("paired_1"),
+    "paired_2": _role("paired_2"),
+    "unmatched_1": _role("unmatched_1"),
+    "unmatched_2": _role("unmatched_2"),
+    "single": _role("_single", " AND NOT regexp_matches(f.file, '(paired|unmatched)_[12]')"),
+}
+_CLEANED = f"""
+SELECT s.sample, {', '.join(f'max(f.path) FILTER (WHERE {c}) AS {r}, count(f.path) FILTER (WHERE {c}) AS n_{r}' for r, c in _ROLES.items())}
+FROM fx_samples s LEFT JOIN fx_cleaned f ON regexp_extract(f.file, '^[A-Za-z0-9]*') = s.sample GROUP BY s.sample"""
+_CLEANED_STATUS = f"""
+SELECT *, CASE WHEN greatest({', '.join(f'n_{r}' for r in _ROLES)}) > 1 THEN 'duplicate' WHEN (paired_1 IS NULL) <> (paired_2 IS NULL) THEN 'single_mate' ELSE 'ok' END AS status
+FROM ({_CLEANED}) AS c"""
+
+
+@query("m03_cleaned_outputs", f"SELECT sample, {', '.join(_ROLES)}, status FROM ({_CLEANED_STATUS}) AS m")
+def _(inputs):
+    return manifests.cleaned_outputs(inputs["fx_cleaned"], inputs["fx_samples"]).select(
+        "sample", *manifests.CLEANED_ROLES, "status"
+    )
+
+
+@query("m04_concat_plan", f"""
+SELECT sample, '/m/' || sample || '.joined.fastq.gz' AS target, concat_ws(' ', {', '.join(_ROLES)}) AS inputs,
+  CASE WHEN status <> 'ok' OR coalesce({', '.join(_ROLES)}) IS NULL THEN 'error'
+    WHEN sample || '.joined.fastq.gz' IN (SELECT file FROM fx_runs) THEN 'skip' ELSE 'concat' END AS action
+FROM ({_CLEANED_STATUS}) AS m""")
+def _(inputs):
+    cleaned = manifests.cleaned_outputs(inputs["fx_cleaned"], inputs["fx_samples"])
+    existing = inputs["fx_runs"].select(F.concat(F.lit("/m/"), "file").alias("path"))
+    plan = manifests.concat_plan(cleaned, existing, "/m")
+    return plan.withColumn("inputs", F.concat_ws(" ", "inputs"))
+
+
+@query("m05_cleanup_plan", """
+SELECT DISTINCT path FROM fx_cleaned WHERE regexp_matches(file, 'bowtie2|trimmed|repeats')""")
+def _(inputs):
+    return manifests.cleanup_plan(inputs["fx_cleaned"], inputs["fx_samples"])
+
+
+@query("m06_compression_plan", """
+SELECT DISTINCT f.path FROM fx_cleaned f JOIN fx_samples s ON contains(f.file, s.sample)
+WHERE NOT f.file LIKE '%.gz' AND regexp_matches(f.file, s.sample || '.+fastq')""")
+def _(inputs):
+    return manifests.compression_plan(inputs["fx_cleaned"], inputs["fx_samples"])
+
+
+_STAGE_FILES = {
+    "clean_paired": ("_kneaddata.log",),
+    "clean_single": ("_kneaddata_single.log",),
+    "concat": (".joined.fastq.gz",),
+    "relab_profile": (f"_{PROFILE_DATABASE}_RELAB_profile.tsv", f"_{PROFILE_DATABASE}_bowtie2.tsv"),
+    "stats_profile": (f"_{PROFILE_DATABASE}_STATS_profile.tsv",),
+    "genefamilies": (f"_{FUNCTION_VERSION_TAG}_2_genefamilies.tsv",),
+}
+
+
+def _exists(endings: tuple[str, ...]) -> str:
+    return "(" + " AND ".join(f"sample || '{e}' IN (SELECT file FROM fx_runs)" for e in endings) + ")"
+
+
+def _stages(rules: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT sample, '{s}' AS stage, CASE WHEN {rule} THEN 'done' ELSE 'pending' END AS status FROM fx_samples"
+        for s, rule in rules.items()
+    )
+
+
+_RULES = {s: _exists(e) for s, e in _STAGE_FILES.items()}
+_RULES["concat"] = f"({_RULES['concat']} OR ({_RULES['relab_profile']} AND {_RULES['genefamilies']}))"
+_RULES["regroup_rename"] = "FALSE"
+
+
+@query("m07_stage_plan", _stages(_RULES))
+def _(inputs):
+    return manifests.stage_plan(inputs["fx_runs"], inputs["fx_samples"])
+
+
+@query("m07_stage_plan_needed", f"""
+SELECT p.sample, p.stage, CASE WHEN p.stage = 'clean_paired' AND NOT (r.paired_1 IS NOT NULL AND r.paired_2 IS NOT NULL) THEN 'not_needed'
+  WHEN p.stage = 'clean_single' AND r.unpaired IS NULL THEN 'not_needed' ELSE p.status END AS status
+FROM ({_stages(_RULES)}) p JOIN ({_RAW}) r ON r.sample = p.sample""")
+def _(inputs):
+    raw = manifests.raw_inputs(inputs["fx_raw"], inputs["fx_samples"])
+    return manifests.stage_plan(inputs["fx_runs"], inputs["fx_samples"], raw)
+
+
+_OLDER = {"clean": "_kneaddata.log", "profile": "_profile.tsv", "genefamilies": "_genefamilies.tsv"}
+_OLDER |= {f"regroup_{k}": f"_{k}.tsv" for k in ("kos", "pfams", "ecs")}
+_OLDER |= {f"rename_{k}": f"_{k}_rename.tsv" for k in ("kos", "pfams", "ecs")}
+
+
+@query("m08_older_stage_plan", _stages({s: _exists((e,)) for s, e in _OLDER.items()}))
+def _(inputs):
+    return manifests.older_stage_plan(inputs["fx_runs"], inputs["fx_samples"])
+
+
+_MATCHING = "SELECT s.sample, count(f.file) AS n_files FROM fx_samples s LEFT JOIN fx_raw f ON contains(f.file, s.sample) GROUP BY s.sample"
+
+
+@query("m09_input_pair_errors", f"SELECT * FROM ({_MATCHING}) AS c WHERE n_files <> 2")
+def _(inputs):
+    return manifests.input_pair_errors(inputs["fx_raw"], inputs["fx_samples"])
+
+
+def _artefacts() -> str:
+    rows = []
+    for kind, template in EXPECTED_ARTEFACTS.items():
+        for version in (("dbX", "dbY") if "{db}" in template else ("T1",)):
+            ending = template.format(sample="", db=version, tag=version)
+            rows.append(f"SELECT sample, '{kind}' AS kind, '{version}' AS version, sample || '{ending}' AS file FROM fx_samples")
+    return " UNION ALL ".join(rows)
+
+
+@query("m10_expected_artefacts", _artefacts())
+def _(inputs):
+    return manifests.expected_artefacts(inputs["fx_samples"], ("dbX", "dbY"), ("T1",))
+
+
+@query("m11_matching_files", _MATCHING)
+def _(inputs):
+    return manifests.matching_files(inputs["fx_raw"], inputs["fx_samples"])
+
+
+_REGROUPED = """
+SELECT g.sample, CASE WHEN g.f = 'UNMAPPED' THEN 'UNMAPPED' ELSE coalesce(m.grp, 'UNGROUPED') END AS grp, g.taxon, sum(g.value) AS value
+FROM (SELECT sample, split_part(feature, '|', 1) AS f, CASE WHEN contains(feature, '|') THEN split_part(feature, '|', 2) END AS taxon, value FROM fx_genefamilies) g
+LEFT JOIN (SELECT DISTINCT feature, grp FROM fx_groups) m ON m.feature = g.f GROUP BY 1, 2, 3"""
+
+
+@query("m12_regrouped", f"SELECT sample, grp, taxon, round(value, 6) AS value FROM ({_REGROUPED}) AS r")
+def _(inputs):
+    return abundance.regroup(inputs["fx_genefamilies"], inputs["fx_groups"]).withColumn("value", F.round("value", 6))
+
+
+@query("m13_named_groups", f"""
+SELECT sample, CASE WHEN r.grp IN ('UNMAPPED', 'UNGROUPED', 'UNINTEGRATED') THEN r.grp ELSE r.grp || ': ' || coalesce(n.name, 'NO_NAME') END AS grp,
+  taxon, round(value, 6) AS value FROM ({_REGROUPED}) r LEFT JOIN fx_group_names n ON n.grp = r.grp""")
+def _(inputs):
+    table = abundance.regroup(inputs["fx_genefamilies"], inputs["fx_groups"])
+    return abundance.name_groups(table, inputs["fx_group_names"]).withColumn("value", F.round("value", 6))

@@ -73,14 +73,17 @@ def first_lines(spark: SparkSession, root: str, name_glob: str = "*") -> DataFra
         .filter(F.col("file_block_start") == 0)
         .withColumn("_at", F.monotonically_increasing_id())
     )
-    path = F.regexp_replace("file_path", "^file:/+", "/")
-    return (
-        rows.groupBy(path.alias("path"))
-        .agg(F.min_by("value", "_at").alias("first_line"))
-        .withColumns({"dir": dir_of(F.col("path")), "file": file_of(F.col("path"))})
+    named = rows.withColumn("path", F.regexp_replace("file_path", "^file:/+", "/"))
+    return first_of_each(named, "path", "value", "_at").withColumns(
+        {"dir": dir_of(F.col("path")), "file": file_of(F.col("path"))}
     )
 
 
+def first_of_each(lines: DataFrame, path: str, line: str, order: str) -> DataFrame:
+    """``(path, first_line)``: the line of each path that comes first in the order."""
+    return lines.groupBy(F.col(path).alias("path")).agg(F.min_by(line, order).alias("first_line"))
+
+
 def matching_lines(lines: DataFrame, pattern: str, line: str = "value") -> DataFrame:
     """Lines in which the pattern is found."""
     return lines.filter(F.rlike(F.col(line), F.lit(pattern)))
