@@ -104,8 +104,10 @@ def named_by_well(inputs: Inputs) -> DataFrame:
 BY_NAME_WELL_SQL = f"""
 SELECT f.path, f.file, f.sample, CASE WHEN h.n = 1 THEN h.uid END AS seqid, CASE WHEN h.n = 1 THEN h.s_well END AS remote_well
 FROM ({_NAMED}) f LEFT JOIN (
-  SELECT g.path, count(*) AS n, min(s.uid) AS uid, min(s.s_well) AS s_well FROM ({_NAMED}) g
-  JOIN ({_KNOWN_AS}) b ON b.uid = g.sample OR (b.uid = translate(g.sample, '_-', '-_') AND g.sample NOT IN (SELECT uid FROM ({_KNOWN_AS}) k))
+  SELECT g.path, count(*) AS n, min(s.uid) AS uid, min(s.s_well) AS s_well FROM (
+    SELECT x.path, x.file, CASE WHEN k.uid IS NOT NULL THEN x.sample ELSE translate(x.sample, '_-', '-_') END AS specimen
+    FROM ({_NAMED}) x LEFT JOIN ({_KNOWN_AS}) k ON k.uid = x.sample) g
+  JOIN ({_KNOWN_AS}) b ON b.uid = g.specimen
   JOIN fx_seqpreps s ON s.biospecimen_id = b.id AND contains(g.file, '_' || s.s_well || '_') GROUP BY g.path) h ON h.path = f.path"""
 
 

@@ -2,8 +2,13 @@
 
 No side is broadcast by hint. Sides below ``spark.sql.autoBroadcastJoinThreshold`` (by statistics
 or, at run time, by measured shuffle size) become broadcast joins by themselves; beyond it the same
-plan runs as a shuffled join, whose partitions adaptive execution splits when a key is skewed.
-What adaptive execution cannot know is that NULL keys never match: :func:`attach` scatters them.
+plan runs as a sort-merge join, and adaptive execution splits the partitions of a skewed key.
+
+Two things need help. Adaptive execution splits a join only where each side has a shuffle of its
+own, which a side that was just grouped by the key has not: :func:`matched` and :func:`attach` join
+on fresh key expressions, so the small side is shuffled once more and the large one can be split.
+And rows with a NULL key, which never match, would all meet in one partition: :func:`attach`
+scatters them.
 """
 
 from __future__ import annotations
@@ -23,6 +28,30 @@ def _scattered(key: Column, spread_by: Sequence[str]) -> Column:
     return F.coalesce(key, F.concat(F.lit(_NUL), bucket.cast("string")))
 
 
+def _fresh(key: Column) -> Column:
+    """The same text as a new expression, which no earlier partitioning is known to fit."""
+    return F.concat(key, F.lit(""))
+
+
+def matched(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on string columns both sides have, splittable when a key is skewed.
+
+    For inner, left, semi and anti joins; for left joins whose key may be NULL see :func:`attach`.
+    """
+    first, *rest = [on] if isinstance(on, str) else on
+    lefts = left.withColumn("_l0", _fresh(F.col(first)))
+    names = {c: f"_r{i}" for i, c in enumerate(rest, 1)}
+    rights = (
+        right.withColumn("_r0", _fresh(F.col(first)))
+        .withColumns({new: F.col(old) for old, new in names.items()})
+        .drop(first, *rest)
+    )
+    condition = F.col("_l0") == F.col("_r0")
+    for old, new in names.items():
+        condition = condition & (lefts[old] == F.col(new))
+    return lefts.join(rights, condition, how).drop("_l0", "_r0", *names.values())
+
+
 def attach(
     left: DataFrame,
     right: DataFrame,
@@ -49,7 +78,7 @@ def attach(
         keys = F.when(right_key.isNull(), pseudo).otherwise(F.array(right_key))
         rights = right.withColumn("_r0", F.explode(keys))
     else:
-        rights = right.withColumn("_r0", right_key)
+        rights = right.withColumn("_r0", _fresh(right_key))
     names = {pairs[c]: f"_r{i}" for i, c in enumerate(rest, 1)}
     rights = rights.withColumns({new: F.col(old) for old, new in names.items()}).drop(*pairs.values())
     condition = F.col("_k0") == F.col("_r0")
@@ -59,16 +88,48 @@ def attach(
     return joined.drop("_k0", "_r0", *names.values())
 
 
-def pieces(text: Column, lengths: Column, anchored: bool = False) -> Column:
-    """Distinct pieces of ``text`` of the given lengths; only its beginnings when ``anchored``."""
-    fitting = F.filter(lengths, lambda n: n <= F.length(text))
-    if anchored:
-        return F.transform(fitting, lambda n: F.left(text, n))
-    windows = F.transform(
-        fitting,
-        lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda p: F.substring(text, p, n)),
+# Needles are sorted into this many classes by their first characters.
+_CLASSES = 256
+
+
+def _class_of(head: Column) -> Column:
+    return F.pmod(F.xxhash64(head), F.lit(_CLASSES)).cast("int")
+
+
+def _needle_shapes(needles: DataFrame, needle: str) -> DataFrame:
+    """One row: the head length ``k`` and, per class of heads, the needle lengths that occur.
+
+    A fixed number of classes with sets of small integers, however many needles there are.
+    """
+    k = needles.select(F.least(F.min(F.length(needle)), F.lit(3)).alias("k"))
+    per_class = (
+        needles.select(_class_of(F.left(F.col(needle), k.scalar())).alias("c"), F.length(needle).alias("n"))
+        .distinct()
+        .groupBy("c")
+        .agg(F.collect_set("n").alias("ns"))
+    )
+    by_class = per_class.agg(F.map_from_entries(F.collect_list(F.struct("c", "ns"))).alias("m"))
+    none = F.array().cast("array<int>")
+    lengths = F.transform(
+        F.sequence(F.lit(0), F.lit(_CLASSES - 1)), lambda c: F.coalesce(F.col("m")[c], none)
     )
-    return F.array_distinct(F.flatten(windows))
+    return by_class.select(F.struct(k.scalar().alias("k"), lengths.alias("lengths")).alias("shapes"))
+
+
+def _pieces(text: Column, shapes: Column, anchored: bool) -> Column:
+    """Distinct pieces of ``text`` that a needle could equal, by length and first characters."""
+    k, lengths, size = shapes["k"], shapes["lengths"], F.length(text)
+
+    def at(p: Column) -> Column:
+        fitting = F.filter(
+            F.get(lengths, _class_of(F.substring(text, p, k))), lambda n: p + n - 1 <= size
+        )
+        return F.transform(fitting, lambda n: F.substring(text, p, n))
+
+    if anchored:
+        return F.when(size >= k, at(F.lit(1)))
+    windows = F.transform(F.sequence(F.lit(1), size - k + 1), at)
+    return F.when(size >= k, F.array_distinct(F.flatten(windows)))
 
 
 def contained(
@@ -76,15 +137,17 @@ def contained(
 ) -> DataFrame:
     """Every (text row, needle row) where the needle occurs in the text (or begins it).
 
-    An equi-join on the pieces of each text that are as long as some needle, so nothing is compared
-    pair by pair. The lengths are one scalar: a set of integers no larger than the longest needle.
+    An equi-join: each text gives the pieces that are as long as some needle and start like one,
+    and nothing is compared pair by pair. What a needle can look like is one small scalar, see
+    :func:`_needle_shapes`; a needle that occurs in very many texts is split like any skewed key.
     """
     usable = needles.filter(F.length(needle) > 0)
-    lengths = usable.select(F.collect_set(F.length(needle)).alias("lengths"))
-    cut = texts.withColumn("_lengths", lengths.scalar()).withColumn(
-        "_piece", F.explode(pieces(F.col(text), F.col("_lengths"), anchored))
+    cut = (
+        texts.withColumn("_shapes", _needle_shapes(usable, needle).scalar())
+        .withColumn("_piece", F.explode(_pieces(F.col(text), F.col("_shapes"), anchored)))
+        .drop("_shapes")
     )
-    return cut.drop("_lengths").join(usable, F.col("_piece") == F.col(needle)).drop("_piece")
+    return matched(cut, usable.withColumn("_piece", F.col(needle)), "_piece").drop("_piece")
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sampleledger.operators.joins import attach
+from sampleledger.operators.joins import attach, matched
 
 
 class LinkError(ValueError):
@@ -37,8 +37,8 @@ def multiple_links(df: DataFrame, column: str) -> DataFrame:
 
 def unknown_links(links: DataFrame, targets: DataFrame, child: str = "child_id") -> DataFrame:
     """Edges to records that do not exist."""
-    return links.filter(F.col(child).isNotNull()).join(
-        targets.select(F.col("id").alias(child)), child, "left_anti"
+    return matched(
+        links.filter(F.col(child).isNotNull()), targets.select(F.col("id").alias(child)), child, "left_anti"
     )
 
 
@@ -70,7 +70,7 @@ def resolve_first(df: DataFrame, column: str, targets: DataFrame, spread_by: lis
 def resolve_flat(df: DataFrame, column: str, targets: DataFrame) -> DataFrame:
     """One row per link, with its place and record."""
     flat = df.select("*", F.posexplode(column).alias("pos", "_link")).drop(column)
-    return flat.join(targets.withColumnRenamed("id", "_link"), "_link", "left").drop("_link")
+    return matched(flat, targets.withColumnRenamed("id", "_link"), "_link", "left").drop("_link")
 
 
 def resolve_all(df: DataFrame, column: str, targets: DataFrame, key: str, into: str = "linked") -> DataFrame:
@@ -118,12 +118,9 @@ def project_subjects(
 
 def _members(projects: DataFrame, project_links: DataFrame, subjects: DataFrame, project: str | None) -> DataFrame:
     chosen = projects if project is None else projects.filter(F.col("uid") == project)
-    return (
-        chosen.select(F.col("id").alias("parent_id"), F.col("uid").alias("project"))
-        .join(project_links, "parent_id")
-        .select("project", F.col("child_id").alias("id"))
-        .join(subjects, "id")
-    )
+    parents = chosen.select(F.col("id").alias("parent_id"), F.col("uid").alias("project"))
+    linked = matched(project_links, parents, "parent_id").select("project", F.col("child_id").alias("id"))
+    return matched(linked, subjects, "id")
 
 
 def project_biospecimens(
@@ -140,13 +137,9 @@ def project_biospecimens(
     Strict looks at the biospecimen's ``keep``, not at the subject's. Nothing is deduplicated.
     """
     members = _members(projects, project_links, subjects.select("id", F.col("uid").alias("subject")), project)
-    return (
-        members.select("project", "subject", F.col("id").alias("parent_id"))
-        .join(subject_links, "parent_id")
-        .select("project", "subject", F.col("child_id").alias("id"))
-        .join(biospecimens, "id")
-        .filter(_kept(strict))
-    )
+    parents = members.select("project", "subject", F.col("id").alias("parent_id"))
+    linked = matched(subject_links, parents, "parent_id").select("project", "subject", F.col("child_id").alias("id"))
+    return matched(linked, biospecimens, "id").filter(_kept(strict))
 
 
 def biospecimen_seqpreps(
@@ -155,12 +148,8 @@ def biospecimen_seqpreps(
     """Sequencing preps of biospecimens; ``biospecimen`` is the parent's uid."""
     parents = biospecimens.select("project", F.col("id").alias("parent_id"), F.col("uid").alias("biospecimen"))
     preps = seqpreps.drop("biospecimen") if "biospecimen" in seqpreps.columns else seqpreps
-    return (
-        parents.join(prep_links, "parent_id")
-        .select("project", "biospecimen", F.col("child_id").alias("id"))
-        .join(preps, "id")
-        .filter(_kept(strict))
-    )
+    linked = matched(prep_links, parents, "parent_id").select("project", "biospecimen", F.col("child_id").alias("id"))
+    return matched(linked, preps, "id").filter(_kept(strict))
 
 
 def visit_flags(
@@ -171,10 +160,12 @@ def visit_flags(
     ``subject_links`` go subject → biospecimen, ``visit_links`` biospecimen → visit; flags combine
     on the map side.
     """
+    visited = visit_links.select(F.col("parent_id").alias("_specimen"), F.col("child_id").alias("_visit"))
+    wanted = visits.select(F.col("id").alias("_visit"), F.col("uid").alias("_code"))
+    coded = matched(visited, wanted.filter(F.col("_code").isin(*codes.values())), "_visit").drop("_visit")
+    owned = subject_links.select(F.col("parent_id").alias("id"), F.col("child_id").alias("_specimen"))
     at_visit = (
-        subject_links.select(F.col("parent_id").alias("id"), F.col("child_id").alias("_specimen"))
-        .join(visit_links.select(F.col("parent_id").alias("_specimen"), F.col("child_id").alias("_visit")), "_specimen")
-        .join(visits.select(F.col("id").alias("_visit"), F.col("uid").alias("_code")), "_visit")
+        matched(owned, coded, "_specimen")
         .groupBy("id")
         .agg(*[F.bool_or(F.col("_code") == code).alias(name) for name, code in codes.items()])
     )
@@ -198,13 +189,9 @@ def repeated_flag_keys(flags: DataFrame, flag_key: str) -> DataFrame:
 
 def rename_map(biospecimens: DataFrame, prep_links: DataFrame, seqpreps: DataFrame) -> DataFrame:
     """``(oldname, seqname)``: each biospecimen uid with each of its sequencing prep uids."""
-    return (
-        biospecimens.select(F.col("id").alias("parent_id"), F.col("uid").alias("oldname"))
-        .join(prep_links, "parent_id")
-        .select("oldname", F.col("child_id").alias("id"))
-        .join(seqpreps.select("id", F.col("uid").alias("seqname")), "id")
-        .select("oldname", "seqname")
-    )
+    parents = biospecimens.select(F.col("id").alias("parent_id"), F.col("uid").alias("oldname"))
+    linked = matched(prep_links, parents, "parent_id").select("oldname", F.col("child_id").alias("id"))
+    return matched(linked, seqpreps.select("id", F.col("uid").alias("seqname")), "id").select("oldname", "seqname")
 
 
 def listing_biospecimens(listing: DataFrame, seqpreps: DataFrame, biospecimens: DataFrame) -> DataFrame:

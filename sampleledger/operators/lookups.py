@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampleledger.functions.names import is_record_id
-from sampleledger.operators.joins import attach
+from sampleledger.operators.joins import attach, matched
 
 
 class MissingKey(KeyError):
@@ -61,7 +61,7 @@ def matching_uids(records: DataFrame, pattern: str) -> DataFrame:
 
 def having_keys(keys: DataFrame, records: DataFrame, key: str = "key", column: str = "uid") -> DataFrame:
     """Rows of ``keys`` whose key some record has."""
-    return keys.join(records.select(F.col(column).alias(key)), key, "left_semi")
+    return matched(keys, records.select(F.col(column).alias(key)), key, "left_semi")
 
 
 def value_or_default(keys: DataFrame, records: DataFrame, value: str, default: Column, column: str = "uid") -> DataFrame:

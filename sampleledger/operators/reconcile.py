@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sampleledger.fixed import TOOLS
 from sampleledger.functions.names import is_sequencing_name, swap_separators
-from sampleledger.operators.joins import attach
+from sampleledger.operators.joins import attach, matched
 
 
 class ReconcileError(ValueError):
@@ -21,13 +21,10 @@ class ReconcileError(ValueError):
 
 def prep_choices(biospecimens: DataFrame, prep_links: DataFrame, seqpreps: DataFrame) -> DataFrame:
     """``(biospecimen, pos, prep, prep_well)``: every sequencing prep of every biospecimen uid."""
-    return (
-        biospecimens.select(F.col("id").alias("parent_id"), F.col("uid").alias("biospecimen"))
-        .join(prep_links, "parent_id")
-        .select("biospecimen", "pos", F.col("child_id").alias("id"))
-        .join(seqpreps.select("id", F.col("uid").alias("prep"), F.col("s_well").alias("prep_well")), "id")
-        .drop("id")
-    )
+    parents = biospecimens.select(F.col("id").alias("parent_id"), F.col("uid").alias("biospecimen"))
+    linked = matched(prep_links, parents, "parent_id").select("biospecimen", "pos", F.col("child_id").alias("id"))
+    preps = seqpreps.select("id", F.col("uid").alias("prep"), F.col("s_well").alias("prep_well"))
+    return matched(linked, preps, "id").drop("id")
 
 
 def resolve_samples(listing: DataFrame, choices: DataFrame) -> DataFrame:
@@ -79,7 +76,7 @@ def resolve_by_name_well(files: DataFrame, choices: DataFrame, biospecimen_uids:
         F.col("biospecimen").alias("_specimen"), F.col("prep_well").alias("_well")
     ).agg(F.count(F.lit(1)).alias("_n"), F.min("prep").alias("_prep"))
     hits = (
-        tokens.join(per_well, ["_specimen", "_well"])
+        matched(tokens, per_well, ["_specimen", "_well"])
         .groupBy("path")
         .agg(F.sum("_n").alias("_hits"), F.min("_prep").alias("seqid"), F.min("_well").alias("remote_well"))
         .filter("_hits = 1")
@@ -211,7 +208,7 @@ def in_old_version_set(files: DataFrame, old_ids: DataFrame, column: str = "bios
         .distinct()
     )
     kept = files.filter(~F.startswith(F.col(column), F.lit("FE")))
-    return kept.join(spellings, kept[column] == spellings["_id"], "left_semi")
+    return matched(kept, spellings.withColumnRenamed("_id", column), column, "left_semi")
 
 
 def attach_samples(files: DataFrame, listing: DataFrame) -> DataFrame:
@@ -224,8 +221,7 @@ def attach_samples(files: DataFrame, listing: DataFrame) -> DataFrame:
         .groupBy("biospecimen", "s_well")
         .agg(F.min("sample").alias("sample"))
     )
-    attached = (
-        files.select("biospecimen", "s_well", "file").distinct().join(samples, ["biospecimen", "s_well"]).filter(F.col("sample").isNotNull())
-    )
+    wanted = files.select("biospecimen", "s_well", "file").distinct()
+    attached = matched(wanted, samples, ["biospecimen", "s_well"]).filter(F.col("sample").isNotNull())
     one = attached.groupBy("file").agg(F.min(F.struct("biospecimen", "s_well", "sample")).alias("r"))
     return one.select("file", "r.*")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sampleledger.fixed import UNGROUPED, UNINTEGRATED, UNMAPPED, UNNAMED
+from sampleledger.operators.joins import matched
 
 
 def regroup(table: DataFrame, groups: DataFrame) -> DataFrame:
@@ -27,7 +28,7 @@ def regroup(table: DataFrame, groups: DataFrame) -> DataFrame:
     )
     grouped = F.when(F.col("feature") == UNMAPPED, UNMAPPED).otherwise(F.coalesce("grp", F.lit(UNGROUPED)))
     return (
-        summed.join(groups.distinct(), "feature", "left")
+        matched(summed, groups.distinct(), "feature", "left")
         .groupBy("sample", grouped.alias("grp"), "taxon")
         .agg(F.sum("value").alias("value"))
     )
@@ -38,5 +39,5 @@ def name_groups(table: DataFrame, names: DataFrame) -> DataFrame:
     label = F.concat("grp", F.lit(": "), F.coalesce("name", F.lit(UNNAMED)))
     special = F.col("grp").isin(UNMAPPED, UNGROUPED, UNINTEGRATED)
     return (
-        table.join(names, "grp", "left").withColumn("grp", F.when(special, F.col("grp")).otherwise(label)).drop("name")
+        matched(table, names, "grp", "left").withColumn("grp", F.when(special, F.col("grp")).otherwise(label)).drop("name")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sampleledger.fixed import OLD_NAME_PATTERN, OUTPUT_PREFIX_PATTERN
 from sampleledger.functions.names import database_name, is_sequencing_name, replace_id
-from sampleledger.operators.joins import attach, contained, distinct_keys
+from sampleledger.operators.joins import attach, contained, distinct_keys, matched
 from sampleledger.operators.reports import old_name_files
 
 
@@ -33,7 +33,7 @@ def renamed_by_map(listing: DataFrame, names: DataFrame, pattern: str = OLD_NAME
     files = parse_old_names(listing, pattern).select("oldname", "s_well", "dir", "file", "path")
     newfile = replace_id(F.col("file"), F.col("oldname"), F.col("newname"))
     return (
-        files.join(names, "oldname")
+        matched(files, names, "oldname")
         .withColumn("newpath", F.concat("dir", F.lit("/"), newfile))
         .select("oldname", "newname", "s_well", "path", "newpath")
     )
@@ -42,7 +42,7 @@ def renamed_by_map(listing: DataFrame, names: DataFrame, pattern: str = OLD_NAME
 def unnamed_files(listing: DataFrame, names: DataFrame, pattern: str = OLD_NAME_PATTERN) -> DataFrame:
     """Files with an old name that has no new one."""
     files = parse_old_names(listing, pattern).select("oldname", "path")
-    return files.join(names.select("oldname"), "oldname", "left_anti")
+    return matched(files, names.select("oldname"), "oldname", "left_anti")
 
 
 def one_name_each(rename_map: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def rename_unambiguous(renamed: DataFrame) -> DataFrame:
     several = (
         renamed.select("oldname", "s_well").distinct().groupBy("oldname").agg((F.count(F.lit(1)) > 1).alias("_several"))
     )
-    return renamed.join(several, "oldname").select(
+    return matched(renamed, several, "oldname").select(
         "path", "newpath", "oldname", "s_well", F.when(F.col("_several"), "ambiguous").otherwise("rename").alias("action")
     )
 
@@ -134,7 +134,7 @@ def rename_substring(files: DataFrame, find: str, replacement: str) -> DataFrame
     )
     # Targets are decided first, one row each; the files join that once.
     targets = first.join(have, "newpath", "left")
-    return changed.join(targets, "newpath").select("path", "newpath", action.alias("action"))
+    return matched(changed, targets, "newpath").select("path", "newpath", action.alias("action"))
 
 
 def rename_by_mapping(files: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -212,4 +212,4 @@ def rename_pairs(listing: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     files = listing.select(F.col("seqprep").alias("sample"), "s_well", "path")
     newpath = replace_id(F.col("path"), F.col("sample"), F.col("seqprep"))
-    return files.join(pairs, ["sample", "s_well"]).select("path", newpath.alias("newpath"), "seqprep")
+    return matched(files, pairs, ["sample", "s_well"]).select("path", newpath.alias("newpath"), "seqprep")
