@@ -244,9 +244,18 @@ class Inputs:
 
     def _build(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return self._spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         text = DERIVED[name]
         sources = {m.group(2) for m in _SOURCE.finditer(text)}
         return self.spark.sql(
             _SOURCE.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", text), **{s: self[s] for s in sources}
         )
+
+    def _spread(self, table: DataFrame) -> DataFrame:
+        """The rows of a file with fewer splits than there are cores, on all cores.
+
+        A split may hold no row group at all, and then one task does the work of all. A table with
+        at least as many splits as cores, and one of a single split, is read as it is.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores, table.columns[0]) if 1 < table.rdd.getNumPartitions() < cores else table

@@ -32,17 +32,12 @@ def _or_null(text: Column) -> Column:
 
 def with_name_parts(listing: DataFrame, file: str = "file", mode: str = "disk") -> DataFrame:
     """Add ``seqprep``, ``s_well`` and ``suffix`` parsed from the file name, NULL when it does not
-    parse. One regex pass gives all three: it leaves the parts with NULs between them."""
-    marked = F.regexp_replace(file, _NAME_MODES[mode], _NUL.join(("$1", "$2", "$3")))
-    parts = F.col("_parts")
-    parsed = F.size(parts) == 3
-    return (
-        listing.withColumn("_parts", F.split(marked, _NUL))
-        .withColumns(
-            {name: F.when(parsed, parts[i]) for i, name in enumerate(("seqprep", "s_well", "suffix"))}
-        )
-        .drop("_parts")
-    )
+    parse. One regex pass gives all three: it leaves a NUL before each part."""
+    marked = F.regexp_replace(file, _NAME_MODES[mode], "".join(f"{_NUL}${i}" for i in (1, 2, 3)))
+    names = ("seqprep", "s_well", "suffix")
+    # A name that does not parse stays whole, at place 0: there is no place 1.
+    parts = {name: F.get("_parts", F.lit(i)) for i, name in enumerate(names, 1)}
+    return listing.withColumn("_parts", F.split(marked, _NUL)).withColumns(parts).drop("_parts")
 
 
 def file_of(path: Column) -> Column:

@@ -50,11 +50,12 @@ def sample_evidence(
     aggregate and combines on the map side, so a sample with a third of all files leaves each task
     as a few rows. The second sees one row per (sample, well). A NULL well counts as one well.
     """
-    bad = bad_suffix(F.col("suffix"), known)
+    # A file with an unknown suffix is not a good one, so it proves nothing.
+    proof = {flag: (F.col("suffix") == s) if s in known else F.lit(False) for flag, s in artefacts.items()}
     by_well = listing.groupBy("seqprep", "s_well").agg(
         F.count(F.lit(1)).alias("n_files"),
-        F.count_if(bad).alias("n_bad_suffix"),
-        *[_any((F.col("suffix") == s) & ~bad).alias(flag) for flag, s in artefacts.items()],
+        F.count_if(bad_suffix(F.col("suffix"), known)).alias("n_bad_suffix"),
+        *[_any(has).alias(flag) for flag, has in proof.items()],
     )
     return by_well.groupBy("seqprep").agg(
         F.count(F.lit(1)).alias("n_wells"),
@@ -68,8 +69,10 @@ def sample_evidence(
 def verdicts(evidence: DataFrame, remote_seq: DataFrame, uid: str = "uid") -> DataFrame:
     """Per-sample evidence with ``s_well_ambiguity`` and ``bad_uid``."""
     known = distinct_keys(remote_seq, uid).withColumn("_known", F.lit(True))
-    # One row per sample: the NULL sample is a single row, nothing to scatter.
-    joined = evidence.join(known, evidence["seqprep"] == known[uid], "left")
+    # One row per sample: the NULL sample is a single row, nothing to scatter. Its key equals no
+    # uid but is not NULL, so no null check (which would parse every name twice) is pushed down.
+    key = F.coalesce("seqprep", F.lit("\x00"))
+    joined = evidence.join(known, key == known[uid], "left")
     return joined.withColumns(
         {"s_well_ambiguity": F.col("n_wells") != 1, "bad_uid": F.col("_known").isNull()}
     ).drop("_known", uid)

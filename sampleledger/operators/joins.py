@@ -97,23 +97,25 @@ def _class_of(head: Column) -> Column:
 
 
 def _needle_shapes(needles: DataFrame, needle: str) -> DataFrame:
-    """One row: the head length ``k`` and, per class of heads, the needle lengths that occur.
+    """One row: the head length ``k`` (1 to 3) and, per class of heads, the needle lengths there are.
 
     A fixed number of classes with sets of small integers, however many needles there are.
     """
-    k = needles.select(F.least(F.min(F.length(needle)), F.lit(3)).alias("k"))
-    per_class = (
-        needles.select(_class_of(F.left(F.col(needle), k.scalar())).alias("c"), F.length(needle).alias("n"))
-        .distinct()
-        .groupBy("c")
-        .agg(F.collect_set("n").alias("ns"))
+    size, word = F.length(needle), F.col(needle)
+    heads = F.transform(
+        F.sequence(F.lit(1), F.least(size, F.lit(3))),
+        lambda k: F.struct(k.alias("k"), _class_of(F.left(word, k)).alias("c"), size.alias("n")),
     )
-    by_class = per_class.agg(F.map_from_entries(F.collect_list(F.struct("c", "ns"))).alias("m"))
-    none = F.array().cast("array<int>")
+    seen = needles.select(F.explode(heads).alias("h")).agg(F.collect_set("h").alias("all"))
+    # The shortest needle has heads up to k, and so has every other.
+    k = F.least(F.array_min(F.transform("all", lambda h: h["n"])), F.lit(3))
     lengths = F.transform(
-        F.sequence(F.lit(0), F.lit(_CLASSES - 1)), lambda c: F.coalesce(F.col("m")[c], none)
+        F.sequence(F.lit(0), F.lit(_CLASSES - 1)),
+        lambda c: F.transform(
+            F.filter("all", lambda h: (h["k"] == F.col("k")) & (h["c"] == c)), lambda h: h["n"]
+        ),
     )
-    return by_class.select(F.struct(k.scalar().alias("k"), lengths.alias("lengths")).alias("shapes"))
+    return seen.withColumn("k", k).select(F.struct("k", lengths.alias("lengths")).alias("shapes"))
 
 
 def _pieces(text: Column, shapes: Column, anchored: bool) -> Column:
