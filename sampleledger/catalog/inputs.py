@@ -24,19 +24,15 @@ TABLES = (
 
 DERIVED = {
     # About 30 files per sample; some unparsable names, samples with two wells, an unknown suffix.
+    # The kind of a file picks its suffix and its folder from two lists.
     "fx_listing": """
 SELECT file, dir || '/' || file AS path, dir, mod, size FROM (
   SELECT CASE WHEN l_orderkey % 41 = 0 THEN 'README_' || CAST(l_linenumber AS STRING)
     ELSE 'SEQ' || lpad(CAST(l_partkey AS STRING), 10, '0') || '_S' || CAST(1 + (l_partkey + CASE WHEN l_partkey % 11 = 0 AND l_linenumber = 2 THEN 1 ELSE 0 END) % 96 AS STRING)
-      || CASE WHEN substr(suf, 1, 1) = '.' THEN '' ELSE '_' END || suf END AS file,
-    '/data/processed/mgx/' || CASE WHEN suf LIKE 'kneaddata%' THEN 'kneaddata' WHEN suf IN ('profile.tsv', 'bowtie2.tsv', '.sam.bz2') THEN 'metaphlan' ELSE 'humann/main' END AS dir,
+      || split_part('_kneaddata.log,_profile.tsv,_bowtie2.tsv,.sam.bz2,_genefamilies.tsv,_pathabundance.tsv,_pathcoverage.tsv,_ecs.tsv,_kos.tsv,_pfams.tsv,_ecs_rename.tsv,_kos_rename.tsv,_pfams_rename.tsv,.log,_kneaddata_paired_1.fastq.gz,_old.tmp', ',', kind) END AS file,
+    '/data/processed/mgx/' || split_part('kneaddata,metaphlan,metaphlan,metaphlan,humann/main,humann/main,humann/main,humann/main,humann/main,humann/main,humann/main,humann/main,humann/main,humann/main,kneaddata,humann/main', ',', kind) AS dir,
     l_shipdate AS mod, CAST(floor(l_extendedprice) AS BIGINT) AS size
-  FROM (SELECT l_orderkey, l_partkey, l_linenumber, l_shipdate, l_extendedprice, CASE (l_orderkey * 7 + l_linenumber) % 16
-    WHEN 0 THEN 'kneaddata.log' WHEN 1 THEN 'profile.tsv' WHEN 2 THEN 'bowtie2.tsv' WHEN 3 THEN '.sam.bz2'
-    WHEN 4 THEN 'genefamilies.tsv' WHEN 5 THEN 'pathabundance.tsv' WHEN 6 THEN 'pathcoverage.tsv'
-    WHEN 7 THEN 'ecs.tsv' WHEN 8 THEN 'kos.tsv' WHEN 9 THEN 'pfams.tsv'
-    WHEN 10 THEN 'ecs_rename.tsv' WHEN 11 THEN 'kos_rename.tsv' WHEN 12 THEN 'pfams_rename.tsv'
-    WHEN 13 THEN '.log' WHEN 14 THEN 'kneaddata_paired_1.fastq.gz' ELSE 'old.tmp' END AS suf FROM lineitem) AS x) AS y""",
+  FROM (SELECT l_orderkey, l_partkey, l_linenumber, l_shipdate, l_extendedprice, CAST(1 + (l_orderkey * 7 + l_linenumber) % 16 AS INT) AS kind FROM lineitem) AS x) AS y""",
     # The same listing with one row per path, as a file system has it.
     "fx_files": "SELECT dir, file, path, max(mod) AS mod, max(size) AS size FROM fx_listing GROUP BY dir, file, path",
     # Sequencing records: remote completion status.
