@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +13,63 @@ from sampleledger.fixed import LISTING_ZONE
 from sampleledger.functions.names import dir_of, file_of, with_name_parts
 
 
+# How often directories are spread over the cluster again before the rest is walked in place.
+_SPREADS = 3
+
+
 def list_files(spark: SparkSession, root: str, mode: str = "disk") -> DataFrame:
-    """Recursive listing with modification time and size; contents are not read.
+    """Recursive listing, with modification time and size, of a file system every worker mounts.
+
+    Lists every file, also empty ones and names that start with ``_`` or ``.``, which Spark's file
+    sources leave out (:func:`list_data_files`); hence the small Python step. Each pass turns
+    directories into their entries and spreads those again, the last one walks what is left, and
+    sizes and times are then read by all tasks, so one large folder does not hold up the rest.
+    """
 
-    Spark leaves out names that start with ``_`` or ``.``. For very many files a stored inventory
-    in the same columns is the better input.
+    def expand(batches: Iterator[pd.DataFrame], whole: bool) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: list[tuple[str, bool]] = []
+            for path, is_dir in zip(batch["path"], batch["is_dir"]):
+                if not is_dir:
+                    found.append((path, False))
+                    continue
+                pending = [path]
+                while pending:
+                    with os.scandir(pending.pop()) as entries:
+                        for entry in entries:
+                            if not entry.is_dir():
+                                found.append((entry.path, False))
+                            elif not entry.is_symlink():
+                                if whole:
+                                    pending.append(entry.path)
+                                else:
+                                    found.append((entry.path, True))
+            yield pd.DataFrame(found, columns=["path", "is_dir"])
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                try:
+                    status = os.stat(path)
+                    rows.append((path, status.st_size, status.st_mtime))
+                except FileNotFoundError:  # a link to nothing
+                    rows.append((path, 0, 0.0))
+            yield pd.DataFrame(rows, columns=["path", "size", "seconds"]).astype({"size": "int64", "seconds": "float64"})
+
+    entries = spark.createDataFrame([(root.rstrip("/") or "/", True)], "path string, is_dir boolean")
+    for step in range(_SPREADS + 1):
+        whole = step == _SPREADS
+        entries = entries.mapInPandas(lambda b, whole=whole: expand(b, whole), "path string, is_dir boolean").repartition("path")
+    found = entries.select("path").mapInPandas(measure, "path string, size bigint, seconds double")
+    return _with_place(found.select(F.timestamp_micros((F.col("seconds") * 1000000).cast("bigint")).alias("mod"), "size", "path"), mode)
+
+
+def list_data_files(spark: SparkSession, root: str, mode: str = "disk") -> DataFrame:
+    """Recursive listing of any file system Spark reads; contents are not read.
+
+    Spark leaves out empty files and names that start with ``_`` or ``.``. For very many files a
+    stored inventory in the same columns is the better input.
     """
     found = (
         spark.read.format("binaryFile")

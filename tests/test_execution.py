@@ -125,7 +125,7 @@ def test_hot_needle_is_split(spark):
 
 def test_hot_sample_is_split_when_resolved(spark):
     files = _hot_listing(spark)
-    choices = spark.range(0, 2000).select(
+    choices = spark.range(0, 1500).select(
         F.concat(F.lit("S"), (F.col("id") % 1000).cast("string")).alias("biospecimen"), F.col("id").alias("pos"),
         F.concat(F.lit("SEQ"), F.col("id").cast("string")).alias("prep"), F.lit("S1").alias("prep_well"))
     with splitting(spark):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sampleledger.fixed import RECORD_TABLES
+from sampleledger.schemas import LISTING
 from sampleledger.sources import listings, records, refresh, tables
 
 
@@ -48,18 +49,30 @@ def test_list_files(spark, tmp_path):
     deep = tmp_path / "metaphlan" / "x"
     deep.mkdir(parents=True)
     (deep / "SEQ1_S2_profile.tsv").write_text("abc")
-    (tmp_path / "README").write_text("")
-    rows = {r.file: r for r in listings.list_files(spark, str(tmp_path)).collect()}
-    assert set(rows) == {"SEQ1_S2_profile.tsv", "README"}
+    lower = deep / "a" / "b" / "c" / "d" / "e"
+    lower.mkdir(parents=True)
+    for path in (tmp_path / "README", tmp_path / ".hidden", lower / "_deep"):
+        path.write_text("")
+    (tmp_path / "nowhere").symlink_to(tmp_path / "missing")
+    (tmp_path / "loop").symlink_to(tmp_path)
+    listing = listings.list_files(spark, str(tmp_path))
+    assert listing.select(*LISTING.names).schema.simpleString() == LISTING.simpleString()
+    rows = {r.file: r for r in listing.collect()}
+    assert set(rows) == {"SEQ1_S2_profile.tsv", "README", ".hidden", "_deep", "nowhere"}
+    assert listing.count() == 5 and rows["_deep"].dir == str(lower)
     found = rows["SEQ1_S2_profile.tsv"]
     assert (found.size, found.dir, found.seqprep, found.s_well, found.suffix) == (3, str(deep), "SEQ1", "S2", "profile.tsv")
     assert abs(found.mod.timestamp() - os.path.getmtime(deep / "SEQ1_S2_profile.tsv")) < 2
 
 
-def test_listing_does_not_read_contents(spark, tmp_path):
-    (tmp_path / "a").write_text("x")
-    plan = listings.list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
+def test_data_files_without_contents(spark, tmp_path):
+    deep = tmp_path / "x"
+    deep.mkdir()
+    (deep / "SEQ1_S2.sam").write_text("abc")
+    listing = listings.list_data_files(spark, str(tmp_path))
+    assert "content" not in listing._jdf.queryExecution().executedPlan().toString()
+    row = listing.first()
+    assert (row.size, row.path, row.dir, row.seqprep) == (3, str(deep / "SEQ1_S2.sam"), str(deep), "SEQ1")
 
 
 def test_store_listing(spark, tmp_path):
@@ -121,6 +134,6 @@ def test_refresh_policy_and_staleness(spark):
     policy = refresh.refresh_policy(names, overrides)
     stale = {r.tbl: r["update"] for r in refresh.stale_snapshots(policy, mods, day(2024, 2, 29)).collect()}
     # e: Jan 31 + 1 month = Feb 29, not before now; f likewise; d: no snapshot, whatever its policy.
-    assert stale == {"a": True, "b": False, "c": False, "d": True, "e": False, "f": False, "g": False}
+    assert stale == {"a": True, "b": False, "c": True, "d": True, "e": False, "f": False, "g": False}
     later = refresh.stale_snapshots(refresh.uniform_policy(names, days=1), mods, day(2024, 3, 2))
     assert {r.tbl: r["update"] for r in later.collect()} == {"a": False, "b": True, "c": True, "d": True, "e": True, "f": True, "g": False}
