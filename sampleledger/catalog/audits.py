@@ -141,6 +141,19 @@ def _(inputs):
     return reports.discrepancies(local(inputs), remote(inputs))
 
 
+@query("a12_report_counts", f"""
+SELECT *, n_local - n_remote AS diff FROM (
+SELECT 'sequences' AS thing, (SELECT count(*) FROM ox_local) AS n_local, (SELECT count(*) FROM ox_remote_seq) AS n_remote
+UNION ALL {_COUNTS}) AS c""")
+def _(inputs):
+    return reports.audit_report(_audit(inputs))["counts"]
+
+
+@query("a12_report_discrepancies", _difference("Local, not remote", True) + " UNION ALL " + _difference("Remote, not local", False))
+def _(inputs):
+    return reports.audit_report(_audit(inputs))["discrepancies"]
+
+
 @query("a12_report_problems", _PROBLEM_REPORT)
 def _(inputs):
     return reports.audit_report(_audit(inputs))["problems"]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sampleledger.fixed import ARTEFACT_FLAGS, COMPLETION_RULES, KNOWN_SUFFIXES, TOOLS
 from sampleledger.operators.joins import attach, distinct_keys
+from sampleledger.session import kept
 
 PROBLEM_FLAGS = ("s_well_ambiguity", "bad_suffix", "bad_uid")
 
@@ -82,10 +83,12 @@ def flag_files(
     listing: DataFrame, remote_seq: DataFrame, known: Sequence[str] = KNOWN_SUFFIXES
 ) -> DataFrame:
     """Every file with its three problem flags."""
-    decided = verdicts(sample_evidence(listing, known, {}), remote_seq).select(
-        "seqprep", "s_well_ambiguity", "bad_uid"
-    )
-    return attach(listing, decided, "seqprep", spread_by=["path"], null_safe=True).withColumn(
+    return _flag_by(listing, verdicts(sample_evidence(listing, known, {}), remote_seq), known)
+
+
+def _flag_by(listing: DataFrame, decided: DataFrame, known: Sequence[str]) -> DataFrame:
+    per_sample = decided.select("seqprep", "s_well_ambiguity", "bad_uid")
+    return attach(listing, per_sample, "seqprep", spread_by=["path"], null_safe=True).withColumn(
         "bad_suffix", bad_suffix(F.col("suffix"), known)
     )
 
@@ -159,7 +162,11 @@ def local_status(
     Equal to ``tool_flags(good_files(flag_files(...)))`` without going back to the files: a sample
     has good files exactly when it is known, has one well and has a file with a known suffix.
     """
-    sound = verdicts(sample_evidence(listing, known), remote_seq).filter(
+    return _status_of(verdicts(sample_evidence(listing, known), remote_seq))
+
+
+def _status_of(decided: DataFrame) -> DataFrame:
+    sound = decided.filter(
         ~F.col("s_well_ambiguity") & ~F.col("bad_uid") & (F.col("n_files") > F.col("n_bad_suffix"))
     )
     return _with_completion(sound.select("seqprep", "s_well", *ARTEFACT_FLAGS), COMPLETION_RULES)
@@ -177,14 +184,24 @@ class Audit:
 
 
 def audit_listing(
-    listing: DataFrame, seqpreps: DataFrame, known: Sequence[str] = KNOWN_SUFFIXES
+    listing: DataFrame, seqpreps: DataFrame, known: Sequence[str] = KNOWN_SUFFIXES, keep: bool = False
 ) -> Audit:
+    """Audit a parsed listing. With ``keep`` the per-sample evidence is checkpointed when first
+    used, so that the tables and reports made of it do not read the listing again for it."""
     remote = remote_status(seqpreps)
-    flagged = flag_files(listing, remote, known)
+    evidence = sample_evidence(listing, known)
+    decided = verdicts(kept(evidence) if keep else evidence, remote)
+    flagged = _flag_by(listing, decided, known)
     return Audit(
         remote_seq=remote,
-        local_seq=local_status(listing, remote, known),
+        local_seq=_status_of(decided),
         good_files=good_files(flagged),
         problem_files=problem_files(flagged),
-        verdicts=verdicts(sample_evidence(listing, known), remote),
+        verdicts=decided,
     )
+
+
+def write_split(flagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Good and problem files in one pass: parquet parted by ``kind``, ``good`` or ``problem``."""
+    kind = F.when(is_problem(), "problem").otherwise("good")
+    flagged.withColumn("kind", kind).write.mode(mode).partitionBy("kind").parquet(path)

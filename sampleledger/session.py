@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -24,3 +25,19 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage by a reliable checkpoint, written when first used.
+
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session
+    without one gets a folder of its own.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sampleledger-"))
+    return df.checkpoint(eager=False)
