@@ -26,9 +26,14 @@ class RecordBase:
 
     @classmethod
     def load(
-        cls, spark: SparkSession, folder: str, fallbacks: Mapping[str, str] | None = None, back_links: bool = False
+        cls,
+        spark: SparkSession,
+        folder: str,
+        fallbacks: Mapping[str, str] | None = None,
+        back_links: bool = False,
+        fmt: str = "array",
     ) -> RecordBase:
-        return cls(records.read_base(spark, folder, fallbacks), back_links)
+        return cls(records.read_base(spark, folder, fallbacks, fmt), back_links)
 
     def __getitem__(self, key: str | tuple[str, str]) -> DataFrame:
         """``base[table]``, ``base[table, uid]`` or ``base[record id]``; the last two raise when absent."""

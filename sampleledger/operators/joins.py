@@ -52,24 +52,28 @@ def matched(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str
     return lefts.join(rights, condition, how).drop("_l0", "_r0", *names.values())
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
 def attach(
     left: DataFrame,
     right: DataFrame,
     on: str | dict[str, str],
-    spread_by: Sequence[str],
+    spread_by: Sequence[str] | None = None,
     how: str = "left",
     null_safe: bool = False,
 ) -> DataFrame:
     """Join ``right`` to ``left`` on the string columns ``{left column: right column}``.
 
     Left rows with a NULL first key are scattered over many pseudo-keys by a hash of ``spread_by``
-    in place of meeting in one partition. With ``null_safe`` the right row with a NULL key
+    (all columns that can be hashed when not given) in place of meeting in one partition. With ``null_safe`` the right row with a NULL key
     (at most one) answers them: it is repeated once per pseudo-key.
     The right key columns are dropped from the result.
     """
     pairs = {on: on} if isinstance(on, str) else dict(on)
     first, *rest = pairs
-    lefts = left.withColumn("_k0", _scattered(F.col(first), spread_by))
+    lefts = left.withColumn("_k0", _scattered(F.col(first), spread_by or _hashable(left)))
     right_key = F.col(pairs[first])
     if null_safe:
         pseudo = F.transform(

@@ -42,11 +42,13 @@ def unknown_links(links: DataFrame, targets: DataFrame, child: str = "child_id")
     )
 
 
-def _resolve(df: DataFrame, link: Column, targets: DataFrame, spread_by: list[str]) -> DataFrame:
+def _resolve(df: DataFrame, link: Column, targets: DataFrame, spread_by: list[str] | None) -> DataFrame:
     return attach(df.withColumn("_link", link), targets, {"_link": "id"}, spread_by=spread_by).drop("_link")
 
 
-def resolve_strict(df: DataFrame, column: str, targets: DataFrame, spread_by: list[str], check: bool = False) -> DataFrame:
+def resolve_strict(
+    df: DataFrame, column: str, targets: DataFrame, spread_by: list[str] | None = None, check: bool = False
+) -> DataFrame:
     """Join the record a one-element link names; a missing link stays missing.
 
     ``targets`` has ``id`` and the columns to add. With ``check``, cells with other than one link
@@ -62,7 +64,7 @@ def resolve_strict(df: DataFrame, column: str, targets: DataFrame, spread_by: li
     return _resolve(df, single, targets, spread_by)
 
 
-def resolve_first(df: DataFrame, column: str, targets: DataFrame, spread_by: list[str]) -> DataFrame:
+def resolve_first(df: DataFrame, column: str, targets: DataFrame, spread_by: list[str] | None = None) -> DataFrame:
     """Join the record of the first link; no link, no record."""
     return _resolve(df, F.try_element_at(F.col(column), F.lit(1)), targets, spread_by)
 
@@ -92,13 +94,14 @@ def resolve_links(
     ``unpack`` maps the array column to an id column, or to an array column to get one row per
     link; it is built from Spark expressions. By default strict resolution, or the first link.
     """
-    by = spread_by or [c for c, t in df.dtypes if t == "string"]
     if unpack is None:
-        return resolve_strict(df, column, targets, by, check=True) if strict else resolve_first(df, column, targets, by)
+        if strict:
+            return resolve_strict(df, column, targets, spread_by, check=True)
+        return resolve_first(df, column, targets, spread_by)
     chosen = df.withColumn("_chosen", unpack(F.col(column)))
     if dict(chosen.dtypes)["_chosen"].startswith("array"):
         return resolve_flat(chosen, "_chosen", targets)
-    return _resolve(chosen, F.col("_chosen"), targets, by).drop("_chosen")
+    return _resolve(chosen, F.col("_chosen"), targets, spread_by).drop("_chosen")
 
 
 # --- from projects to sequencing preps ----------------------------------------------------
@@ -179,7 +182,7 @@ def attach_flags(ids: DataFrame, flags: DataFrame, id_column: str, flag_key: str
     The right key must be unique; :func:`repeated_flag_keys` lists those that are not.
     """
     wanted = flags.select(F.col(flag_key).alias("_flag_key"), *columns)
-    joined = attach(ids, wanted, {id_column: "_flag_key"}, spread_by=ids.columns)
+    joined = attach(ids, wanted, {id_column: "_flag_key"})
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
 
 

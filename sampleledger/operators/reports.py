@@ -149,7 +149,7 @@ def repeated_groups(df: DataFrame, group: str, counted: str = "n_rows") -> DataF
     Grouped and joined back: a window would bring a whole group into one task.
     """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias(counted)).filter(F.col(counted) > 1)
-    return attach(df, sizes, group, spread_by=df.columns, how="inner", null_safe=True)
+    return attach(df, sizes, group, how="inner", null_safe=True)
 
 
 def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:

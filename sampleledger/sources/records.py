@@ -42,18 +42,21 @@ def parse_records(lines: DataFrame, table: str, line: str = "value", fallback: s
 
 
 def read_table(
-    spark: SparkSession, folder: str, table: str, fallback: str | None = None, multi_line: bool = True
+    spark: SparkSession, folder: str, table: str, fallback: str | None = None, fmt: str = "array"
 ) -> DataFrame:
-    """One record table from its snapshot file (a JSON array, or JSON lines)."""
+    """One record table from its snapshot: a JSON ``array``, JSON ``lines`` or ``parquet``."""
     path = f"{folder.rstrip('/')}/{snapshot_name(table)}"
-    stored = spark.read.schema(STORED_RECORD).json(path, multiLine=multi_line)
+    reader = spark.read.schema(STORED_RECORD)
+    stored = reader.parquet(path) if fmt == "parquet" else reader.json(path, multiLine=fmt == "array")
     return with_identity(stored, table, fallback)
 
 
-def read_base(spark: SparkSession, folder: str, fallbacks: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+def read_base(
+    spark: SparkSession, folder: str, fallbacks: Mapping[str, str] | None = None, fmt: str = "array"
+) -> dict[str, DataFrame]:
     """All record tables of a folder of snapshots."""
     named = fallbacks or {}
-    return {t: read_table(spark, folder, t, named.get(t)) for t in RECORD_TABLES}
+    return {t: read_table(spark, folder, t, named.get(t), fmt) for t in RECORD_TABLES}
 
 
 def all_records(base: Mapping[str, DataFrame]) -> DataFrame:
@@ -88,6 +91,6 @@ def field_names(records: DataFrame) -> DataFrame:
     return records.select("tbl", F.explode(keys).alias("field")).distinct()
 
 
-def write_snapshot(records: DataFrame, path: str, fmt: str = "json", mode: str = "errorifexists") -> None:
-    """Write a record table as ``{id, fields}`` JSON lines (or parquet)."""
-    records.select("id", "fields").write.format(fmt).mode(mode).save(path)
+def write_snapshot(records: DataFrame, path: str, fmt: str = "lines", mode: str = "errorifexists") -> None:
+    """Write a record table as ``{id, fields}`` JSON ``lines`` or ``parquet``."""
+    records.select("id", "fields").write.format("parquet" if fmt == "parquet" else "json").mode(mode).save(path)

@@ -37,11 +37,12 @@ def test_snapshot_names():
     assert records.snapshot_name("Sequencing Prep") == "airtable_sequencingprep.json"
 
 
-def test_write_snapshot_round_trip(spark, base_dir, tmp_path):
+@pytest.mark.parametrize("fmt", ["lines", "parquet"])
+def test_write_snapshot_round_trip(spark, base_dir, tmp_path, fmt):
     subjects = records.read_table(spark, base_dir, "Subjects", "subject_id")
     out = tmp_path / "out" / records.snapshot_name("Subjects")
-    records.write_snapshot(subjects, str(out))
-    again = records.read_table(spark, str(out.parent), "Subjects", "subject_id", multi_line=False)
+    records.write_snapshot(subjects, str(out), fmt)
+    again = records.read_table(spark, str(out.parent), "Subjects", "subject_id", fmt)
     assert {(r.id, r.uid) for r in again.collect()} == {(r.id, r.uid) for r in subjects.collect()}
 
 
