@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sampleledger.catalog.inputs import Inputs, oracle_text
+from sampleledger.catalog.inputs import Inputs, inputs_of, oracle_text
 from sampleledger.catalog.registry import ENTRIES
 
 
@@ -26,7 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
 
     def bound(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: build(Inputs(spark, sf_dir))
+        return lambda spark, sf_dir: build(inputs_of(spark, sf_dir))
 
     return {key: bound(entry.build) for key, entry in sorted(ENTRIES.items())}
 

@@ -7,6 +7,7 @@ further steps that only the oracle takes as SQL: in Spark they are the library's
 from __future__ import annotations
 
 import re
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -255,3 +256,14 @@ class Inputs:
         """
         cores = self.spark.sparkContext.defaultParallelism
         return table.repartition(cores, table.columns[0]) if 1 < table.rdd.getNumPartitions() < cores else table
+
+
+_OPENED: WeakKeyDictionary[SparkSession, dict[str, Inputs]] = WeakKeyDictionary()
+
+
+def inputs_of(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The inputs of a folder, opened once per session: table definitions, no data."""
+    opened = _OPENED.setdefault(spark, {})
+    if sf_dir not in opened:
+        opened[sf_dir] = Inputs(spark, sf_dir)
+    return opened[sf_dir]

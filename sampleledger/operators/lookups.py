@@ -50,7 +50,7 @@ def by_keys(records: DataFrame, keys: DataFrame, column: str = "uid") -> DataFra
 def missing_keys(keys: DataFrame, records: DataFrame, key: str = "key", column: str = "uid") -> DataFrame:
     """Keys that no record has."""
     wanted = keys.select(F.col(key).alias("key")).distinct()
-    have = records.select(F.col(column).alias("key"))
+    have = records.select(F.col(column).alias("key")).distinct()
     return wanted.join(have, "key", "left_anti")
 
 
@@ -61,7 +61,7 @@ def matching_uids(records: DataFrame, pattern: str) -> DataFrame:
 
 def having_keys(keys: DataFrame, records: DataFrame, key: str = "key", column: str = "uid") -> DataFrame:
     """Rows of ``keys`` whose key some record has."""
-    return matched(keys, records.select(F.col(column).alias(key)), key, "left_semi")
+    return matched(keys, records.select(F.col(column).alias(key)).distinct(), key, "left_semi")
 
 
 def value_or_default(keys: DataFrame, records: DataFrame, value: str, default: Column, column: str = "uid") -> DataFrame:

@@ -157,7 +157,7 @@ def rename_by_mapping(files: DataFrame, mapping: DataFrame) -> DataFrame:
         F.concat("dir", F.lit("/"), replace_id(F.col("file"), F.col("m.old_id"), F.col("m.new_id"))).alias("newpath"),
     )
     have = files.select(F.col("path").alias("newpath"), F.lit(True).alias("_exists")).distinct()
-    return targeted.join(have, "newpath", "left").select(
+    return matched(targeted, have, "newpath", "left").select(
         "path", "newpath", "old_id", "new_id", "n_mappings",
         F.when(F.col("_exists"), "conflict").otherwise("rename").alias("action"),
     )
