@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 from collections.abc import Iterator
 
@@ -26,25 +27,26 @@ def list_files(spark: SparkSession, root: str, mode: str = "disk") -> DataFrame:
     sizes and times are then read by all tasks, so one large folder does not hold up the rest.
     """
 
+    def entries_of(folder: str, whole: bool) -> Iterator[tuple[str, bool]]:
+        pending = [folder]
+        while pending:
+            with os.scandir(pending.pop()) as entries:
+                for entry in entries:
+                    if not entry.is_dir():
+                        yield entry.path, False
+                    elif not entry.is_symlink():
+                        if whole:
+                            pending.append(entry.path)
+                        else:
+                            yield entry.path, True
+
     def expand(batches: Iterator[pd.DataFrame], whole: bool) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found: list[tuple[str, bool]] = []
-            for path, is_dir in zip(batch["path"], batch["is_dir"]):
-                if not is_dir:
-                    found.append((path, False))
-                    continue
-                pending = [path]
-                while pending:
-                    with os.scandir(pending.pop()) as entries:
-                        for entry in entries:
-                            if not entry.is_dir():
-                                found.append((entry.path, False))
-                            elif not entry.is_symlink():
-                                if whole:
-                                    pending.append(entry.path)
-                                else:
-                                    found.append((entry.path, True))
-            yield pd.DataFrame(found, columns=["path", "is_dir"])
+            yield batch[~batch["is_dir"]]
+            for folder in batch.loc[batch["is_dir"], "path"]:
+                found = entries_of(folder, whole)
+                while some := list(itertools.islice(found, 10000)):
+                    yield pd.DataFrame(some, columns=["path", "is_dir"])
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -57,10 +59,12 @@ def list_files(spark: SparkSession, root: str, mode: str = "disk") -> DataFrame:
                     rows.append((path, 0, 0.0))
             yield pd.DataFrame(rows, columns=["path", "size", "seconds"]).astype({"size": "int64", "seconds": "float64"})
 
+    # A stated number of partitions: adaptive execution would merge so few bytes into one task.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     entries = spark.createDataFrame([(root.rstrip("/") or "/", True)], "path string, is_dir boolean")
     for step in range(_SPREADS + 1):
         whole = step == _SPREADS
-        entries = entries.mapInPandas(lambda b, whole=whole: expand(b, whole), "path string, is_dir boolean").repartition("path")
+        entries = entries.mapInPandas(lambda b, whole=whole: expand(b, whole), entries.schema).repartition(tasks, "path")
     found = entries.select("path").mapInPandas(measure, "path string, size bigint, seconds double")
     return _with_place(found.select(F.timestamp_micros((F.col("seconds") * 1000000).cast("bigint")).alias("mod"), "size", "path"), mode)
 

@@ -66,6 +66,16 @@ def test_list_files(spark, tmp_path):
     assert abs(found.mod.timestamp() - os.path.getmtime(deep / "SEQ1_S2_profile.tsv")) < 2
 
 
+def test_listing_is_spread_over_tasks(spark, tmp_path):
+    for i in range(40):
+        folder = tmp_path / f"p{i % 4}" / f"q{i}"
+        folder.mkdir(parents=True)
+        (folder / f"SEQ{i}_S1_profile.tsv").write_text("x")
+    listing = listings.list_files(spark, str(tmp_path))
+    assert listing.count() == 40
+    assert listing.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+
+
 def test_data_files_without_contents(spark, tmp_path):
     deep = tmp_path / "x"
     deep.mkdir()
