@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sampleledger.catalog.registry import query
-from sampleledger.fixed import STORE_NAME_PATTERN
+from sampleledger.fixed import DISK_NAME_PATTERN, STORE_NAME_PATTERN
 from sampleledger.functions import names
 from sampleledger.sources import listings
 
@@ -63,7 +63,7 @@ def _varied(inputs):
     )
 
 
-@query("p01_disk_names_varied", f"SELECT file, {_PARTS.format('file', chr(94) + STORE_NAME_PATTERN.replace('{1,2}', '+'))} FROM ({_VARIED}) AS v")
+@query("p01_disk_names_varied", f"SELECT file, {_PARTS.format('file', DISK_NAME_PATTERN)} FROM ({_VARIED}) AS v")
 def _(inputs):
     return names.with_name_parts(_varied(inputs))
 

@@ -75,32 +75,30 @@ def _target_exists(plan: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
+def _moves(resolved: DataFrame, existing: DataFrame, newdir: Column) -> DataFrame:
+    targets = existing.filter(is_sequencing_name(F.col("file")))
+    plan = _target_exists(_with_target(old_name_files(resolved)), targets)
+    action = (
+        F.when(F.col("seqprep").isNull(), "unresolved").when(F.col("_exists"), "exists").otherwise("move")
+    )
+    return plan.select("path", F.concat(newdir, "newfile").alias("newpath"), action.alias("action"))
+
+
 def move_old_names(resolved: DataFrame, existing: DataFrame) -> DataFrame:
     """Move plan for files under old names: ``unresolved``, ``exists`` or ``move``.
 
     ``resolved`` is from :func:`sampleledger.operators.reconcile.resolve_samples`; ``existing`` is
     the listing whose sequencing-named files count as existing.
     """
-    targets = existing.filter(is_sequencing_name(F.col("file")))
-    plan = _target_exists(_with_target(old_name_files(resolved)), targets)
-    action = (
-        F.when(F.col("seqprep").isNull(), "unresolved").when(F.col("_exists"), "exists").otherwise("move")
-    )
-    return plan.select(
-        "path", F.concat("dir", F.lit("/"), "newfile").alias("newpath"), action.alias("action")
-    )
+    return _moves(resolved, existing, F.concat("dir", F.lit("/")))
 
 
-def move_across(resolved: DataFrame, existing: DataFrame, target_prefix: str, prefix_pattern: str = OUTPUT_PREFIX_PATTERN) -> DataFrame:
+def move_across(
+    resolved: DataFrame, existing: DataFrame, target_prefix: str, prefix_pattern: str = OUTPUT_PREFIX_PATTERN
+) -> DataFrame:
     """:func:`move_old_names` into another bucket: everything through the last output folder of
     the directory becomes ``target_prefix``."""
-    targets = existing.filter(is_sequencing_name(F.col("file")))
-    plan = _target_exists(_with_target(old_name_files(resolved)), targets)
-    newdir = F.regexp_replace(F.concat("dir", F.lit("/")), prefix_pattern, target_prefix)
-    action = (
-        F.when(F.col("seqprep").isNull(), "unresolved").when(F.col("_exists"), "exists").otherwise("move")
-    )
-    return plan.select("path", F.concat(newdir, "newfile").alias("newpath"), action.alias("action"))
+    return _moves(resolved, existing, F.regexp_replace(F.concat("dir", F.lit("/")), prefix_pattern, target_prefix))
 
 
 def replace_or_move(resolved: DataFrame, existing: DataFrame, id_column: str = "seqid") -> DataFrame:
