@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,22 +16,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder in ``spark.checkpoint.dir``, its lineage cut there.
-
-    Only a local session that names no folder gets one; a cluster has to name one that all
-    executors share.
-    """
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder. Only a local session that names none gets one of its own;
+    a cluster has to name one that all executors share."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or "/tmp/checkpoints")
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint: computed once, its lineage cut."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table to the checkpoint folder and read again. Its columns are
+    pruned when read, and the planner knows its true size, so a small one is broadcast and a large
+    one is not. The table goes when the session ends."""
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark).rstrip('/')}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def utf8_length(text: Column) -> Column:
     """Bytes of a text; a null text has none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
