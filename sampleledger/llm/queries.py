@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleledger.llm import bpe, embedding_dedup, langid, licenses, mixing, sharding, simhash, topk, toxicity
+from sampleledger.llm import bpe, embedding_dedup, langid, licenses, mixing, sharding, simhash, suffix_dedup, topk, toxicity
 from sampleledger.llm.common import table
 
 SHARDS = 8
@@ -29,6 +29,10 @@ def op2_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op3_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.notices(table(spark, sf_dir, "documents"))
 
@@ -66,7 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_stratified_shards, op2_weak_toxicity, op4_license_notices, op5_collision_counting, op6_threshold_top_k,
+            op1_stratified_shards, op2_weak_toxicity, op3_bucket_refinement, op4_license_notices, op5_collision_counting, op6_threshold_top_k,
             op7_byte_bpe, op8_byte_gru_language, op9_covering_simhash, op10_target_mixture,
         )
     }
