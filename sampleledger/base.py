@@ -17,12 +17,12 @@ class RecordBase:
     """Record tables by name. Every answer is a lazy DataFrame unless it says it raises.
 
     ``back_links`` walks the children's short back-reference arrays (``project``, ``subject``,
-    ``biospecimen``) in place of the parents' link arrays: choose it where one parent has very many
-    children.
+    ``biospecimen``); without it the parents' link arrays are used, of which a parent with very many
+    children has one very long one in one row.
     """
 
     tables: Mapping[str, DataFrame]
-    back_links: bool = False
+    back_links: bool = True
 
     @classmethod
     def load(
@@ -30,8 +30,8 @@ class RecordBase:
         spark: SparkSession,
         folder: str,
         fallbacks: Mapping[str, str] | None = None,
-        back_links: bool = False,
-        fmt: str = "array",
+        back_links: bool = True,
+        fmt: str = "lines",
     ) -> RecordBase:
         return cls(records.read_base(spark, folder, fallbacks, fmt), back_links)
 
@@ -76,10 +76,12 @@ class RecordBase:
         targets = self.records().select("id", *[F.col(c).alias(f"linked_{c}") for c in ("tbl", "uid", "fields")])
         return links.resolve_links(df, column, targets, unpack, strict)
 
-    def _edges(self, parent: str, field: str, child: str, back: str) -> DataFrame:
+    def _children(self, parent: str, field: str, child: str, back: str) -> DataFrame:
+        """Records of ``child`` with one row per parent."""
+        records_ = self.typed(child)
         if self.back_links:
-            return links.back_edges(self.typed(child), back)
-        return links.edges(self.typed(parent), field)
+            return links.with_parents(records_, back)
+        return links.with_parents_by_links(links.edges(self.typed(parent), field), records_)
 
     def _check(self, project: str | None) -> None:
         if project is not None:
@@ -88,27 +90,19 @@ class RecordBase:
     def subjects(self, project: str | None = None, strict: bool = True) -> DataFrame:
         """Subjects of a project (which must exist), or of every project."""
         self._check(project)
-        of_project = self._edges("Projects", "Subjects", "Subjects", "project")
-        people = self.typed("Subjects").drop("project")
-        return links.project_subjects(self.tables["Projects"], of_project, people, project, strict)
+        people = self._children("Projects", "Subjects", "Subjects", "project")
+        return links.project_subjects(self.tables["Projects"], people, project, strict)
 
     def biospecimens(self, project: str | None = None, strict: bool = True) -> DataFrame:
         self._check(project)
-        specimens = self.typed("Biospecimens").drop("project", "subject")
-        return links.project_biospecimens(
-            self.tables["Projects"],
-            self._edges("Projects", "Subjects", "Subjects", "project"),
-            self.typed("Subjects"),
-            self._edges("Subjects", "Biospecimens", "Biospecimens", "subject"),
-            specimens,
-            project,
-            strict,
-        )
+        people = self._children("Projects", "Subjects", "Subjects", "project")
+        specimens = self._children("Subjects", "Biospecimens", "Biospecimens", "subject")
+        return links.project_biospecimens(self.tables["Projects"], people, specimens, project, strict)
 
     def seqpreps(self, project: str | None = None, strict: bool = True) -> DataFrame:
-        preps = self._edges("Biospecimens", "seqprep", "SequencingPrep", "biospecimen")
+        preps = self._children("Biospecimens", "seqprep", "SequencingPrep", "biospecimen")
         return links.biospecimen_seqpreps(
-            self.biospecimens(project, strict), preps, self.typed("SequencingPrep").withColumnRenamed("S_well", "s_well"), strict
+            self.biospecimens(project, strict), preps.withColumnRenamed("S_well", "s_well"), strict
         )
 
     def audit(self, listing: DataFrame, keep: bool = False) -> audit.Audit:

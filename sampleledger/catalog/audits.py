@@ -65,7 +65,7 @@ def _(inputs):
 
 @query("a06_tool_flags", f"SELECT seqprep, s_well, {', '.join(ARTEFACT_FLAGS)} FROM ox_local")
 def _(inputs):
-    return audit.tool_flags(audit.good_files(flagged(inputs))).select("seqprep", "s_well", *ARTEFACT_FLAGS)
+    return local(inputs).select("seqprep", "s_well", *ARTEFACT_FLAGS)
 
 
 @query("a07_completion", f"SELECT {_FLAGS} FROM ox_local")

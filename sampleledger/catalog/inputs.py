@@ -57,6 +57,16 @@ SELECT 'recB' || lpad(CAST(o_orderkey AS STRING), 13, '0') AS id, 'FG' || lpad(C
   CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'recV' || lpad(CAST(o_orderkey % 5 AS STRING), 13, '0') END AS visit_id,
   CASE WHEN o_orderkey % 10 = 0 THEN 0 WHEN o_orderkey % 13 = 0 THEN NULL ELSE 1 END AS keep
 FROM orders""",
+    "fx_aliases": """
+SELECT 'recA' || lpad(CAST(s_suppkey AS STRING), 13, '0') AS id, s_name AS uid FROM supplier""",
+    "fx_buffers": """
+SELECT 'recC' || lpad(CAST(n_nationkey AS STRING), 13, '0') AS id, lower(n_name) AS uid FROM nation""",
+    "fx_metabolomics_batches": """
+SELECT DISTINCT 'recM' || lpad(CAST(p_size AS STRING), 13, '0') AS id, 'metab' || CAST(p_size AS STRING) AS uid FROM part""",
+    "fx_sequencing_batches": """
+SELECT DISTINCT 'recN' || lpad(CAST(p_partkey % 5 AS STRING), 13, '0') AS id, 'batch' || CAST(p_partkey % 5 AS STRING) AS uid FROM part""",
+    "fx_sites": """
+SELECT DISTINCT 'recT' || lpad(CAST(n_regionkey AS STRING), 13, '0') AS id, 'site' || CAST(n_regionkey AS STRING) AS uid FROM nation""",
     "fx_visits": """
 SELECT DISTINCT 'recV' || lpad(CAST(o_orderkey % 5 AS STRING), 13, '0') AS id,
   CASE o_orderkey % 5 WHEN 1 THEN '1mo' WHEN 2 THEN '3mo' WHEN 3 THEN '6mo' ELSE '12mo' END AS uid
@@ -67,7 +77,7 @@ SELECT 'recQ' || lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), 13, '0') A
   'recB' || lpad(CAST(l_orderkey AS STRING), 13, '0') AS biospecimen_id, CAST(l_linenumber AS BIGINT) AS pos,
   'S' || CAST(1 + (l_orderkey + l_linenumber) % 96 AS STRING) AS s_well,
   CASE WHEN (l_orderkey + l_linenumber) % 12 = 0 THEN 0 ELSE 1 END AS keep
-FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber <= 2) AS d""",
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) AS d""",
     # Files under old biospecimen names: every 4th unknown, every 5th with a well that fits no prep,
     # every 3rd already renamed (and every 21st under both names).
     "fx_oldnames": """
@@ -76,10 +86,10 @@ SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'SEQ' || lpad(CAST(l_orderkey * 10 + l_
     WHEN l_orderkey % 4 = 0 THEN 'FE' || lpad(CAST(l_orderkey AS STRING), 12, '0')
     ELSE 'FG' || lpad(CAST(l_orderkey AS STRING), 12, '0') END
   || '_S' || CAST(CASE WHEN l_orderkey % 5 = 0 THEN 99 ELSE 1 + (l_orderkey + l_linenumber) % 96 END AS STRING) || '_profile.tsv' AS file
-FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber <= 2) AS d
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) AS d
 UNION ALL
 SELECT 'SEQ' || lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), 13, '0') || '_S' || CAST(1 + (l_orderkey + l_linenumber) % 96 AS STRING) || '_profile.tsv' AS file
-FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber <= 2) AS e
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) AS e
 WHERE l_orderkey % 7 = 1 AND l_orderkey % 3 <> 0) AS f""",
     "fx_visit_ids": """
 SELECT CASE WHEN c_custkey % 10 = 0 THEN lower(v) ELSE v END AS visit FROM (
@@ -122,6 +132,9 @@ UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '.joined.fastq.gz
 UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_mpa_vOct22_CHOCOPhlAnSGB_202403_RELAB_profile.tsv' AS ending FROM part WHERE p_partkey % 6 <> 0
 UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_mpa_vOct22_CHOCOPhlAnSGB_202403_bowtie2.tsv' AS ending FROM part WHERE p_partkey % 5 <> 0
 UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_mpa_vOct22_CHOCOPhlAnSGB_202403_STATS_profile.tsv' AS ending FROM part WHERE p_partkey % 9 <> 0
+UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_mpa_v30_CHOCOPhlAn_201901_RELAB_profile.tsv' AS ending FROM part WHERE p_partkey % 4 <> 0
+UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_mpa_v30_CHOCOPhlAn_201901_bowtie2.tsv' AS ending FROM part WHERE p_partkey % 13 <> 0
+UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_mpa_v30_CHOCOPhlAn_201901_STATS_profile.tsv' AS ending FROM part WHERE p_partkey % 3 <> 0
 UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_HM40_2_genefamilies.tsv' AS ending FROM part WHERE p_partkey % 8 <> 0
 UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_profile.tsv' AS ending FROM part WHERE p_partkey % 3 = 0
 UNION ALL SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample, '_genefamilies.tsv' AS ending FROM part WHERE p_partkey % 9 = 0
@@ -201,7 +214,9 @@ FROM ox_old_parsed p WHERE p.seqprep IS NOT NULL""",
     "ox_records": """
 SELECT 'Projects' AS tbl, id, uid FROM fx_projects UNION ALL SELECT 'Subjects', id, uid FROM fx_subjects
 UNION ALL SELECT 'Biospecimens', id, uid FROM fx_biospecimens UNION ALL SELECT 'SequencingPrep', id, uid FROM fx_seqpreps
-UNION ALL SELECT 'Visits', id, uid FROM fx_visits""",
+UNION ALL SELECT 'Visits', id, uid FROM fx_visits UNION ALL SELECT 'Aliases', id, uid FROM fx_aliases
+UNION ALL SELECT 'CollectionBuffer', id, uid FROM fx_buffers UNION ALL SELECT 'MetabolomicsBatches', id, uid FROM fx_metabolomics_batches
+UNION ALL SELECT 'SequencingBatches', id, uid FROM fx_sequencing_batches UNION ALL SELECT 'Sites', id, uid FROM fx_sites""",
 }
 
 _STEP = re.compile(r"\b(?:fx|ox)_\w+")
@@ -241,21 +256,13 @@ class Inputs:
 
     def _build(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self._spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         text = DERIVED[name]
         sources = {m.group(2) for m in _SOURCE.finditer(text)}
         return self.spark.sql(
             _SOURCE.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", text), **{s: self[s] for s in sources}
         )
 
-    def _spread(self, table: DataFrame) -> DataFrame:
-        """The rows of a file with fewer splits than there are cores, on all cores.
-
-        A split may hold no row group at all, and then one task does the work of all. A table with
-        at least as many splits as cores, and one of a single split, is read as it is.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores, table.columns[0]) if 1 < table.rdd.getNumPartitions() < cores else table
 
 
 _OPENED: WeakKeyDictionary[SparkSession, dict[str, Inputs]] = WeakKeyDictionary()

@@ -30,9 +30,9 @@ def preps(inputs: Inputs) -> DataFrame:
 
 
 def specimens_with_preps(inputs: Inputs) -> DataFrame:
-    """Biospecimens with their array of prep ids (at most two each, by construction)."""
+    """Biospecimens with their array of prep ids."""
     arrays = (
-        inputs["fx_seqpreps"].filter("pos <= 2").groupBy("biospecimen_id")
+        inputs["fx_seqpreps"].groupBy("biospecimen_id")
         .agg(F.transform(F.array_sort(F.collect_set(F.struct("pos", "id"))), lambda e: e["id"]).alias("seqprep"))
     )
     return inputs["fx_biospecimens"].select(F.col("id").alias("biospecimen_id"), "uid").join(arrays, "biospecimen_id", "left")
@@ -49,6 +49,13 @@ def _(inputs):
     return resolved.select("uid", F.col("visit_uid").alias("visit"))
 
 
+@query("j01_resolve_plain_ids", """
+SELECT b.uid, v.uid AS visit FROM fx_biospecimens b LEFT JOIN fx_visits v ON v.id = b.visit_id""")
+def _(inputs):
+    resolved = links.resolve_strict(inputs["fx_biospecimens"], "visit_id", _named(inputs["fx_visits"], "visit_uid"), ["uid"])
+    return resolved.select("uid", F.col("visit_uid").alias("visit"))
+
+
 @query("j01_multiple_links", """
 SELECT b.uid, count(*) AS n_links FROM fx_biospecimens b JOIN fx_seqpreps s ON s.biospecimen_id = b.id GROUP BY b.uid HAVING count(*) <> 1""")
 def _(inputs):
@@ -91,25 +98,18 @@ def _(inputs):
 
 
 def walk_subjects(inputs: Inputs, project: str | None = None, strict: bool = True) -> DataFrame:
-    people = subjects(inputs)
-    return links.project_subjects(
-        inputs["fx_projects"], links.back_edges(people, "project"), people.select("id", "uid", "keep"), project, strict
-    )
+    people = links.with_parents(subjects(inputs), "project")
+    return links.project_subjects(inputs["fx_projects"], people, project, strict)
 
 
 def walk_biospecimens(inputs: Inputs, project: str | None = None, strict: bool = True) -> DataFrame:
-    people, samples = subjects(inputs), specimens(inputs)
-    return links.project_biospecimens(
-        inputs["fx_projects"], links.back_edges(people, "project"), people,
-        links.back_edges(samples, "subject"), samples.select("id", "uid", "keep"), project, strict,
-    )
+    people, samples = links.with_parents(subjects(inputs), "project"), links.with_parents(specimens(inputs), "subject")
+    return links.project_biospecimens(inputs["fx_projects"], people, samples, project, strict)
 
 
 def walk_seqpreps(inputs: Inputs, project: str | None = None, strict: bool = True) -> DataFrame:
-    return links.biospecimen_seqpreps(
-        walk_biospecimens(inputs, project, strict), prep_edges(inputs),
-        inputs["fx_seqpreps"].select("id", "uid", "s_well", "keep"), strict,
-    )
+    below = links.with_parents(preps(inputs), "biospecimen")
+    return links.biospecimen_seqpreps(walk_biospecimens(inputs, project, strict), below, strict)
 
 
 _SUBJECTS = "fx_projects p JOIN fx_subjects s ON s.project_id = p.id"
@@ -180,6 +180,27 @@ def _(inputs):
     return links.attach_flags(inputs["fx_id_list"], visit_flags(inputs), "ID", "uid", ["mo3", "mo6"])
 
 
+# Every third subject has a second row of flags.
+_TWICE = f"SELECT * FROM ({_VISIT_FLAGS}) f UNION ALL SELECT uid, 1 AS mo3, 0 AS mo6 FROM fx_subjects WHERE CAST(uid AS BIGINT) % 3 = 0"
+
+
+def flags_twice(inputs: Inputs) -> DataFrame:
+    again = inputs["fx_subjects"].filter("CAST(uid AS BIGINT) % 3 = 0").select("uid", F.lit(1).alias("mo3"), F.lit(0).alias("mo6"))
+    return visit_flags(inputs).unionAll(again)
+
+
+@query("j10_repeated_keys", f"SELECT uid, count(*) AS n_rows FROM ({_TWICE}) t GROUP BY uid HAVING count(*) > 1")
+def _(inputs):
+    return links.repeated_flag_keys(flags_twice(inputs), "uid")
+
+
+@query("j10_flags_of_repeated", f"""
+SELECT i.ID, coalesce(f.mo3, 0) AS mo3, coalesce(f.mo6, 0) AS mo6 FROM fx_id_list i
+LEFT JOIN (SELECT uid, max(mo3) AS mo3, max(mo6) AS mo6 FROM ({_TWICE}) t GROUP BY uid) f ON f.uid = i.ID""")
+def _(inputs):
+    return links.attach_flags(inputs["fx_id_list"], flags_twice(inputs), "ID", "uid", ["mo3", "mo6"])
+
+
 @query("j13_rename_map", """
 SELECT b.uid AS oldname, s.uid AS seqname FROM fx_biospecimens b JOIN fx_seqpreps s ON s.biospecimen_id = b.id""")
 def _(inputs):

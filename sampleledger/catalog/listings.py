@@ -74,10 +74,10 @@ def _(inputs):
 
 
 @query("p03_dir_and_file", """
-SELECT DISTINCT url, regexp_replace(url, '/[^/]*$', '') AS dir, regexp_extract(url, '[^/]*$') AS file FROM pages WHERE url LIKE '%/%'""")
+SELECT DISTINCT url, CASE WHEN contains(url, '/') THEN regexp_replace(url, '/[^/]*$', '') ELSE '' END AS dir, regexp_extract(url, '[^/]*$') AS file FROM pages""")
 def _(inputs):
     url = F.col("url")
-    return inputs["pages"].filter(F.contains(url, F.lit("/"))).select(
+    return inputs["pages"].select(
         "url", names.dir_of(url).alias("dir"), names.file_of(url).alias("file")
     ).distinct()
 

@@ -13,10 +13,15 @@ from sampleledger.operators import links, lookups
 from sampleledger.sources import records, refresh, tables
 
 _FX = {
-    "Projects": "fx_projects",
-    "Subjects": "fx_subjects",
+    "Aliases": "fx_aliases",
     "Biospecimens": "fx_biospecimens",
+    "CollectionBuffer": "fx_buffers",
+    "MetabolomicsBatches": "fx_metabolomics_batches",
+    "Projects": "fx_projects",
+    "SequencingBatches": "fx_sequencing_batches",
     "SequencingPrep": "fx_seqpreps",
+    "Sites": "fx_sites",
+    "Subjects": "fx_subjects",
     "Visits": "fx_visits",
 }
 
@@ -29,7 +34,8 @@ def stored_lines(inputs: Inputs, table: str) -> DataFrame:
 
 
 def base(inputs: Inputs) -> dict[str, DataFrame]:
-    return {t: records.parse_records(stored_lines(inputs, t), t) for t in _FX}
+    """All record tables, as :func:`records.read_base` makes them of the lines of its files."""
+    return records.base_of({t: stored_lines(inputs, t) for t in _FX})
 
 
 def everything(inputs: Inputs) -> DataFrame:
@@ -180,7 +186,8 @@ def _present(table: str, columns: str) -> str:
 @query("l10_field_names", " UNION ALL ".join([
     _present("Projects", "uid"), _present("Subjects", "uid project_id keep"),
     _present("Biospecimens", "uid subject_id visit_id keep"),
-    _present("SequencingPrep", "uid biospecimen_id pos s_well keep"), _present("Visits", "uid")]))
+    _present("SequencingPrep", "uid biospecimen_id pos s_well keep"), _present("Visits", "uid"),
+    *[_present(t, "uid") for t in ("Aliases", "CollectionBuffer", "MetabolomicsBatches", "SequencingBatches", "Sites")]]))
 def _(inputs):
     return records.field_names(everything(inputs))
 

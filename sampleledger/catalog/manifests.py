@@ -114,6 +114,24 @@ def _(inputs):
     return manifests.stage_plan(inputs["fx_runs"], inputs["fx_samples"])
 
 
+_DBS = (PROFILE_DATABASE, "mpa_v30_CHOCOPhlAn_201901")
+
+
+def _rules_of(dbs: tuple[str, ...]) -> dict[str, str]:
+    rules = {}
+    for stage, endings in _STAGE_FILES.items():
+        for db in dbs if stage.endswith("_profile") else ("",):
+            rules[f"{stage}:{db}" if db else stage] = _exists(tuple(e.replace(PROFILE_DATABASE, db) if db else e for e in endings))
+    profiles = " AND ".join(r for s, r in rules.items() if s.startswith("relab_profile"))
+    rules["concat"] = f"({rules['concat']} OR ({profiles} AND {rules['genefamilies']}))"
+    return rules | {"regroup_rename": "FALSE"}
+
+
+@query("m07_stage_plan_two_databases", _stages(_rules_of(_DBS)))
+def _(inputs):
+    return manifests.stage_plan(inputs["fx_runs"], inputs["fx_samples"], dbs=_DBS)
+
+
 @query("m07_stage_plan_needed", f"""
 SELECT p.sample, p.stage, CASE WHEN p.stage = 'clean_paired' AND NOT (r.paired_1 IS NOT NULL AND r.paired_2 IS NOT NULL) THEN 'not_needed'
   WHEN p.stage = 'clean_single' AND r.unpaired IS NULL THEN 'not_needed' ELSE p.status END AS status

@@ -36,34 +36,52 @@ def _(inputs):
 
 
 @query("r01_rename_unambiguous", f"""
-SELECT path, newpath, oldname, s_well,
-  CASE WHEN (SELECT count(DISTINCT s_well) FROM ({_RENAMED}) i WHERE i.oldname = r.oldname) > 1 THEN 'ambiguous' ELSE 'rename' END AS action
-FROM ({_RENAMED}) r""")
+SELECT path, newpath, oldname, s_well, CASE WHEN action = 'rename' AND path <> min(path) FILTER (WHERE action = 'rename') OVER (PARTITION BY newpath) THEN 'clash' ELSE action END AS action
+FROM (SELECT r.path, r.newpath, r.oldname, r.s_well, CASE WHEN w.n > 1 THEN 'ambiguous' WHEN r.newpath IN (SELECT path FROM fx_oldnames) THEN 'exists' ELSE 'rename' END AS action
+  FROM ({_RENAMED}) r JOIN (SELECT oldname, count(DISTINCT s_well) AS n FROM ({_RENAMED}) i GROUP BY oldname) w ON w.oldname = r.oldname) AS x""")
 def _(inputs):
-    return renames.rename_unambiguous(renames.renamed_by_map(inputs["fx_oldnames"], new_names(inputs), _OLD))
+    return renames.rename_unambiguous(renames.renamed_by_map(inputs["fx_oldnames"], new_names(inputs), _OLD), inputs["fx_oldnames"])
 
 
 _ACTION = """
 CASE WHEN seqprep IS NULL THEN 'unresolved' WHEN replace(file, sample, seqprep) IN (SELECT file FROM fx_oldnames WHERE file LIKE 'SEQ%') THEN 'exists' ELSE 'move' END AS action"""
+# Every eleventh biospecimen's files stand there under a second spelling too.
+_SPELLED_TWICE = """
+SELECT file, path, sample, seqprep, dir FROM ox_resolved UNION ALL
+SELECT replace(file, 'FG', 'FG-'), replace(path, 'FG', 'FG-'), replace(sample, 'FG', 'FG-'), seqprep, dir FROM ox_resolved
+WHERE sample LIKE 'FG%' AND CAST(substr(sample, 3) AS BIGINT) % 11 = 0"""
 
 
-@query("r02_move_old_names", f"""
-SELECT path, dir || '/' || replace(file, sample, seqprep) AS newpath, {_ACTION} FROM ox_resolved WHERE sample NOT LIKE 'SEQ%'""")
+def spelled_twice(inputs):
+    once = resolved(inputs).select("file", "path", "sample", "seqprep", "dir")
+    again = once.filter("sample LIKE 'FG%' AND CAST(substr(sample, 3) AS BIGINT) % 11 = 0").withColumns(
+        {c: F.replace(c, F.lit("FG"), F.lit("FG-")) for c in ("file", "path", "sample")}
+    )
+    return once.unionByName(again)
+
+
+def _clashing(plan: str, act: str, columns: str) -> str:
+    return f"""SELECT {columns}, CASE WHEN action = '{act}' AND path <> min(path) FILTER (WHERE action = '{act}') OVER (PARTITION BY newpath) THEN 'clash' ELSE action END AS action
+FROM ({plan}) AS plan"""
+
+
+@query("r02_move_old_names", _clashing(f"""
+SELECT path, dir || '/' || replace(file, sample, seqprep) AS newpath, {_ACTION} FROM ({_SPELLED_TWICE}) AS t WHERE sample NOT LIKE 'SEQ%'""", "move", "path, newpath"))
 def _(inputs):
-    return renames.move_old_names(resolved(inputs), inputs["fx_oldnames"])
+    return renames.move_old_names(spelled_twice(inputs), inputs["fx_oldnames"])
 
 
-@query("r03_move_across", f"""
-SELECT path, 's3://processed/mgx/metaphlan/' || replace(file, sample, seqprep) AS newpath, {_ACTION} FROM ox_resolved WHERE sample NOT LIKE 'SEQ%'""")
+@query("r03_move_across", _clashing(f"""
+SELECT path, 's3://processed/mgx/metaphlan/' || replace(file, sample, seqprep) AS newpath, {_ACTION} FROM ({_SPELLED_TWICE}) AS t WHERE sample NOT LIKE 'SEQ%'""", "move", "path, newpath"))
 def _(inputs):
-    elsewhere = resolved(inputs).withColumn("dir", F.lit("s3://run/output/old/output/metaphlan"))
+    elsewhere = spelled_twice(inputs).withColumn("dir", F.lit("s3://run/output/old/output/metaphlan"))
     return renames.move_across(elsewhere, inputs["fx_oldnames"], "s3://processed/mgx/")
 
 
-@query("r04_replace_or_move", f"""
+@query("r04_replace_or_move", _clashing(f"""
 SELECT path, 'd/' || replace(file, sample, seqid) AS newpath,
   CASE WHEN replace(file, sample, seqid) IN (SELECT file FROM fx_oldnames) THEN 'remove' ELSE 'move' END AS action
-FROM ({BY_NAME_WELL_SQL}) AS n WHERE seqid IS NOT NULL""")
+FROM ({BY_NAME_WELL_SQL}) AS n WHERE seqid IS NOT NULL""", "move", "path, newpath"))
 def _(inputs):
     return renames.replace_or_move(named_by_well(inputs), inputs["fx_oldnames"])
 
@@ -93,18 +111,21 @@ def _(inputs):
 
 
 # A mapping whose ids are of several lengths and contained in one another.
-_MAPPING = "SELECT 'Q' || CAST(p_partkey AS STRING) AS old_id, 'N' || CAST(p_partkey AS STRING) AS new_id FROM part WHERE p_partkey % 3 = 0"
+# Every fifteenth new id has a second old one, so that two files get one name.
+_MAPPING = """SELECT 'Q' || CAST(p_partkey AS STRING) AS old_id, 'N' || CAST(p_partkey AS STRING) AS new_id FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT 'R' || CAST(p_partkey AS STRING) AS old_id, 'N' || CAST(p_partkey AS STRING) AS new_id FROM part WHERE p_partkey % 15 = 0"""
 _MAPPED_FILES = """
 SELECT 'd' AS dir, file, 'd/' || file AS path FROM (
   SELECT 'Q' || CAST(p_partkey AS STRING) || '_a.tsv' AS file FROM part UNION ALL SELECT 'N' || CAST(p_partkey AS STRING) || '_a.tsv' FROM part WHERE p_partkey % 6 = 0
+  UNION ALL SELECT 'R' || CAST(p_partkey AS STRING) || '_a.tsv' FROM part WHERE p_partkey % 15 = 0
   UNION ALL SELECT 'b_Q' || CAST(p_partkey AS STRING) || '_Q' || CAST(p_partkey AS STRING) FROM part) AS x"""
 
 
 def _mapping(inputs):
     key = F.col("p_partkey").cast("string")
-    return inputs["part"].filter("p_partkey % 3 = 0").select(
-        F.concat(F.lit("Q"), key).alias("old_id"), F.concat(F.lit("N"), key).alias("new_id")
-    )
+    first = inputs["part"].filter("p_partkey % 3 = 0").select(F.concat(F.lit("Q"), key).alias("old_id"), F.concat(F.lit("N"), key).alias("new_id"))
+    second = inputs["part"].filter("p_partkey % 15 = 0").select(F.concat(F.lit("R"), key).alias("old_id"), F.concat(F.lit("N"), key).alias("new_id"))
+    return first.unionAll(second)
 
 
 def _mapped_files(inputs):
@@ -113,6 +134,7 @@ def _mapped_files(inputs):
         F.array(
             F.concat(F.lit("Q"), key, F.lit("_a.tsv")),
             F.when(F.col("p_partkey") % 6 == 0, F.concat(F.lit("N"), key, F.lit("_a.tsv"))),
+            F.when(F.col("p_partkey") % 15 == 0, F.concat(F.lit("R"), key, F.lit("_a.tsv"))),
             F.concat(F.lit("b_Q"), key, F.lit("_Q"), key),
         )
     )
@@ -127,9 +149,9 @@ SELECT f.path, f.dir, f.file, count(*) AS n_mappings, max_by(m.old_id, (length(m
 FROM ({_MAPPED_FILES}) f JOIN ({_MAPPING}) m ON contains(f.file, m.old_id) GROUP BY f.path, f.dir, f.file"""
 
 
-@query("r06_rename_by_mapping", f"""
+@query("r06_rename_by_mapping", _clashing(f"""
 SELECT path, newpath, old_id, new_id, n_mappings, CASE WHEN newpath IN (SELECT path FROM ({_MAPPED_FILES}) e) THEN 'conflict' ELSE 'rename' END AS action
-FROM (SELECT *, dir || '/' || replace(file, old_id, new_id) AS newpath FROM ({_MAPPED}) c) AS d""")
+FROM (SELECT *, dir || '/' || replace(file, old_id, new_id) AS newpath FROM ({_MAPPED}) c) AS d""", "rename", "path, newpath, old_id, new_id, n_mappings"))
 def _(inputs):
     return renames.rename_by_mapping(_mapped_files(inputs), _mapping(inputs))
 
@@ -181,9 +203,10 @@ def _(inputs):
     return renames.copy_page(named, "in/", "out/", 51, 150)
 
 
-@query("r09_rename_pairs", """
-SELECT o.path, replace(o.path, o.seqprep, s.uid) AS newpath, s.uid AS seqprep FROM ox_old_parsed o
-JOIN fx_biospecimens b ON b.uid = o.seqprep JOIN fx_seqpreps s ON s.biospecimen_id = b.id AND s.s_well = o.s_well""")
+@query("r09_rename_pairs", _clashing("""
+SELECT *, CASE WHEN newpath IN (SELECT path FROM fx_oldnames) THEN 'exists' ELSE 'rename' END AS action FROM (
+  SELECT o.path, replace(o.path, o.seqprep, s.uid) AS newpath, s.uid AS seqprep FROM ox_old_parsed o
+  JOIN fx_biospecimens b ON b.uid = o.seqprep JOIN fx_seqpreps s ON s.biospecimen_id = b.id AND s.s_well = o.s_well) AS x""", "rename", "path, newpath, seqprep"))
 def _(inputs):
     pairs = choices(inputs).select(F.col("biospecimen").alias("sample"), F.col("prep_well").alias("s_well"), F.col("prep").alias("seqprep"))
     return renames.rename_pairs(with_name_parts(inputs["fx_oldnames"]), pairs)
@@ -191,15 +214,19 @@ def _(inputs):
 
 @query("r10_sync_plan", """
 SELECT rel, size, reason FROM (
-  SELECT substr(path, 21) AS rel, size, CASE WHEN size % 5 = 0 THEN 'absent' WHEN size % 7 = 0 THEN 'size' WHEN size % 11 = 0 THEN 'time' END AS reason
+  SELECT CASE WHEN size % 3 = 0 THEN 'copy/data/processed/mgx/' ELSE '' END || substr(path, 21) AS rel, CASE WHEN size % 13 <> 0 THEN size END AS size,
+    CASE WHEN size % 5 = 0 THEN 'absent' WHEN size % 13 <> 0 AND size % 7 = 0 THEN 'size' WHEN size % 11 = 0 THEN 'time' END AS reason
   FROM fx_files) AS x WHERE reason IS NOT NULL""")
 def _(inputs):
-    rel = sync.relative_path(F.col("path"), "/data/processed/mgx")
-    source = inputs["fx_files"].select(rel.alias("rel"), "size", "mod")
+    # the root stands again inside every third path; some sizes are not known on either side
+    again = F.when(F.col("size") % 3 == 0, F.lit("/data/processed/mgx/copy")).otherwise("")
+    rel = sync.relative_path(F.concat(again, "path"), "/data/processed/mgx")
+    size = F.when(F.col("size") % 13 != 0, F.col("size"))
+    source = inputs["fx_files"].select(rel.alias("rel"), size.alias("size"), "mod", F.col("size").alias("n"))
     later = F.col("mod") + F.expr("INTERVAL 1 SECOND")
-    destination = source.filter("size % 5 <> 0").select(
+    destination = source.filter("n % 5 <> 0").select(
         "rel",
-        F.when(F.col("size") % 7 == 0, F.col("size") + 1).otherwise(F.col("size")).alias("size"),
-        F.when(F.col("size") % 11 == 0, later).otherwise(F.col("mod")).alias("mod"),
+        F.when(F.col("n") % 7 == 0, F.col("size") + 1).otherwise(F.col("size")).alias("size"),
+        F.when(F.col("n") % 11 == 0, later).otherwise(F.col("mod")).alias("mod"),
     )
-    return sync.sync_plan(source, destination)
+    return sync.sync_plan(source.drop("n"), destination)

@@ -90,12 +90,14 @@ def known_as(inputs: Inputs) -> DataFrame:
     )
 
 
-def named_by_well(inputs: Inputs) -> DataFrame:
+def named_by_well(inputs: Inputs, times: int = 1) -> DataFrame:
     parsed = with_name_parts(inputs["fx_oldnames"]).filter("seqprep IS NOT NULL")
     spelled = F.when(F.right("seqprep", F.lit(4)).cast("bigint") % 3 == 1, F.lit("FG_")).otherwise(F.lit("FG"))
     files = parsed.select(
         F.replace("file", F.lit("FG"), spelled).alias("file"), F.replace("seqprep", F.lit("FG"), spelled).alias("sample")
     ).select(F.concat(F.lit("d/"), "file").alias("path"), "file", "sample", F.lit("d").alias("dir"))
+    for _ in range(times - 1):
+        files = files.unionAll(files)
     specimens = known_as(inputs)
     preps = reconcile.prep_choices(specimens, prep_edges(inputs), inputs["fx_seqpreps"])
     return reconcile.resolve_by_name_well(files, preps, specimens)
@@ -116,6 +118,11 @@ def _(inputs):
     return named_by_well(inputs).select("path", "file", "sample", "seqid", "remote_well")
 
 
+@query("j12_repeated_paths", f"SELECT path, file, sample, seqid, remote_well FROM ({BY_NAME_WELL_SQL}) n CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2) t")
+def _(inputs):
+    return named_by_well(inputs, times=2).select("path", "file", "sample", "seqid", "remote_well")
+
+
 @query("j14_three_way_status", """
 SELECT * FROM (
   SELECT r.uid AS seqprep, r.s_well,
@@ -158,13 +165,13 @@ _LISTED_SAMPLES = """
 SELECT DISTINCT b.uid AS biospecimen, p.s_well, p.seqprep AS sample FROM ox_old_parsed p
 JOIN fx_seqpreps s ON s.uid = p.seqprep JOIN fx_biospecimens b ON b.id = s.biospecimen_id"""
 _PAIR_FILES = """
-SELECT DISTINCT b.uid AS biospecimen, s.s_well, b.uid || '_' || s.s_well || '_kneaddata_paired_1.fastq.gz' AS file
-FROM fx_biospecimens b JOIN fx_seqpreps s ON s.biospecimen_id = b.id"""
+SELECT DISTINCT b.uid AS biospecimen, s.s_well, b.uid || '_' || s.s_well || '_kneaddata_paired_' || m.mate || '.fastq.gz' AS file
+FROM fx_biospecimens b JOIN fx_seqpreps s ON s.biospecimen_id = b.id CROSS JOIN (SELECT '1' AS mate UNION ALL SELECT '2') m"""
 
 
 def pair_files(inputs: Inputs) -> DataFrame:
     lines = choices(inputs).select(F.concat("biospecimen", F.lit("_"), "prep_well", F.lit("_kneaddata_paired")).alias("value"))
-    return names.cleaned_pairs(lines).filter(F.endswith(F.col("file"), F.lit("_1.fastq.gz")))
+    return names.cleaned_pairs(lines)
 
 
 def listed_samples(inputs: Inputs) -> DataFrame:

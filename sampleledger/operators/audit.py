@@ -186,8 +186,9 @@ class Audit:
 def audit_listing(
     listing: DataFrame, seqpreps: DataFrame, known: Sequence[str] = KNOWN_SUFFIXES, keep: bool = False
 ) -> Audit:
-    """Audit a parsed listing. With ``keep`` the per-sample evidence is checkpointed when first
-    used, so that the tables and reports made of it do not read the listing again for it."""
+    """Audit a parsed listing. With ``keep`` the per-sample evidence is computed now and checkpointed
+    in the folder that ``spark.checkpoint.dir`` names, so that the tables and reports made of it do
+    not read the listing again for it. Without it nothing runs."""
     remote = remote_status(seqpreps)
     evidence = sample_evidence(listing, known)
     decided = verdicts(kept(evidence) if keep else evidence, remote)

@@ -30,9 +30,16 @@ def back_edges(records: DataFrame, field: str, key: str = "id") -> DataFrame:
 # --- resolving the links of a column ------------------------------------------------------
 
 
+def as_links(df: DataFrame, column: str) -> Column:
+    """The link cell as an array: a plain id is an array of one, a missing id stays missing."""
+    if dict(df.dtypes)[column].startswith("array"):
+        return F.col(column)
+    return F.when(F.col(column).isNotNull(), F.array(column))
+
+
 def multiple_links(df: DataFrame, column: str) -> DataFrame:
     """Rows whose link array does not have exactly one element (an empty one too)."""
-    return df.filter(F.size(column) != 1)
+    return df.filter(F.size(as_links(df, column)) != 1)
 
 
 def unknown_links(links: DataFrame, targets: DataFrame, child: str = "child_id") -> DataFrame:
@@ -49,24 +56,24 @@ def _resolve(df: DataFrame, link: Column, targets: DataFrame, spread_by: list[st
 def resolve_strict(
     df: DataFrame, column: str, targets: DataFrame, spread_by: list[str] | None = None, check: bool = False
 ) -> DataFrame:
-    """Join the record a one-element link names; a missing link stays missing.
+    """Join the record a one-element link, or a plain id, names; a missing link stays missing.
 
     ``targets`` has ``id`` and the columns to add. With ``check``, cells with other than one link
     and links to no record are errors; otherwise see :func:`multiple_links`, :func:`unknown_links`.
     """
     if check:
         if not multiple_links(df, column).isEmpty():
-            raise LinkError("At least one record has other than one entry in " + column)
-        named = df.select(F.element_at(column, 1).alias("child_id"))
+            raise LinkError(f"some cells of {column} hold several links or an empty array")
+        named = df.select(F.try_element_at(as_links(df, column), F.lit(1)).alias("child_id"))
         if not unknown_links(named, targets).isEmpty():
-            raise LinkError("At least one link names no record in " + column)
-    single = F.when(F.size(column) == 1, F.element_at(column, 1))
-    return _resolve(df, single, targets, spread_by)
+            raise LinkError(f"some links in {column} lead to no record")
+    cell = as_links(df, column)
+    return _resolve(df, F.when(F.size(cell) == 1, F.try_element_at(cell, F.lit(1))), targets, spread_by)
 
 
 def resolve_first(df: DataFrame, column: str, targets: DataFrame, spread_by: list[str] | None = None) -> DataFrame:
-    """Join the record of the first link; no link, no record."""
-    return _resolve(df, F.try_element_at(F.col(column), F.lit(1)), targets, spread_by)
+    """Join the record of the first link, or of a plain id; no link, no record."""
+    return _resolve(df, F.try_element_at(as_links(df, column), F.lit(1)), targets, spread_by)
 
 
 def resolve_flat(df: DataFrame, column: str, targets: DataFrame) -> DataFrame:
@@ -76,7 +83,10 @@ def resolve_flat(df: DataFrame, column: str, targets: DataFrame) -> DataFrame:
 
 
 def resolve_all(df: DataFrame, column: str, targets: DataFrame, key: str, into: str = "linked") -> DataFrame:
-    """Per row, the array of linked records in link order (as long as the row's link array)."""
+    """Per row, the array of linked records in link order (as long as the row's link array).
+
+    ``key`` has to be unique, as a record id is: the arrays of rows that share it would be one.
+    """
     flat = df.select(key, F.posexplode_outer(column).alias("pos", "_link"))
     record = F.struct(*[F.col(c) for c in targets.columns if c != "id"])
     targeted = targets.select(F.col("id").alias("_target"), record.alias("_record"))
@@ -112,47 +122,53 @@ def _kept(strict: bool, keep: str = "keep") -> Column:
     return ~F.col(keep).cast("int").eqNullSafe(F.lit(0)) if strict else F.lit(True)
 
 
-def project_subjects(
-    projects: DataFrame, project_links: DataFrame, subjects: DataFrame, project: str | None = None, strict: bool = True
-) -> DataFrame:
-    """Subjects of one project, or of every project (a subject of two appears twice)."""
-    return _members(projects, project_links, subjects, project).filter(_kept(strict))
+def with_parents(records: DataFrame, field: str) -> DataFrame:
+    """One row per parent a record names in its back-reference array, as ``parent_id``. The edge is
+    in the row already, so this joins nothing."""
+    return records.select("*", F.explode(field).alias("parent_id")).drop(field)
+
+
+def with_parents_by_links(edge_rows: DataFrame, records: DataFrame) -> DataFrame:
+    """The same by ``(parent_id, child_id)`` edges of the parents' link arrays."""
+    rows = edge_rows.select("parent_id", F.col("child_id").alias("id"))
+    return rows.join(records.drop("parent_id"), "id")
+
 
+def _below(children: DataFrame, parents: DataFrame) -> DataFrame:
+    """Children whose parent is there, with the parent's columns but its id. The parents' key is
+    unique and neither side is grouped, so adaptive execution can split a parent with very many."""
+    return children.join(parents.withColumnRenamed("id", "parent_id"), "parent_id").drop("parent_id")
 
-def _members(projects: DataFrame, project_links: DataFrame, subjects: DataFrame, project: str | None) -> DataFrame:
+
+def project_subjects(projects: DataFrame, subjects: DataFrame, project: str | None = None, strict: bool = True) -> DataFrame:
+    """Subjects of one project, or of every project (a subject of two appears twice).
+
+    ``subjects`` has a row per parent, see :func:`with_parents`; so have the other children here.
+    """
+    return _members(projects, subjects, project).filter(_kept(strict))
+
+
+def _members(projects: DataFrame, subjects: DataFrame, project: str | None) -> DataFrame:
     chosen = projects if project is None else projects.filter(F.col("uid") == project)
-    parents = chosen.select(F.col("id").alias("parent_id"), F.col("uid").alias("project"))
-    linked = matched(project_links, parents, "parent_id").select("project", F.col("child_id").alias("id"))
-    return matched(linked, subjects, "id")
+    return _below(subjects.drop("project"), chosen.select("id", F.col("uid").alias("project")))
 
 
 def project_biospecimens(
-    projects: DataFrame,
-    project_links: DataFrame,
-    subjects: DataFrame,
-    subject_links: DataFrame,
-    biospecimens: DataFrame,
-    project: str | None = None,
-    strict: bool = True,
+    projects: DataFrame, subjects: DataFrame, biospecimens: DataFrame, project: str | None = None, strict: bool = True
 ) -> DataFrame:
     """Biospecimens of the subjects of a project.
 
     Strict looks at the biospecimen's ``keep``, not at the subject's. Nothing is deduplicated.
     """
-    members = _members(projects, project_links, subjects.select("id", F.col("uid").alias("subject")), project)
-    parents = members.select("project", "subject", F.col("id").alias("parent_id"))
-    linked = matched(subject_links, parents, "parent_id").select("project", "subject", F.col("child_id").alias("id"))
-    return matched(linked, biospecimens, "id").filter(_kept(strict))
+    people = subjects.select("id", "parent_id", F.col("uid").alias("subject"))
+    members = _members(projects, people, project).select("id", "project", "subject")
+    return _below(biospecimens.drop("project", "subject"), members).filter(_kept(strict))
 
 
-def biospecimen_seqpreps(
-    biospecimens: DataFrame, prep_links: DataFrame, seqpreps: DataFrame, strict: bool = True
-) -> DataFrame:
+def biospecimen_seqpreps(biospecimens: DataFrame, seqpreps: DataFrame, strict: bool = True) -> DataFrame:
     """Sequencing preps of biospecimens; ``biospecimen`` is the parent's uid."""
-    parents = biospecimens.select("project", F.col("id").alias("parent_id"), F.col("uid").alias("biospecimen"))
-    preps = seqpreps.drop("biospecimen") if "biospecimen" in seqpreps.columns else seqpreps
-    linked = matched(prep_links, parents, "parent_id").select("project", "biospecimen", F.col("child_id").alias("id"))
-    return matched(linked, preps, "id").filter(_kept(strict))
+    parents = biospecimens.select("id", "project", F.col("uid").alias("biospecimen"))
+    return _below(seqpreps.drop("project", "biospecimen"), parents).filter(_kept(strict))
 
 
 def visit_flags(
@@ -176,12 +192,17 @@ def visit_flags(
     return subjects.join(at_visit, "id", "left").withColumns(flags)
 
 
-def attach_flags(ids: DataFrame, flags: DataFrame, id_column: str, flag_key: str, columns: list[str]) -> DataFrame:
-    """Flags of an outside id list, 0 where the id is unknown.
+def attach_flags(
+    ids: DataFrame, flags: DataFrame, id_column: str, flag_key: str, columns: list[str], check: bool = False
+) -> DataFrame:
+    """Flags of an outside id list, 0 where the id is unknown; the list keeps its rows.
 
-    The right key must be unique; :func:`repeated_flag_keys` lists those that are not.
+    Of a flag key that comes more than once each flag is the largest of its rows.
+    :func:`repeated_flag_keys` lists such keys, and with ``check`` any of them is an error.
     """
-    wanted = flags.select(F.col(flag_key).alias("_flag_key"), *columns)
+    if check and not repeated_flag_keys(flags, flag_key).isEmpty():
+        raise LinkError(f"some values of {flag_key} have several rows of flags")
+    wanted = flags.groupBy(F.col(flag_key).alias("_flag_key")).agg(*[F.max(c).alias(c) for c in columns])
     joined = attach(ids, wanted, {id_column: "_flag_key"})
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
 
@@ -200,8 +221,9 @@ def rename_map(biospecimens: DataFrame, prep_links: DataFrame, seqpreps: DataFra
 def listing_biospecimens(listing: DataFrame, seqpreps: DataFrame, biospecimens: DataFrame) -> DataFrame:
     """Each listing row with the uid of its sample's biospecimen.
 
-    ``seqpreps`` has ``uid`` and a ``biospecimen`` link array. The records are joined first, so the
-    listing is shuffled at most once.
+    ``seqpreps`` has ``uid`` and a ``biospecimen`` link. The records are joined first, so the listing
+    is shuffled at most once. Of a uid that several preps share the smallest biospecimen is taken, so
+    the listing keeps its rows.
     """
     named = resolve_strict(
         seqpreps.select(F.col("uid").alias("_prep"), "biospecimen"),
@@ -209,5 +231,5 @@ def listing_biospecimens(listing: DataFrame, seqpreps: DataFrame, biospecimens:
         biospecimens.select("id", F.col("uid").alias("_biospecimen")),
         spread_by=["_prep"],
     )
-    lookup = named.select("_prep", F.col("_biospecimen").alias("biospecimen"))
+    lookup = named.groupBy("_prep").agg(F.min("_biospecimen").alias("biospecimen"))
     return attach(listing, lookup, {"seqprep": "_prep"}, spread_by=["path"])

@@ -19,6 +19,14 @@ class MissingKey(KeyError):
     """A record that must exist does not."""
 
 
+class UnknownProject(MissingKey):
+    """No project has this name; ``options`` is the table of all projects (uid, id)."""
+
+    def __init__(self, project: str, options: DataFrame):
+        super().__init__(f"no project is called {project!r}; see `options` for those there are")
+        self.options = options
+
+
 def by_uid(records: DataFrame, table: str, uid: str) -> DataFrame:
     return records.filter((F.col("tbl") == table) & (F.col("uid") == uid))
 
@@ -99,11 +107,9 @@ def invalid_projects(wanted: DataFrame, projects: DataFrame, column: str = "proj
 
 
 def check_project(projects: DataFrame, project: str) -> None:
-    """Raise when the name is no project; the error names some of the projects there are."""
+    """Raise when no project has the name. The error carries the projects there are as a table."""
     if projects.filter(F.col("uid") == project).isEmpty():
-        named = [r["uid"] for r in projects.select("uid").orderBy("uid").limit(50).collect()]
-        options = ", ".join(f'"{u}"' for u in named)
-        raise MissingKey(f'"{project}" is not a valid project. Possible options are {options}')
+        raise UnknownProject(project, project_list(projects))
 
 
 def all_match(keys: DataFrame, column: str, pattern: str) -> DataFrame:

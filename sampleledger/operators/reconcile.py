@@ -34,24 +34,37 @@ def resolve_samples(listing: DataFrame, choices: DataFrame) -> DataFrame:
     whatever the well; with several, the first (by link place) whose well is the file's; else none.
     Files that did not parse are left out.
 
-    Both look-ups have one row per key, so the listing never fans out and is never grouped.
+    The names are resolved once per (sample, well), which combine on the map side, and the listing
+    is joined to the answers once, on both columns.
     """
-    counted = choices.groupBy("biospecimen").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("prep").alias("_only")
-    )
+    counted = choices.groupBy("biospecimen").agg(F.count(F.lit(1)).alias("_n"), F.min("prep").alias("_only"))
     single = counted.filter("_n = 1").select("biospecimen", "_only")
     by_well = (
         choices.filter(F.col("prep_well").isNotNull())
-        .groupBy("biospecimen", "prep_well")
+        .groupBy("biospecimen", F.col("prep_well").alias("s_well"))
         .agg(F.min_by("prep", "pos").alias("_by_well"))
     )
     samples = listing.filter(F.col("seqprep").isNotNull()).withColumnRenamed("seqprep", "sample")
-    found = attach(samples, single, {"sample": "biospecimen"}, spread_by=["path"])
-    found = attach(found, by_well, {"sample": "biospecimen", "s_well": "prep_well"}, spread_by=["path"])
-    named = F.when(is_sequencing_name(F.col("sample")), F.col("sample")).otherwise(
-        F.coalesce("_only", "_by_well")
+    asked = samples.filter(~is_sequencing_name(F.col("sample"))).select(F.col("sample").alias("biospecimen"), "s_well").distinct()
+    answers = (
+        asked.join(single, "biospecimen", "left").join(by_well, ["biospecimen", "s_well"], "left")
+        .select("biospecimen", F.coalesce("s_well", F.lit("")).alias("_well"), F.coalesce("_only", "_by_well").alias("_prep"))
+        .filter(F.col("_prep").isNotNull())
+    )
+    found = attach(
+        samples.withColumn("_well", F.coalesce("s_well", F.lit(""))), answers, {"sample": "biospecimen", "_well": "_well"}, spread_by=["path"]
     )
-    return found.withColumn("seqprep", named).drop("_only", "_by_well")
+    named = F.when(is_sequencing_name(F.col("sample")), F.col("sample")).otherwise(F.col("_prep"))
+    return found.withColumn("seqprep", named).drop("_well", "_prep")
+
+
+def spellings(biospecimen_uids: DataFrame) -> DataFrame:
+    """``(spelled, specimen)``: every uid under its own name and with ``_`` and ``-`` exchanged, one
+    row per name; the own name goes before an exchanged one."""
+    uid = F.col("uid")
+    both = F.array(F.struct(uid.alias("spelled"), F.lit(0).alias("rank")), F.struct(swap_separators(uid).alias("spelled"), F.lit(1).alias("rank")))
+    rows = biospecimen_uids.filter(uid.isNotNull()).select(uid.alias("specimen"), F.explode(both).alias("s"))
+    return rows.groupBy("s.spelled").agg(F.min(F.struct("s.rank", "specimen")).alias("best")).select("spelled", "best.specimen")
 
 
 def resolve_by_name_well(files: DataFrame, choices: DataFrame, biospecimen_uids: DataFrame) -> DataFrame:
@@ -60,29 +73,28 @@ def resolve_by_name_well(files: DataFrame, choices: DataFrame, biospecimen_uids:
     The biospecimen is the one named ``sample``, else the one named with ``_`` and ``-`` exchanged.
     Exactly one prep of it must have its well in the name. ``files`` has ``path, file, sample``;
     a well holds no ``_``, so a well in a name is an inner word between underscores.
-    """
-    known = biospecimen_uids.select(F.col("uid").alias("_known")).distinct()
-    plain = known.withColumn("_plain", F.col("_known"))
-    swapped = known.withColumn("_swapped", F.col("_known"))
-    placed = attach(files, plain, {"sample": "_known"}, spread_by=["path"])
-    placed = attach(
-        placed.withColumn("_other", swap_separators(F.col("sample"))), swapped, {"_other": "_known"}, spread_by=["path"]
-    ).withColumn("_specimen", F.coalesce("_plain", "_swapped"))
 
+    The answer depends on (sample, file) alone, so distinct pairs are resolved and the files joined
+    to the answers once; a path that is listed twice is answered twice.
+    """
     words = F.split("file", "_")
     inner = F.when(F.size(words) > 2, F.array_distinct(F.slice(words, F.lit(2), F.size(words) - 2)))
-    tokens = placed.filter(F.col("_specimen").isNotNull()).select("path", "_specimen", F.explode(inner).alias("_well"))
-    per_well = choices.groupBy(
-        F.col("biospecimen").alias("_specimen"), F.col("prep_well").alias("_well")
+    asked = files.filter(F.col("sample").isNotNull()).select("sample", "file").distinct()
+    # one row per (sample, file, inner word), so one sample's many files are no single row
+    named = asked.select("sample", "file", F.explode(inner).alias("_well"))
+    specimens = spellings(biospecimen_uids)
+    per_well = choices.filter(F.col("prep_well").isNotNull()).groupBy(
+        F.col("biospecimen").alias("specimen"), F.col("prep_well").alias("_well")
     ).agg(F.count(F.lit(1)).alias("_n"), F.min("prep").alias("_prep"))
+    by_name = specimens.join(per_well, "specimen").select(F.col("spelled").alias("sample"), "_well", "_n", "_prep")
     hits = (
-        matched(tokens, per_well, ["_specimen", "_well"])
-        .groupBy("path")
+        matched(named, by_name, ["sample", "_well"])
+        .groupBy("sample", "file")
         .agg(F.sum("_n").alias("_hits"), F.min("_prep").alias("seqid"), F.min("_well").alias("remote_well"))
         .filter("_hits = 1")
         .drop("_hits")
     )
-    return files.join(hits, "path", "left")
+    return attach(files, hits, {"file": "file", "sample": "sample"}, spread_by=["path"])
 
 
 # --- local against remote -----------------------------------------------------------------

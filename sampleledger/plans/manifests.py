@@ -162,14 +162,27 @@ def input_pair_errors(files: DataFrame, samples: DataFrame) -> DataFrame:
 # --- stages -------------------------------------------------------------------------------
 
 
-def _endings(markers: Mapping[str, Sequence[str]], db: str, tag: str) -> list[tuple[str, str]]:
+def _endings(markers: Mapping[str, Sequence[str]], tag: str = "") -> list[tuple[str, str]]:
     return [
-        (f"{stage}_{i}", name.format(sample="", db=db, tag=tag))
-        for stage, names in markers.items()
+        (f"marker_{k}_{i}", name.format(sample="", tag=tag))
+        for k, names in enumerate(markers.values())
         for i, name in enumerate(names)
     ]
 
 
+def _per_database(markers: Mapping[str, Sequence[str]], dbs: Sequence[str]) -> dict[str, list[str]]:
+    """The markers with every stage that names a database once per database, as ``stage:database``
+    where there are several."""
+    out: dict[str, list[str]] = {}
+    for stage, names in markers.items():
+        if not any("{db}" in name for name in names):
+            out[stage] = list(names)
+            continue
+        for db in dbs:
+            out[stage if len(dbs) == 1 else f"{stage}:{db}"] = [name.replace("{db}", db) for name in names]
+    return out
+
+
 def _markers_found(files: DataFrame, samples: DataFrame, endings: list[tuple[str, str]]) -> DataFrame:
     """Per sample, which marker files exist.
 
@@ -205,8 +218,8 @@ def _long(wide: DataFrame, status: Mapping[str, Column]) -> DataFrame:
 
 def _done(markers: Mapping[str, Sequence[str]]) -> dict[str, Column]:
     done = {}
-    for stage, names in markers.items():
-        first, *rest = [F.col(f"{stage}_{i}") for i in range(len(names))]
+    for k, (stage, names) in enumerate(markers.items()):
+        first, *rest = [F.col(f"marker_{k}_{i}") for i in range(len(names))]
         for c in rest:
             first = first & c
         done[stage] = first
@@ -217,19 +230,26 @@ def stage_plan(
     files: DataFrame,
     samples: DataFrame,
     raw: DataFrame | None = None,
-    db: str = PROFILE_DATABASE,
+    dbs: Sequence[str] = (PROFILE_DATABASE,),
     tag: str = FUNCTION_VERSION_TAG,
 ) -> DataFrame:
     """``(sample, stage, status)`` of the current pipeline.
 
-    A stage is done when its marker files exist. The joined file is deleted at the end of a run, so
-    concatenation is pending only while profiling or gene families, which read it, are. Regrouping
+    A stage is done when its marker files exist. Samples are profiled with each of ``dbs``; of
+    several, the stages that name a database come once for each, as ``stage:database``. The joined
+    file is deleted at the end of a run, so concatenation is pending only while a profile of any
+    database or gene families, which read it, are. Regrouping
     has no marker: it runs every time. With a raw manifest, cleaning of reads that a sample does
     not have is ``not_needed``.
     """
-    wide = _markers_found(files, samples, _endings(STAGE_MARKERS, db, tag))
-    done = _done(STAGE_MARKERS)
-    done["concat"] = done["concat"] | (done["relab_profile"] & done["genefamilies"])
+    markers = _per_database(STAGE_MARKERS, dbs)
+    wide = _markers_found(files, samples, _endings(markers, tag))
+    done = _done(markers)
+    readers = done["genefamilies"]
+    for stage, flag in done.items():
+        if stage.split(":")[0] == "relab_profile":
+            readers = readers & flag
+    done["concat"] = done["concat"] | readers
     status = {stage: F.when(flag, "done").otherwise("pending") for stage, flag in done.items()}
     status["regroup_rename"] = F.lit("pending")
     if raw is not None:
@@ -241,7 +261,7 @@ def stage_plan(
 
 def older_stage_plan(files: DataFrame, samples: DataFrame) -> DataFrame:
     """``(sample, stage, status)`` of the older pipeline: one marker file per stage."""
-    wide = _markers_found(files, samples, _endings(OLDER_STAGE_MARKERS, "", ""))
+    wide = _markers_found(files, samples, _endings(OLDER_STAGE_MARKERS))
     return _long(wide, {s: F.when(d, "done").otherwise("pending") for s, d in _done(OLDER_STAGE_MARKERS).items()})
 
 

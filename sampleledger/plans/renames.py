@@ -51,16 +51,34 @@ def one_name_each(rename_map: DataFrame) -> DataFrame:
     return rename_map.groupBy("oldname").agg(F.min("seqname").alias("newname"))
 
 
-def rename_unambiguous(renamed: DataFrame) -> DataFrame:
-    """Rename plan: old names whose files have more than one well are skipped.
+def _first_takes(plan: DataFrame, act: str) -> DataFrame:
+    """Of several files that would ``act`` on one ``newpath`` the first by path does; the others
+    become ``clash``, for each would overwrite the one before. The first is found by grouping."""
+    first = plan.filter(F.col("action") == act).groupBy("newpath").agg(F.min("path").alias("_first"))
+    marked = attach(plan, first, "newpath", spread_by=["path"])
+    late = (F.col("action") == act) & (F.col("path") != F.col("_first"))
+    return marked.withColumn("action", F.when(late, "clash").otherwise(F.col("action"))).drop("_first")
 
-    ``renamed`` is from :func:`renamed_by_map`. The wells are counted on distinct (name, well) rows.
+
+def _path_exists(plan: DataFrame, listing: DataFrame) -> DataFrame:
+    have = listing.select(F.col("path").alias("newpath"), F.lit(True).alias("_exists")).distinct()
+    return attach(plan, have, "newpath", spread_by=["path"]).withColumn("_exists", F.coalesce("_exists", F.lit(False)))
+
+
+def rename_unambiguous(renamed: DataFrame, listing: DataFrame) -> DataFrame:
+    """Rename plan: ``ambiguous`` (old names whose files have more than one well), ``exists``,
+    ``clash`` or ``rename``.
+
+    ``renamed`` is from :func:`renamed_by_map`, ``listing`` what is there already. The wells are
+    counted on distinct (name, well) rows.
     """
     several = (
         renamed.select("oldname", "s_well").distinct().groupBy("oldname").agg((F.count(F.lit(1)) > 1).alias("_several"))
     )
-    return matched(renamed, several, "oldname").select(
-        "path", "newpath", "oldname", "s_well", F.when(F.col("_several"), "ambiguous").otherwise("rename").alias("action")
+    plan = _path_exists(matched(renamed, several, "oldname"), listing)
+    action = F.when(F.col("_several"), "ambiguous").when(F.col("_exists"), "exists").otherwise("rename")
+    return _first_takes(plan.select("path", "newpath", "oldname", "s_well", action.alias("action")), "rename").select(
+        "path", "newpath", "oldname", "s_well", "action"
     )
 
 
@@ -81,11 +99,12 @@ def _moves(resolved: DataFrame, existing: DataFrame, newdir: Column) -> DataFram
     action = (
         F.when(F.col("seqprep").isNull(), "unresolved").when(F.col("_exists"), "exists").otherwise("move")
     )
-    return plan.select("path", F.concat(newdir, "newfile").alias("newpath"), action.alias("action"))
+    moves = plan.select("path", F.concat(newdir, "newfile").alias("newpath"), action.alias("action"))
+    return _first_takes(moves, "move").select("path", "newpath", "action")
 
 
 def move_old_names(resolved: DataFrame, existing: DataFrame) -> DataFrame:
-    """Move plan for files under old names: ``unresolved``, ``exists`` or ``move``.
+    """Move plan for files under old names: ``unresolved``, ``exists``, ``clash`` or ``move``.
 
     ``resolved`` is from :func:`sampleledger.operators.reconcile.resolve_samples`; ``existing`` is
     the listing whose sequencing-named files count as existing.
@@ -102,15 +121,17 @@ def move_across(
 
 
 def replace_or_move(resolved: DataFrame, existing: DataFrame, id_column: str = "seqid") -> DataFrame:
-    """Files with a resolved id: the old file is removed where the target exists, else moved."""
+    """Files with a resolved id: the old file is removed where the target exists, else moved; of
+    several with one target the first is moved and the others ``clash``."""
     chosen = resolved.filter(F.col(id_column).isNotNull()).withColumn(
         "newfile", replace_id(F.col("file"), F.col("sample"), F.col(id_column))
     )
-    return _target_exists(chosen, existing).select(
+    plan = _target_exists(chosen, existing).select(
         "path",
         F.concat("dir", F.lit("/"), "newfile").alias("newpath"),
         F.when(F.col("_exists"), "remove").otherwise("move").alias("action"),
     )
+    return _first_takes(plan, "move").select("path", "newpath", "action")
 
 
 def rename_substring(files: DataFrame, find: str, replacement: str) -> DataFrame:
@@ -139,10 +160,11 @@ def rename_by_mapping(files: DataFrame, mapping: DataFrame) -> DataFrame:
     """Rename plan by an ``(old_id, new_id)`` mapping for files whose name holds an old id.
 
     One mapping applies per file, the one with the longest old id (then the first); ``n_mappings``
-    tells how many apply. Action ``conflict`` marks targets that exist.
+    tells how many apply. Action ``conflict`` marks targets that exist, ``clash`` all but the first
+    of several files with one target. A path that is listed twice counts once.
     """
     renames = mapping.groupBy("old_id").agg(F.min("new_id").alias("new_id"))
-    hits = contained(files.select("dir", "file", "path"), "file", renames, "old_id")
+    hits = contained(files.select("dir", "file", "path").distinct(), "file", renames, "old_id")
     rank = F.struct(F.length("old_id").alias("n"), "old_id")
     chosen = hits.groupBy("path").agg(
         F.any_value("dir").alias("dir"),
@@ -154,11 +176,9 @@ def rename_by_mapping(files: DataFrame, mapping: DataFrame) -> DataFrame:
         "path", "n_mappings", "m.old_id", "m.new_id",
         F.concat("dir", F.lit("/"), replace_id(F.col("file"), F.col("m.old_id"), F.col("m.new_id"))).alias("newpath"),
     )
-    have = files.select(F.col("path").alias("newpath"), F.lit(True).alias("_exists")).distinct()
-    return matched(targeted, have, "newpath", "left").select(
-        "path", "newpath", "old_id", "new_id", "n_mappings",
-        F.when(F.col("_exists"), "conflict").otherwise("rename").alias("action"),
-    )
+    columns = ["path", "newpath", "old_id", "new_id", "n_mappings"]
+    plan = _path_exists(targeted, files).select(*columns, F.when(F.col("_exists"), "conflict").otherwise("rename").alias("action"))
+    return _first_takes(plan, "rename").select(*columns, "action")
 
 
 def unmatched_ids(files: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -204,10 +224,13 @@ def copy_page(files: DataFrame, source: str, target: str, first: int, last: int,
 
 
 def rename_pairs(listing: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rename plan for given ``(sample, s_well, seqprep)`` rows, exact on both, at any depth.
+    """Rename plan for given ``(sample, s_well, seqprep)`` rows, exact on both, at any depth:
+    ``exists``, ``clash`` or ``rename``.
 
     ``listing`` is parsed; its ``seqprep`` is the sample of the name.
     """
     files = listing.select(F.col("seqprep").alias("sample"), "s_well", "path")
     newpath = replace_id(F.col("path"), F.col("sample"), F.col("seqprep"))
-    return matched(files, pairs, ["sample", "s_well"]).select("path", newpath.alias("newpath"), "seqprep")
+    named = matched(files, pairs, ["sample", "s_well"]).select("path", newpath.alias("newpath"), "seqprep")
+    plan = _path_exists(named, listing).withColumn("action", F.when(F.col("_exists"), "exists").otherwise("rename"))
+    return _first_takes(plan, "rename").select("path", "newpath", "seqprep", "action")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: str | int = "*", shuffle_partitions: int = 8, checkpoint_dir: str = "/tmp/checkpoints"
+) -> SparkSession:
     """A local session. Adaptive execution stays on: it sizes shuffle partitions, turns a join
     whose side proves small into a broadcast join and splits skewed join partitions."""
     spark = (
@@ -18,6 +19,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", checkpoint_dir)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SAMPLELEDGER_DRIVER_MEMORY", "8g"))
@@ -28,16 +30,15 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage by a reliable checkpoint, written when first used.
+    """``df`` as a reliable checkpoint, computed now: with adaptive execution parts of a plan run
+    while it is checkpointed, so this is an explicit step.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session
-    without one gets a folder of its own.
+    The folder is the one named in ``spark.checkpoint.dir``; without one this is an error.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sampleledger-"))
-    return df.checkpoint(eager=False)
+        context.setCheckpointDir(named)
+    return df.checkpoint()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import itertools
 import os
 from collections.abc import Iterator
@@ -14,17 +15,14 @@ from sampleledger.fixed import LISTING_ZONE
 from sampleledger.functions.names import dir_of, file_of, with_name_parts
 
 
-# How often directories are spread over the cluster again before the rest is walked in place.
-_SPREADS = 3
-
-
-def list_files(spark: SparkSession, root: str, mode: str = "disk") -> DataFrame:
+def list_files(spark: SparkSession, root: str, mode: str = "disk", levels: int = 8) -> DataFrame:
     """Recursive listing, with modification time and size, of a file system every worker mounts.
 
     Lists every file, also empty ones and names that start with ``_`` or ``.``, which Spark's file
-    sources leave out (:func:`list_data_files`); hence the small Python step. Each pass turns
-    directories into their entries and spreads those again, the last one walks what is left, and
-    sizes and times are then read by all tasks, so one large folder does not hold up the rest.
+    sources leave out (:func:`list_data_files`); hence the small Python step. Each of ``levels``
+    passes turns directories into their entries and spreads those again. Folders deeper than that
+    are listed whole as well, each by the task that met it, so ``levels`` should be about the depth of
+    the tree. Sizes and times are then read by all tasks.
     """
 
     def entries_of(folder: str, whole: bool) -> Iterator[tuple[str, bool]]:
@@ -54,19 +52,19 @@ def list_files(spark: SparkSession, root: str, mode: str = "disk") -> DataFrame:
             for path in batch["path"]:
                 try:
                     status = os.stat(path)
-                    rows.append((path, status.st_size, status.st_mtime))
+                    rows.append((path, status.st_size, status.st_mtime_ns // 1000))
                 except FileNotFoundError:  # a link to nothing
-                    rows.append((path, 0, 0.0))
-            yield pd.DataFrame(rows, columns=["path", "size", "seconds"]).astype({"size": "int64", "seconds": "float64"})
+                    rows.append((path, 0, 0))
+            yield pd.DataFrame(rows, columns=["path", "size", "micros"]).astype({"size": "int64", "micros": "int64"})
 
     # A stated number of partitions: adaptive execution would merge so few bytes into one task.
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     entries = spark.createDataFrame([(root.rstrip("/") or "/", True)], "path string, is_dir boolean")
-    for step in range(_SPREADS + 1):
-        whole = step == _SPREADS
+    for step in range(levels + 1):
+        whole = step == levels
         entries = entries.mapInPandas(lambda b, whole=whole: expand(b, whole), entries.schema).repartition(tasks, "path")
-    found = entries.select("path").mapInPandas(measure, "path string, size bigint, seconds double")
-    return _with_place(found.select(F.timestamp_micros((F.col("seconds") * 1000000).cast("bigint")).alias("mod"), "size", "path"), mode)
+    found = entries.select("path").mapInPandas(measure, "path string, size bigint, micros bigint")
+    return _with_place(found.select(F.timestamp_micros("micros").alias("mod"), "size", "path"), mode)
 
 
 def list_data_files(spark: SparkSession, root: str, mode: str = "disk") -> DataFrame:
@@ -98,20 +96,31 @@ def parse_store_lines(
 ) -> DataFrame:
     """Listing rows of ``date time size key`` lines; lines with other than four words are dropped.
 
-    Times are read in ``zone`` and kept as instants, whatever the session's zone.
+    Times are read in ``zone`` and kept as instants, whatever the session's zone. A line of four
+    words whose time or size cannot be read is no row; :func:`rejected_store_lines` has it.
     """
+    found = _store_rows(lines, line, zone).filter(F.col("mod").isNotNull() & F.col("size").isNotNull())
+    return _with_place(found.select("mod", "size", F.concat(F.lit(f"s3://{bucket}/"), "key").alias("path")), "store")
+
+
+def rejected_store_lines(lines: DataFrame, line: str = "value", zone: str = LISTING_ZONE) -> DataFrame:
+    """Lines of four words whose time or size cannot be read."""
+    return _store_rows(lines, line, zone).filter(F.col("mod").isNull() | F.col("size").isNull()).select("line")
+
+
+def _store_rows(lines: DataFrame, line: str, zone: str) -> DataFrame:
     words = F.col("_words")
     stamped = F.concat(words[0], F.lit(" "), words[1], F.lit(f" {zone}"))
-    found = (
-        lines.select(F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ").alias("_words"))
+    return (
+        lines.select(F.col(line).alias("line"), F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ").alias("_words"))
         .filter(F.size(words) == 4)
         .select(
+            "line",
             F.try_to_timestamp(stamped, F.lit("yyyy-MM-dd HH:mm:ss VV")).alias("mod"),
             words[2].try_cast("bigint").alias("size"),
-            F.concat(F.lit(f"s3://{bucket}/"), words[3]).alias("path"),
+            words[3].alias("key"),
         )
     )
-    return _with_place(found, "store")
 
 
 def read_store_listing(spark: SparkSession, path: str, bucket: str, zone: str = LISTING_ZONE) -> DataFrame:
@@ -120,10 +129,30 @@ def read_store_listing(spark: SparkSession, path: str, bucket: str, zone: str =
 
 
 def first_lines(spark: SparkSession, root: str, name_glob: str = "*") -> DataFrame:
-    """First line of each file below ``root`` whose name fits the glob.
+    """First line of each file below ``root``, on a file system every worker mounts, whose name fits
+    the glob. No more than the line is read of a file. Empty files have no row.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                with open(path, "rb") as file:
+                    line = file.readline()
+                if line:
+                    rows.append((path, line.decode("utf-8", "replace").rstrip("\r\n")))
+            yield pd.DataFrame(rows, columns=["path", "first_line"])
+
+    wanted = list_files(spark, root).filter(F.rlike("file", F.lit(fnmatch.translate(name_glob))))
+    lines = wanted.filter("size > 0").select("path").mapInPandas(read, "path string, first_line string")
+    return lines.withColumns({"dir": dir_of(F.col("path")), "file": file_of(F.col("path"))})
+
+
+def first_lines_of_store(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
+    """:func:`first_lines` of any file system Spark reads. All of the files' text is scanned, so the
+    glob has to choose few or small ones.
 
     Right for files that are split: only rows of a file's first block count, in their order.
-    Empty files have no row.
     """
     rows = (
         spark.read.option("recursiveFileLookup", "true")

@@ -1,8 +1,7 @@
 """Record snapshots: reading, typing, uniting and writing record tables.
 
-A stored snapshot is a JSON array of ``{id, fields}`` objects. Such a file is one unsplittable
-unit, so it is the exchange format; for large tables write the snapshot once as parquet (or JSON
-lines) and read that.
+Snapshots arrive as a JSON array of ``{id, fields}`` objects. Such a file is one unsplittable unit,
+so :func:`import_snapshot` writes it once as JSON lines or parquet, which all readers take.
 """
 
 from __future__ import annotations
@@ -32,8 +31,26 @@ def with_identity(stored: DataFrame, table: str, fallback: str | None = None) ->
     return stored.select(F.lit(table).alias("tbl"), "id", uid_of(F.col("fields"), fallback).alias("uid"), "fields")
 
 
-def parse_records(lines: DataFrame, table: str, line: str = "value", fallback: str | None = None) -> DataFrame:
-    """Records from JSON lines; a line that is not a record object is dropped."""
+class RecordError(ValueError):
+    """Stored lines that are no records."""
+
+
+def _record(line: str) -> Column:
+    return F.try_variant_get(F.try_parse_json(line), "$.id", "string")
+
+
+def rejected_lines(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Lines that are no ``{id, fields}`` object; blank lines are none and are not rejected."""
+    return lines.filter((F.trim(line) != "") & _record(line).isNull())
+
+
+def parse_records(
+    lines: DataFrame, table: str, line: str = "value", fallback: str | None = None, check: bool = False
+) -> DataFrame:
+    """Records from JSON lines. Lines that are no records are left out and are the table of
+    :func:`rejected_lines`; with ``check`` any such line is an error."""
+    if check and not rejected_lines(lines, line).isEmpty():
+        raise RecordError(f"{table} has lines that are no records")
     parsed = lines.select(F.try_parse_json(line).alias("r"))
     stored = parsed.select(
         F.try_variant_get("r", "$.id", "string").alias("id"), F.try_variant_get("r", "$.fields", "variant").alias("fields")
@@ -41,22 +58,52 @@ def parse_records(lines: DataFrame, table: str, line: str = "value", fallback: s
     return with_identity(stored, table, fallback)
 
 
+def base_of(
+    lines: Mapping[str, DataFrame], fallbacks: Mapping[str, str] | None = None, check: bool = False
+) -> dict[str, DataFrame]:
+    """All record tables from the lines of each; a table without lines is empty."""
+    named, spark = fallbacks or {}, next(iter(lines.values())).sparkSession
+    empty = spark.createDataFrame([], "value string")
+    return {t: parse_records(lines.get(t, empty), t, fallback=named.get(t), check=check) for t in RECORD_TABLES}
+
+
+def snapshot_lines(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.text(f"{folder.rstrip('/')}/{snapshot_name(table)}")
+
+
 def read_table(
-    spark: SparkSession, folder: str, table: str, fallback: str | None = None, fmt: str = "array"
+    spark: SparkSession, folder: str, table: str, fallback: str | None = None, fmt: str = "lines", check: bool = True
 ) -> DataFrame:
-    """One record table from its snapshot: a JSON ``array``, JSON ``lines`` or ``parquet``."""
+    """One record table from its snapshot: JSON ``lines``, ``parquet`` or a JSON ``array``.
+
+    Lines and parquet are read by many tasks. An array is one unsplittable unit, so it is for
+    import alone (:func:`import_snapshot`). With ``check`` anything malformed is an error.
+    """
+    if fmt == "lines":
+        return parse_records(snapshot_lines(spark, folder, table), table, fallback=fallback, check=check)
     path = f"{folder.rstrip('/')}/{snapshot_name(table)}"
     reader = spark.read.schema(STORED_RECORD)
-    stored = reader.parquet(path) if fmt == "parquet" else reader.json(path, multiLine=fmt == "array")
-    return with_identity(stored, table, fallback)
+    if fmt == "array":
+        stored = reader.json(path, multiLine=True, mode="FAILFAST" if check else "PERMISSIVE")
+    else:
+        stored = reader.parquet(path)
+    return with_identity(stored.filter(F.col("id").isNotNull()) if not check else stored, table, fallback)
 
 
 def read_base(
-    spark: SparkSession, folder: str, fallbacks: Mapping[str, str] | None = None, fmt: str = "array"
+    spark: SparkSession, folder: str, fallbacks: Mapping[str, str] | None = None, fmt: str = "lines", check: bool = True
 ) -> dict[str, DataFrame]:
     """All record tables of a folder of snapshots."""
     named = fallbacks or {}
-    return {t: read_table(spark, folder, t, named.get(t), fmt) for t in RECORD_TABLES}
+    if fmt == "lines":
+        return base_of({t: snapshot_lines(spark, folder, t) for t in RECORD_TABLES}, named, check)
+    return {t: read_table(spark, folder, t, named.get(t), fmt, check) for t in RECORD_TABLES}
+
+
+def import_snapshot(spark: SparkSession, source: str, folder: str, table: str, fmt: str = "lines") -> None:
+    """Write a JSON array snapshot once as ``lines`` or ``parquet``; its records may hold anything,
+    but a malformed file is an error."""
+    write_snapshot(read_table(spark, source, table, fmt="array"), f"{folder.rstrip('/')}/{snapshot_name(table)}", fmt)
 
 
 def all_records(base: Mapping[str, DataFrame]) -> DataFrame:

@@ -45,7 +45,7 @@ def folder(tmp_path_factory):
 
 @pytest.fixture(scope="module", params=[False, True], ids=["links", "back links"])
 def base(spark, folder, request):
-    return RecordBase.load(spark, folder, back_links=request.param)
+    return RecordBase.load(spark, folder, back_links=request.param, fmt="array")
 
 
 def test_walks(base):

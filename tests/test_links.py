@@ -32,6 +32,12 @@ def test_strict(rows, targets):
         links.resolve_links(single, "link", targets.filter("id = 'r2'"))
 
 
+def test_plain_ids_resolve_as_links_of_one(spark, targets):
+    plain = spark.createDataFrame([("a", "r1"), ("b", None)], "uid string, link string")
+    assert _map(links.resolve_links(plain, "link", targets)) == {"a": "one", "b": None}
+    assert _map(links.resolve_links(plain, "link", targets, strict=False)) == {"a": "one", "b": None}
+
+
 def test_first_flat_and_all(rows, targets):
     assert _map(links.resolve_links(rows, "link", targets, strict=False)) == {"a": "one", "b": "two", "c": None, "d": None}
     flat = links.resolve_flat(rows, "link", targets)
@@ -58,17 +64,19 @@ def test_walk_keeps_missing_keep_and_repeats(spark):
         "id string, uid string, keep int, subject array<string>",
     )
     preps = spark.createDataFrame(
-        [("q1", "Q1", 1, "wrong"), ("q2", "Q2", 0, "wrong")], "id string, uid string, keep int, biospecimen string"
+        [("q1", "Q1", 1, ["b1"]), ("q2", "Q2", 0, ["b1"])], "id string, uid string, keep int, biospecimen array<string>"
     )
-    of_project, of_subject = links.back_edges(subjects, "project"), links.back_edges(specimens, "subject")
-    people = links.project_subjects(projects, of_project, subjects, "one")
+    members, owned = links.with_parents(subjects, "project"), links.with_parents(specimens, "subject")
+    people = links.project_subjects(projects, members, "one")
     assert {r.uid for r in people.collect()} == {"S2"}
-    everyone = links.project_subjects(projects, of_project, subjects, strict=False)
+    everyone = links.project_subjects(projects, members, strict=False)
     assert sorted((r.project, r.uid) for r in everyone.collect()) == [("one", "S1"), ("one", "S2"), ("two", "S1")]
-    found = links.project_biospecimens(projects, of_project, subjects, of_subject, specimens)
+    found = links.project_biospecimens(projects, members, owned)
     assert sorted((r.project, r.uid) for r in found.collect()) == [("one", "B1"), ("one", "B3"), ("two", "B1")]
-    prep_links = spark.createDataFrame([("b1", 0, "q1"), ("b1", 1, "q2")], "parent_id string, pos int, child_id string")
-    got = links.biospecimen_seqpreps(found, prep_links, preps)
+    got = links.biospecimen_seqpreps(found, links.with_parents(preps, "biospecimen"))
+    by_links = spark.createDataFrame([("b1", 0, "q1"), ("b1", 1, "q2")], "parent_id string, pos int, child_id string")
+    again = links.biospecimen_seqpreps(found, links.with_parents_by_links(by_links, preps))
+    assert sorted(map(tuple, again.select("project", "uid").collect())) == sorted(map(tuple, got.select("project", "uid").collect()))
     assert sorted((r.project, r.biospecimen, r.uid) for r in got.collect()) == [("one", "B1", "Q1"), ("two", "B1", "Q1")]
 
 
@@ -83,8 +91,9 @@ def test_lookups(spark):
         lookups.require(lookups.by_uid(recs, "T", "zz"), "zz")
     projects = recs.select("uid", "id")
     lookups.check_project(projects, "a")
-    with pytest.raises(lookups.MissingKey, match='"zz" is not a valid project'):
+    with pytest.raises(lookups.MissingKey, match="zz") as wrong:
         lookups.check_project(projects, "zz")
+    assert wrong.value.options.count() == 3
     assert [r.all_match for r in lookups.all_match(recs.limit(0), "uid", "x").collect()] == [True]
 
 
@@ -99,3 +108,7 @@ def test_visit_flags_and_unknown_ids(spark):
     joined = links.attach_flags(ids, flags, "ID", "uid", ["mo3"])
     assert {r.ID: r.mo3 for r in joined.collect()} == {"S1": 1, "X": 0, None: 0}
     assert links.repeated_flag_keys(flags, "uid").isEmpty()
+    twice = flags.unionAll(flags.withColumn("mo3", F.lit(0)))
+    assert {r.ID: r.mo3 for r in links.attach_flags(ids, twice, "ID", "uid", ["mo3"]).collect()} == {"S1": 1, "X": 0, None: 0}
+    with pytest.raises(links.LinkError):
+        links.attach_flags(ids, twice, "ID", "uid", ["mo3"], check=True)

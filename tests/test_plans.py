@@ -36,7 +36,7 @@ def test_rename_by_map(spark):
     names = renames.one_name_each(spark.createDataFrame(
         [("FG00004", "SEQ01071"), ("FG00004", "SEQ02505"), ("FG00006", "SEQ00729")], "oldname string, seqname string"))
     renamed = renames.renamed_by_map(listing, names)
-    plan = {r.path: (r.newpath, r.action) for r in renames.rename_unambiguous(renamed).collect()}
+    plan = {r.path: (r.newpath, r.action) for r in renames.rename_unambiguous(renamed, listing).collect()}
     assert plan == {
         "d/FG00004_S26_a": ("d/SEQ01071_S26_a", "ambiguous"), "d/FG00004_S46_a": ("d/SEQ01071_S46_a", "ambiguous"),
         "d/FG00006_S1_FG00006": ("d/SEQ00729_S1_SEQ00729", "rename"),
@@ -56,6 +56,35 @@ def test_moves(spark):
     assert {r.path: r.action for r in renames.replace_or_move(local, existing).collect()} == {"1": "move", "2": "remove", "4": "move"}
 
 
+def test_of_several_files_with_one_target_one_is_moved(spark):
+    schema = "dir string, file string, path string, sample string, seqprep string"
+    resolved = spark.createDataFrame([
+        ("d", "FG1_S1_p.tsv", "d/FG1_S1_p.tsv", "FG1", "SEQ1"), ("d", "FG-1_S1_p.tsv", "d/FG-1_S1_p.tsv", "FG-1", "SEQ1"),
+        ("e", "FG1_S1_p.tsv", "e/FG1_S1_p.tsv", "FG1", "SEQ1")], schema)
+    none = spark.createDataFrame([], "file string, path string")
+    plan = {r.path: r.action for r in renames.move_old_names(resolved, none).collect()}
+    assert plan == {"d/FG-1_S1_p.tsv": "move", "d/FG1_S1_p.tsv": "clash", "e/FG1_S1_p.tsv": "move"}
+    assert {r.action for r in renames.replace_or_move(resolved, none, "seqprep").collect()} == {"move", "clash"}
+    listing = files(spark, "A1_x", "B1_x", "D1_x", "N_x")
+    mapping = spark.createDataFrame([("A1", "C"), ("B1", "C"), ("D1", "N")], "old_id string, new_id string")
+    plan = {r.path: (r.newpath, r.action) for r in renames.rename_by_mapping(listing.unionAll(listing), mapping).collect()}
+    assert plan == {"d/A1_x": ("d/C_x", "rename"), "d/B1_x": ("d/C_x", "clash"), "d/D1_x": ("d/N_x", "conflict")}
+    names = spark.createDataFrame([("FG00001", "SEQ1"), ("FG00002", "SEQ1"), ("FG00003", "SEQ3")], "oldname string, newname string")
+    listing = files(spark, "FG00001_S1_a", "FG00002_S1_a", "FG00003_S1_a", "SEQ3_S1_a")
+    renamed = renames.renamed_by_map(listing, names)
+    assert {r.path: r.action for r in renames.rename_unambiguous(renamed, listing).collect()} == {
+        "d/FG00001_S1_a": "rename", "d/FG00002_S1_a": "clash", "d/FG00003_S1_a": "exists"}
+    parsed = spark.createDataFrame([("A", "S1", "d/A_S1"), ("B", "S1", "d/B_S1"), ("C", "S1", "d/C_S1"), ("E", "S1", "d/E_S1")], "seqprep string, s_well string, path string")
+    pairs = spark.createDataFrame([("A", "S1", "X"), ("B", "S1", "X"), ("C", "S1", "E")], "sample string, s_well string, seqprep string")
+    assert {r.path: r.action for r in renames.rename_pairs(parsed, pairs).collect()} == {"d/A_S1": "rename", "d/B_S1": "clash", "d/C_S1": "exists"}
+
+
+def test_the_root_is_cut_at_the_start_alone(spark):
+    paths = ["/data/raw/data/f", "/data/raw/f", "/data2/f", "/data"]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "p string").select(sync.relative_path(F.col("p"), "/data/")).collect()]
+    assert got == ["raw/data/f", "raw/f", "data2/f", "data"]
+
+
 def test_rename_substring(spark):
     listing = files(spark, "abx", "xab", "y_ab", "y_", "zab", "none")
     plan = {r.path: r.action for r in renames.rename_substring(listing, "ab", "").collect()}
@@ -84,7 +113,7 @@ def test_copy_page_and_pairs(spark):
     assert (len(page), page[0], page[-1]) == (100, ("in/f051", "out/n051"), ("in/f150", "out/n150"))
     listing = spark.createDataFrame([("FG02294", "S1", "a/FG02294_S1_x"), ("FG02294", "S10", "a/FG02294_S10_x")], "seqprep string, s_well string, path string")
     pairs = spark.createDataFrame([("FG02294", "S1", "SEQ01783")], "sample string, s_well string, seqprep string")
-    assert [tuple(r) for r in renames.rename_pairs(listing, pairs).collect()] == [("a/FG02294_S1_x", "a/SEQ01783_S1_x", "SEQ01783")]
+    assert [tuple(r) for r in renames.rename_pairs(listing, pairs).collect()] == [("a/FG02294_S1_x", "a/SEQ01783_S1_x", "SEQ01783", "rename")]
 
 
 def test_sync(spark):

@@ -23,7 +23,7 @@ def base_dir(tmp_path):
 
 
 def test_read_base(spark, base_dir):
-    base = records.read_base(spark, base_dir, {"Subjects": "subject_id"})
+    base = records.read_base(spark, base_dir, {"Subjects": "subject_id"}, fmt="array")
     everything = records.all_records(base)
     assert everything.count() == 11
     assert {r.uid for r in base["Subjects"].collect()} == {"subjects", "s9"}
@@ -39,13 +39,59 @@ def test_snapshot_names():
 
 @pytest.mark.parametrize("fmt", ["lines", "parquet"])
 def test_write_snapshot_round_trip(spark, base_dir, tmp_path, fmt):
-    subjects = records.read_table(spark, base_dir, "Subjects", "subject_id")
+    subjects = records.read_table(spark, base_dir, "Subjects", "subject_id", "array")
     out = tmp_path / "out" / records.snapshot_name("Subjects")
     records.write_snapshot(subjects, str(out), fmt)
     again = records.read_table(spark, str(out.parent), "Subjects", "subject_id", fmt)
     assert {(r.id, r.uid) for r in again.collect()} == {(r.id, r.uid) for r in subjects.collect()}
 
 
+def test_imported_snapshots_are_read_by_many_tasks(spark, base_dir, tmp_path):
+    for table in RECORD_TABLES:
+        records.import_snapshot(spark, base_dir, str(tmp_path / "lines"), table)
+    base = records.read_base(spark, str(tmp_path / "lines"), {"Subjects": "subject_id"})
+    assert records.all_records(base).count() == 11 and set(base) == set(RECORD_TABLES)
+
+
+def test_malformed_records_are_told(spark, tmp_path):
+    good, bad = '{"id": "rec1", "fields": {"uid": "a"}}', '{"id": 1'
+    lines = spark.createDataFrame([(good,), (bad,), ("[]",), ("  ",)], "value string")
+    assert sorted(r.value for r in records.rejected_lines(lines).collect()) == ["[]", bad]
+    assert [r.uid for r in records.parse_records(lines, "Sites").collect()] == ["a"]
+    with pytest.raises(records.RecordError):
+        records.parse_records(lines, "Sites", check=True)
+    (tmp_path / records.snapshot_name("Sites")).write_text(f"{good}\n{bad}\n")
+    with pytest.raises(records.RecordError):
+        records.read_table(spark, str(tmp_path), "Sites")
+    assert records.read_table(spark, str(tmp_path), "Sites", check=False).count() == 1
+    (tmp_path / records.snapshot_name("Visits")).write_text(f"[{good}, {bad}]")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        records.read_table(spark, str(tmp_path), "Visits", fmt="array").collect()
+
+
+def test_absent_tables_are_empty(spark):
+    lines = spark.createDataFrame([('{"id": "rec1", "fields": {"uid": "a"}}',)], "value string")
+    base = records.base_of({"Sites": lines})
+    assert set(base) == set(RECORD_TABLES) and records.all_records(base).count() == 1
+
+
+def test_store_lines_that_cannot_be_read(spark):
+    lines = spark.createDataFrame([("2024-01-15 10:00:00 12 k",), ("2024-13-15 10:00:00 12 k",), ("2024-01-15 10:00:00 x k",), ("PRE k/",)], "value string")
+    assert listings.parse_store_lines(lines, "b").count() == 1
+    assert sorted(r.line for r in listings.rejected_store_lines(lines).collect()) == ["2024-01-15 10:00:00 x k", "2024-13-15 10:00:00 12 k"]
+
+
+@pytest.mark.parametrize("levels", [0, 2, 9])
+def test_list_files_at_any_depth(spark, tmp_path, levels):
+    for depth in range(6):
+        folder = tmp_path.joinpath(*"abcdef"[:depth])
+        folder.mkdir(exist_ok=True)
+        (folder / f"f{depth}").write_text("x")
+        os.utime(folder / f"f{depth}", ns=(0, 1_700_000_000_123_456_789))
+    rows = listings.list_files(spark, str(tmp_path), levels=levels).select("file", F.unix_micros("mod").alias("m")).collect()
+    assert sorted(map(tuple, rows)) == [(f"f{d}", 1_700_000_000_123_456) for d in range(6)]
+
+
 def test_list_files(spark, tmp_path):
     deep = tmp_path / "metaphlan" / "x"
     deep.mkdir(parents=True)
@@ -112,9 +158,11 @@ def test_first_lines_of_split_files(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         rows = listings.first_lines(spark, str(tmp_path), "*profile.tsv").collect()
+        scanned = listings.first_lines_of_store(spark, str(tmp_path), "*profile.tsv").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert {r.file: r.first_line for r in rows} == {f"s{i}_profile.tsv": f"#db{i}" for i in range(3)}
+    assert {(r.path, r.first_line) for r in scanned} == {(r.path, r.first_line) for r in rows}
     assert {r.path for r in rows} == {str(tmp_path / f"s{i}_profile.tsv") for i in range(3)}
 
 
