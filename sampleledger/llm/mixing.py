@@ -103,10 +103,11 @@ def mixture(
     rows. The quota table has one row per source; the tree takes it in one task, and it counts up
     to a thousand million block draws.
     """
+    # the columns of a row travel as one, so that none can clash with those made here
     kept = [c for c in docs.columns if c not in ADDED]
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~"))
     h = F.xxhash64(F.lit(seed), "doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    marked = docs.withColumns({"size": word_count(F.col("text")), "_key": key, "_h": h}).select(*kept, "size", "_key", "_h")
+    marked = docs.select(F.struct(*kept).alias("_row"), word_count(F.col("text")).alias("size"), key.alias("_key"), h.alias("_h"))
     slim = cut(marked.select("_key", "_h", "size"))
     sizes = slim.groupBy(F.col("_key").alias("key")).agg(F.count("*").alias("docs"), F.sum("size").alias("source_size"))
     sources = targets(sizes, ratio, limit, weights).withColumns(
@@ -148,19 +149,29 @@ def mixture(
     rows = marked.join(known, "_key").withColumn("_block", block(F.col("blocks"))).join(by_block, ["_key", "_block"])
     cut_here = (F.col("drawn") == 1) & (F.col("_left") < F.col("words"))
     rows = rows.withColumns({"_cut": cut_here, "_more": F.col("drawn")}).drop("blocks", "drawn", "words", "_block")
-    ids = rows.filter("_cut").withColumn("_id", F.col("doc_id"))
+    ids = rows.filter("_cut").withColumn("_id", F.col("_row.doc_id"))
     filled = ids.groupBy("_key").applyInPandas(_fill, ids.schema).drop("_id")
     both = rows.filter("NOT _cut").unionByName(filled)
     copies = (F.col("passes") + F.col("_more")).cast("int")
     both = both.withColumn("copies", copies).withColumns(
         {"taken": F.col("size") * F.col("copies"), "shards": F.slice(F.coalesce("_shards", F.array().cast("array<int>")), F.lit(1), F.col("copies"))}
     )
-    return both.select(*kept, *ADDED)
+    return both.select("_row.*", *ADDED)
 
 
 def mixed(docs: DataFrame, seed: int = 0, **how) -> DataFrame:
     """The mixed corpus: a row for every copy, with ``shard`` and the place ``order_key`` inside
-    it. Sorting a shard by (order_key, doc_id, copy) shuffles it locally."""
+    it. Sorting a shard by (order_key, doc_id, copy) shuffles it locally. Columns of these names
+    are replaced."""
     out = mixture(docs, seed=seed, **how)
-    rows = out.select(*[c for c in out.columns if c != "shards"], F.posexplode("shards").alias("copy", "shard"))
+    rows = out.select(*[c for c in out.columns if c not in ("shards", "copy", "shard", "order_key")], F.posexplode("shards").alias("copy", "shard"))
     return rows.withColumn("order_key", F.xxhash64(F.lit(seed), "shard", "doc_id", "copy"))
+
+
+def resampled(docs: DataFrame, seed: int = 0, **how) -> DataFrame:
+    """``docs`` with each row as often as the mixture takes it, all columns as they are."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "source")]
+    packed = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *others).alias("_others"))
+    taken = mixture(packed, seed=seed, **how).filter("copies > 0")
+    rows = taken.select("doc_id", "text", "source", "_others", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    return rows.select("doc_id", "text", "source", *[F.col("_others").getField(c).alias(c) for c in others]).select(docs.columns)

@@ -117,8 +117,10 @@ def label_model(patterns: np.ndarray, labels: np.ndarray, counts: np.ndarray, vo
     """Posterior P(toxic) of each (vote pattern, label) and the groups of voters modelled jointly.
 
     ``labels`` holds 1, 0 or -1 for none; a label is one more voter. The first fit takes voters as
-    independent given the class; voters whose correlation within the classes stays above 0.2 are
-    joined into groups of at most four, and the second fit has a table of all their joint votes.
+    independent given the class; voters whose correlation within the classes stays above 0.3 are
+    joined into groups of at most four, and the second fit has a table of all their joint votes. The
+    classes are the labels where both kinds are there (a fitted class would take two like voters for
+    the truth and find nothing left between them), else the first fit's.
     """
     votes = (patterns[:, None] >> np.arange(voters)) & 1
     start = np.where(labels >= 0, np.where(labels == 1, 0.95, 0.05), np.where(patterns > 0, 0.7, 0.05))
@@ -141,7 +143,8 @@ def label_model(patterns: np.ndarray, labels: np.ndarray, counts: np.ndarray, vo
             if done:
                 break
         if fit == 0:
-            groups = _correlated(votes, counts, post, voters)
+            known = {0, 1} <= set(labels.tolist())
+            groups = _correlated(votes, counts * (labels >= 0) if known else counts, np.where(labels >= 0, labels, 0.0) if known else post, voters)
     return post, groups
 
 
@@ -156,7 +159,7 @@ def _correlated(votes: np.ndarray, counts: np.ndarray, post: np.ndarray, voters:
         rest = np.maximum(rest, np.abs(spread / scale[:, None] / scale[None, :]))
     groups = {i: [i] for i in range(voters)}
     for i, j in sorted(combinations(range(voters), 2), key=lambda p: -rest[p]):
-        if rest[i, j] > 0.2 and groups[i] is not groups[j] and len(groups[i]) + len(groups[j]) <= 4:
+        if rest[i, j] > 0.3 and groups[i] is not groups[j] and len(groups[i]) + len(groups[j]) <= 4:
             both = groups[i] + groups[j]
             groups.update({k: both for k in both})
     return list({id(g): g for g in groups.values()}.values())
@@ -233,11 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = sample.select("terms", posterior_of("terms", "toxic", "patterns").alias("x"))
     rows = stored(rows.select(F.concat("terms", "x.votes").alias("terms"), F.col("x.p").alias("p")))
     vocabulary = CountVectorizer(inputCol="terms", outputCol="features", binary=True, minDF=MIN_TEXTS, vocabSize=MAX_TERMS)
-    try:
-        space = vocabulary.fit(rows)
-    except Exception as none:  # Spark refuses a vocabulary without a word
-        if "vocab" not in str(none).lower():
-            raise
+    space = vocabulary.fit(rows)
+    if not space.vocabulary:  # no term in enough texts
         return Model(voters, fixed, -3.0)
     both = space.transform(rows).select(
         "features", F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("p")).alias("w")))).alias("x")
