@@ -151,6 +151,13 @@ def _(inputs):
     return manifests.older_stage_plan(inputs["fx_runs"], inputs["fx_samples"])
 
 
+@query("m08_older_join_inputs", """
+SELECT DISTINCT s.sample, f.path FROM fx_cleaned f JOIN fx_samples s ON contains(f.file, s.sample)
+WHERE regexp_matches(f.file, '(paired|unmatched)_[12]') AND s.sample || '_profile.tsv' NOT IN (SELECT file FROM fx_runs)""")
+def _(inputs):
+    return manifests.older_join_inputs(inputs["fx_cleaned"], inputs["fx_samples"], inputs["fx_runs"])
+
+
 _MATCHING = "SELECT s.sample, count(f.file) AS n_files FROM fx_samples s LEFT JOIN fx_raw f ON contains(f.file, s.sample) GROUP BY s.sample"
 
 

@@ -214,8 +214,8 @@ def repeated_flag_keys(flags: DataFrame, flag_key: str) -> DataFrame:
 def rename_map(biospecimens: DataFrame, prep_links: DataFrame, seqpreps: DataFrame) -> DataFrame:
     """``(oldname, seqname)``: each biospecimen uid with each of its sequencing prep uids."""
     parents = biospecimens.select(F.col("id").alias("parent_id"), F.col("uid").alias("oldname"))
-    linked = matched(prep_links, parents, "parent_id").select("oldname", F.col("child_id").alias("id"))
-    return matched(linked, seqpreps.select("id", F.col("uid").alias("seqname")), "id").select("oldname", "seqname")
+    linked = prep_links.join(parents, "parent_id").select("oldname", F.col("child_id").alias("id"))
+    return linked.join(seqpreps.select("id", F.col("uid").alias("seqname")), "id").select("oldname", "seqname")
 
 
 def listing_biospecimens(listing: DataFrame, seqpreps: DataFrame, biospecimens: DataFrame) -> DataFrame:

@@ -22,9 +22,9 @@ class ReconcileError(ValueError):
 def prep_choices(biospecimens: DataFrame, prep_links: DataFrame, seqpreps: DataFrame) -> DataFrame:
     """``(biospecimen, pos, prep, prep_well)``: every sequencing prep of every biospecimen uid."""
     parents = biospecimens.select(F.col("id").alias("parent_id"), F.col("uid").alias("biospecimen"))
-    linked = matched(prep_links, parents, "parent_id").select("biospecimen", "pos", F.col("child_id").alias("id"))
+    linked = prep_links.join(parents, "parent_id").select("biospecimen", "pos", F.col("child_id").alias("id"))
     preps = seqpreps.select("id", F.col("uid").alias("prep"), F.col("s_well").alias("prep_well"))
-    return matched(linked, preps, "id").drop("id")
+    return linked.join(preps, "id").drop("id")
 
 
 def resolve_samples(listing: DataFrame, choices: DataFrame) -> DataFrame:
@@ -37,13 +37,12 @@ def resolve_samples(listing: DataFrame, choices: DataFrame) -> DataFrame:
     The names are resolved once per (sample, well), which combine on the map side, and the listing
     is joined to the answers once, on both columns.
     """
-    counted = choices.groupBy("biospecimen").agg(F.count(F.lit(1)).alias("_n"), F.min("prep").alias("_only"))
-    single = counted.filter("_n = 1").select("biospecimen", "_only")
-    by_well = (
-        choices.filter(F.col("prep_well").isNotNull())
-        .groupBy("biospecimen", F.col("prep_well").alias("s_well"))
-        .agg(F.min_by("prep", "pos").alias("_by_well"))
+    by_well = choices.groupBy("biospecimen", F.col("prep_well").alias("s_well")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by("prep", "pos").alias("_by_well")
     )
+    counted = by_well.groupBy("biospecimen").agg(F.sum("_n").alias("_n"), F.min("_by_well").alias("_only"))
+    single = counted.filter("_n = 1").select("biospecimen", "_only")
+    by_well = by_well.filter("s_well IS NOT NULL").drop("_n")
     samples = listing.filter(F.col("seqprep").isNotNull()).withColumnRenamed("seqprep", "sample")
     asked = samples.filter(~is_sequencing_name(F.col("sample"))).select(F.col("sample").alias("biospecimen"), "s_well").distinct()
     answers = (

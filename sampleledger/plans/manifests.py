@@ -265,6 +265,15 @@ def older_stage_plan(files: DataFrame, samples: DataFrame) -> DataFrame:
     return _long(wide, {s: F.when(d, "done").otherwise("pending") for s, d in _done(OLDER_STAGE_MARKERS).items()})
 
 
+def older_join_inputs(files: DataFrame, samples: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``(sample, path)`` of the cleaned reads that the older pipeline joins: names that hold the
+    sample and a paired or unmatched mate. Samples whose profile stands in ``profiles`` have none."""
+    done = profiles.filter(F.endswith("file", F.lit("_profile.tsv"))).select(F.regexp_replace("file", "_profile\\.tsv$", "").alias("sample"))
+    todo = samples.select("sample").distinct().join(done.distinct(), "sample", "left_anti")
+    reads = files.filter(F.rlike("file", F.lit("(?:paired|unmatched)_[12]"))).select("file", "path")
+    return contained(reads, "file", todo, "sample").select("sample", "path").distinct()
+
+
 def expected_artefacts(
     samples: DataFrame, databases: Sequence[str] = (PROFILE_DATABASE,), tags: Sequence[str] = (FUNCTION_VERSION_TAG,)
 ) -> DataFrame:

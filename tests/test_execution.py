@@ -36,6 +36,23 @@ def test_plan(spark, key):
         assert bad not in plan, bad
 
 
+def _shuffles(spark, key, of="Exchange hashpartitioning("):
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold=-1):
+        return queries()[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().count(of)
+
+
+def test_walks_join_once_per_level(spark):
+    assert _shuffles(spark, "j05_project_subjects") <= 4
+    assert _shuffles(spark, "j08_all_seqpreps") <= 9
+
+
+def test_listings_meet_resolved_names_once(spark):
+    """A listing is shuffled by its own key where it meets the answers, and nowhere else."""
+    assert _shuffles(spark, "j11_resolved_samples", "hashpartitioning(_k0") == 1
+    assert _shuffles(spark, "j12_resolved_by_name_well", "hashpartitioning(_k0") == 1
+    assert _shuffles(spark, "a06_tool_flags") <= _shuffles(spark, "a07_completion")
+
+
 def test_headline_queries_exist():
     assert set(bench.HEADLINE) <= set(queries())
 
