@@ -46,6 +46,28 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Texts that go to Python at once.
+BATCH_TEXTS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sends texts to Python in Arrow batches of at most BATCH_TEXTS, for the rest of the session: a
+    text may be long, and by default ten thousand of them would stand in a worker's memory at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_TEXTS:
+        spark.conf.set(name, str(BATCH_TEXTS))
+
+
+def bounded_sample(df: DataFrame, rows: int, seed: int, id_: str = "doc_id") -> DataFrame:
+    """The ``rows`` rows of smallest hash of their id, or all of fewer. A share of the hashes that
+    holds them with room to spare is filtered first, so what the last task gathers is bounded by
+    ``rows`` and not by the number of tasks. Only the id column is counted."""
+    h = F.xxhash64(F.lit(seed), F.col(id_))
+    share = min(1.0, (1.2 * rows + 500) / max(1, df.select(id_).count()))
+    some = df.filter(F.pmod(h, F.lit(1 << 40)) < int(share * (1 << 40)))
+    return some.orderBy(F.pmod(h, F.lit(1 << 40)), id_).limit(rows)
+
+
 def utf8_length(text: Column) -> Column:
     """Bytes of a text; a null text has none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

@@ -34,14 +34,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sampleledger.llm.common import stored, utf8_length
+from sampleledger.llm.common import bounded_batches, stored, utf8_length
 
 WINDOW, ANCHOR = 50, 25
 REACH = WINDOW - ANCHOR + 1
 #: Bytes that one numpy pass names, and bytes of a long text in one piece.
 SLICE, PIECE = 1 << 18, 1 << 20
 #: Bytes of text whose anchors a task settles among themselves.
-BATCH = 32 << 20
+BATCH = 8 << 20
 #: Bytes of text for one bucket of anchors and for one group of documents.
 BUCKET_BYTES, GROUP_BYTES = 4 << 20, 4 << 20
 RESOLVED, MIXED, OLDER = 1, 2, 3
@@ -234,8 +234,30 @@ def shared_anchors(groups: int):
 # --- 2: runs ---------------------------------------------------------------------------------------
 
 
-def paired(owner: np.ndarray, names: np.ndarray) -> np.ndarray:
-    return refined(names, refined(owner.astype(np.uint64), _B))
+def owner_names(owner: np.ndarray) -> np.ndarray:
+    return refined(owner.astype(np.uint64), _B)
+
+
+class Answers:
+    """The (document, name) pairs of some answers. A table of low bits lets few names through to
+    the search among all of them."""
+
+    def __init__(self, docs: np.ndarray, names: np.ndarray):
+        self.known = np.unique(refined(names, owner_names(docs)))
+        bits = max(16, min(24, len(self.known).bit_length() + 4))
+        self.mask = np.uint64((1 << bits) - 1)
+        self.table = np.zeros(1 << bits, bool)
+        self.table[(self.known & self.mask).view(np.int64)] = True
+
+    def have(self, owner_names_: np.ndarray, names: np.ndarray) -> np.ndarray:
+        """Which names their owners' answers hold."""
+        keys = refined(names, owner_names_)
+        found = np.zeros(len(keys), bool)
+        near = np.flatnonzero(self.table[(keys & self.mask).view(np.int64)])
+        if len(near):
+            place = np.minimum(np.searchsorted(self.known, keys[near]), len(self.known) - 1)
+            found[near] = self.known[place] == keys[near]
+        return found
 
 
 def candidates(buckets: int):
@@ -243,33 +265,35 @@ def candidates(buckets: int):
 
     def run(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = ["at", "doc_id", "tag", "data", "starts", "counts"]
-        ids = texts["doc_id"].to_numpy(np.int64)
-        docs, names, _ = unpacked(answers, None)
-        wanted = np.unique(paired(docs, names))
-        rows = []
+        ids, tags = texts["doc_id"].to_numpy(np.int64), texts["tag"].to_numpy(np.int64)
+        wanted, hashed = Answers(*unpacked(answers, None)[:2]), owner_names(ids)
         unzip = zstandard.ZstdDecompressor().decompress
         raw = [unzip(x) for x in texts["data"]]
         pieces, owner, offset = cut_up(raw)
-        starts: list[list] = [[] for _ in raw]
-        counts: list[list] = [[] for _ in raw]
+        none = np.empty(0, np.int64)
+        parts = [(none, none, none)]
         for runs in runs_of(pieces):
             mine = owner[runs.piece]
-            good = np.isin(paired(ids[mine], long_name(*short(runs.anchor, buckets))), wanted)
-            if not good.any():
-                continue
-            mine, start, count = mine[good], runs.start[good] + offset[runs.piece[good]], runs.count[good]
-            # runs that follow on each other are one stretch
-            new = np.ones(len(mine), bool)
-            new[1:] = (mine[1:] != mine[:-1]) | (start[1:] != start[:-1] + count[:-1])
-            total = np.add.reduceat(count, np.flatnonzero(new))
-            for i, a, c in zip(mine[new].tolist(), start[new].tolist(), total.tolist()):
-                starts[i].append(a)
-                counts[i].append(c)
-        zip_ = zstandard.ZstdCompressor(level=3).compress
-        for i, (a, c) in enumerate(zip(starts, counts)):
-            if a:
-                data = b"".join(raw[i][x : x + y + WINDOW - 1] for x, y in zip(a, c))
-                rows.append((key[0], int(ids[i]), int(texts["tag"].iloc[i]), zip_(data), np.array(a, "<i8").tobytes(), np.array(c, "<i8").tobytes()))
+            good = wanted.have(hashed[mine], long_name(*short(runs.anchor, buckets)))
+            if good.any():
+                mine, start, count = mine[good], runs.start[good] + offset[runs.piece[good]], runs.count[good]
+                # runs that follow on each other are one stretch
+                new = np.ones(len(mine), bool)
+                new[1:] = (mine[1:] != mine[:-1]) | (start[1:] != start[:-1] + count[:-1])
+                parts.append((mine[new], start[new], np.add.reduceat(count, np.flatnonzero(new))))
+        mine, start, count = (np.concatenate(c) for c in zip(*parts))
+        # the bytes of all stretches, one after the other
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        first = np.cumsum([0] + [len(x) for x in raw])[mine] + start
+        size = count + WINDOW - 1
+        ends = np.cumsum(size)
+        bytes_ = data[np.repeat(first - (ends - size), size) + np.arange(size.sum())] if len(size) else data[:0]
+        zip_ = zstandard.ZstdCompressor(level=1).compress
+        rows = []
+        for i in np.unique(mine).tolist():
+            a, b = np.searchsorted(mine, [i, i + 1])
+            some = bytes_[ends[a] - size[a] : ends[b - 1]].tobytes()
+            rows.append((key[0], int(ids[i]), int(tags[i]), zip_(some), start[a:b].astype("<i8").tobytes(), count[a:b].astype("<i8").tobytes()))
         return pd.DataFrame(rows, columns=columns).astype({"at": "int64", "doc_id": "int64", "tag": "int64"})
 
     return run
@@ -363,12 +387,12 @@ def send_windows(buckets: int):
     def run(_: tuple, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         ids = frame["doc_id"].to_numpy(np.int64)
         docs, names, status = unpacked(answers, 0)
-        wanted = np.unique(paired(docs[status == MIXED], names[status == MIXED]))
+        wanted = Answers(docs[status == MIXED], names[status == MIXED])
         found_names, found_docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         pieces, owner, _ = stretches_of(frame)
         for runs in runs_of(pieces):
             mine = ids[owner[runs.piece]]
-            run_, window = runs.expanded(np.flatnonzero(np.isin(paired(mine, runs.name), wanted)))
+            run_, window = runs.expanded(np.flatnonzero(wanted.have(owner_names(mine), runs.name)))
             found_names.append(runs.windows[window])
             found_docs.append(mine[run_])
         name, doc = np.concatenate(found_names), np.concatenate(found_docs)
@@ -400,17 +424,14 @@ def older_windows(groups: int):
 # --- the result ------------------------------------------------------------------------------------
 
 
-def removed(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
+def removed(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
     """(bytes removed, maximal runs of them, what is left) once the spans of bytes go."""
-    if not spans:
+    if not len(starts):
         return 0, 0, data
-    edge = np.zeros(len(data) + 1, np.int32)
-    pairs = np.array(spans)
-    np.add.at(edge, pairs[:, 0], 1)
-    np.add.at(edge, pairs[:, 1], -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    starts = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-    return int(gone.sum()), starts, np.frombuffer(data, np.uint8)[~gone].tobytes()
+    edge = np.bincount(starts, minlength=len(data) + 1) - np.bincount(ends, minlength=len(data) + 1)
+    gone = np.cumsum(edge[: len(data)]) > 0
+    runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+    return int(gone.sum()), runs, np.frombuffer(data, np.uint8)[~gone].tobytes()
 
 
 def _results(with_text: bool, carried: bool):
@@ -418,31 +439,33 @@ def _results(with_text: bool, carried: bool):
         stretches = frame[frame["starts"].notna()].reset_index(drop=True)
         texts = frame[frame["starts"].isna()]
         docs, names, status = unpacked(answers, None)
-        whole = np.unique(paired(docs[status == RESOLVED], names[status == RESOLVED]))
-        mixed = np.unique(paired(docs[status == MIXED], names[status == MIXED]))
-        older = np.unique(paired(docs[status == OLDER], names[status == OLDER]))
-        spans: dict[tuple[int, int], list] = {}
+        whole, mixed, older = (Answers(docs[status == k], names[status == k]) for k in (RESOLVED, MIXED, OLDER))
         ids, tags = stretches["doc_id"].to_numpy(np.int64), stretches["tag"].to_numpy(np.int64)
+        hashed = owner_names(ids)
+        none = np.empty(0, np.int64)
+        spans = [(none, none, none)]
         pieces, owner, offset = stretches_of(stretches)
         for runs in runs_of(pieces):
             row = owner[runs.piece]
             first = runs.start + offset[runs.piece]
-            keys = paired(ids[row], runs.name)
-            some = np.isin(keys, whole)
-            run_, window = runs.expanded(np.flatnonzero(~some & np.isin(keys, mixed)))
-            hit = np.isin(paired(ids[row[run_]], runs.windows[window]), older)
+            some = whole.have(hashed[row], runs.name)
+            run_, window = runs.expanded(np.flatnonzero(~some & mixed.have(hashed[row], runs.name)))
+            hit = older.have(hashed[row[run_]], runs.windows[window])
+            run_, window = run_[hit], window[hit]
             at = first[run_] + window - runs.place[run_]
-            for i, a, b in zip(
-                np.concatenate([row[some], row[run_[hit]]]).tolist(),
-                np.concatenate([first[some], at[hit]]).tolist(),
-                np.concatenate([(first + runs.count)[some], at[hit] + 1]).tolist(),
-            ):
-                spans.setdefault((int(ids[i]), int(tags[i])), []).append((a, b + WINDOW - 1))
+            spans += [(row[some], first[some], (first + runs.count)[some]), (row[run_], at, at + 1)]
+        row, start, end = (np.concatenate(c) for c in zip(*spans))
+        order = np.argsort(row, kind="stable")
+        row, start, end = row[order], start[order], end[order] + WINDOW - 1
+        bounds = np.searchsorted(row, np.arange(len(ids) + 1))
+        place = {(int(i), int(t)): k for k, (i, t) in enumerate(zip(ids, tags))}
         unzip = zstandard.ZstdDecompressor().decompress
         rows = []
         for id_, tag, data in zip(texts["doc_id"], texts["tag"], texts["data"]):
             data = unzip(data)
-            n, runs_, kept = removed(data, spans.get((int(id_), int(tag)), []))
+            k = place.get((int(id_), int(tag)))
+            a, b = (bounds[k], bounds[k + 1]) if k is not None else (0, 0)
+            n, runs_, kept = removed(data, start[a:b], end[a:b])
             rows.append((int(id_), len(data), n, runs_, sha256(kept).hexdigest(), kept if with_text else None))
         out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
         out = out.astype({"doc_id": "int64", "n_bytes": "int64", "n_removed": "int64", "n_spans": "int64"})
@@ -471,6 +494,7 @@ def without_repeats(docs: DataFrame, with_text: bool = False, carry: list[str] |
     doc_id do not remove each other. Rows without a doc_id have no order, so they stay whole and
     remove nothing. Of equal texts the one of smallest id keeps its bytes.
     """
+    bounded_batches(docs.sparkSession)
     carry = carry or []
     rest = F.struct(*carry).alias("rest")
     text = F.coalesce("text", F.lit("")).alias("text")
