@@ -164,15 +164,14 @@ def rename_by_mapping(files: DataFrame, mapping: DataFrame) -> DataFrame:
     of several files with one target. A path that is listed twice counts once.
     """
     renames = mapping.groupBy("old_id").agg(F.min("new_id").alias("new_id"))
-    hits = contained(files.select("dir", "file", "path").distinct(), "file", renames, "old_id")
+    # names alone are searched, each once; the files join what was found
+    hits = contained(files.select("file").distinct(), "file", renames, "old_id")
     rank = F.struct(F.length("old_id").alias("n"), "old_id")
-    chosen = hits.groupBy("path").agg(
-        F.any_value("dir").alias("dir"),
-        F.any_value("file").alias("file"),
+    chosen = hits.groupBy("file").agg(
         F.max_by(F.struct("old_id", "new_id"), rank).alias("m"),
         F.count(F.lit(1)).alias("n_mappings"),
     )
-    targeted = chosen.select(
+    targeted = matched(files.select("dir", "file", "path").distinct(), chosen, "file").select(
         "path", "n_mappings", "m.old_id", "m.new_id",
         F.concat("dir", F.lit("/"), replace_id(F.col("file"), F.col("m.old_id"), F.col("m.new_id"))).alias("newpath"),
     )
