@@ -18,13 +18,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from sampleledger.llm.common import cut, id_crc32, stored
+from sampleledger.llm.common import bounded_batches, bounded_sample, cut, id_crc32, stored
 
 #: Labelled rows that lexicons and classifier are fitted on, and the terms they may use.
 SAMPLE_ROWS = 16_000
@@ -176,13 +174,13 @@ def held_out(id_):
 def _terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
-        for text, toxic in zip(frame["text"], frame["toxic"]):
+        for id_, text, toxic in zip(frame["doc_id"], frame["text"], frame["toxic"]):
             words = words_of(text or "")
             # near copies share their long word of smallest hash, and one of them is enough
             long = [w for w in words if len(w) >= 8] or sorted(words)
             mark = min((xxh64_intdigest(w) for w in long), default=0) >> 1
-            rows.append((int(toxic), mark, Voters.pattern_bits(text or ""), sorted(terms_of(words))))
-        yield pd.DataFrame(rows, columns=["toxic", "mark", "patterns", "terms"])
+            rows.append((int(id_), int(toxic), mark, Voters.pattern_bits(text or ""), sorted(terms_of(words))))
+        yield pd.DataFrame(rows, columns=["doc_id", "toxic", "mark", "patterns", "terms"])
 
 
 def _mined(sample: DataFrame) -> dict[str, int]:
@@ -204,12 +202,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     text is ever an input. Null or repeated labels of a document: nulls do not count, and the
     largest does. Without labelled rows of both kinds the fixed voters alone give the weights.
     """
+    from pyspark.ml.classification import LogisticRegression  # only the driver needs these
+    from pyspark.ml.feature import CountVectorizerModel
+
+    bounded_batches(docs.sparkSession)
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = stored(known.orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id").limit(SAMPLE_ROWS))
+    chosen = stored(bounded_sample(known, SAMPLE_ROWS, 7))
     texts = docs.select("doc_id", "text").join(chosen, "doc_id")
-    sample = stored(texts.mapInPandas(_terms, "toxic int, mark long, patterns int, terms array<string>"))
-    sample = sample.dropDuplicates(["mark"])
+    sample = stored(texts.mapInPandas(_terms, "doc_id long, toxic int, mark long, patterns int, terms array<string>"))
+    # ids alone are shuffled; their table is no larger than the sample
+    apart = stored(sample.groupBy("mark").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
+    sample = sample.join(apart, "doc_id")
     voters = Voters(_mined(sample))
 
     @F.pandas_udf("int")
@@ -235,33 +239,38 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     rows = sample.select("terms", posterior_of("terms", "toxic", "patterns").alias("x"))
     rows = stored(rows.select(F.concat("terms", "x.votes").alias("terms"), F.col("x.p").alias("p")))
-    vocabulary = CountVectorizer(inputCol="terms", outputCol="features", binary=True, minDF=MIN_TEXTS, vocabSize=MAX_TERMS)
-    space = vocabulary.fit(rows)
-    if not space.vocabulary:  # no term in enough texts
+    found_in = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).filter(f"n >= {MIN_TEXTS}")
+    terms = [r["term"] for r in found_in.orderBy(F.desc("n"), "term").limit(MAX_TERMS).collect()]
+    if not terms:
         return Model(voters, fixed, -3.0)
+    space = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="features")
+    space.setBinary(True)
     both = space.transform(rows).select(
         "features", F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("p")).alias("w")))).alias("x")
     ).select("features", F.col("x.y").alias("label"), F.col("x.w").alias("weight"))
-    linear = LogisticRegression(weightCol="weight", regParam=0.002, elasticNetParam=0.9, maxIter=60).fit(both)
+    linear = LogisticRegression(weightCol="weight", regParam=0.0005, elasticNetParam=0.9, maxIter=60).fit(both)
     found = linear.coefficients.toArray()
-    return Model(voters, {space.vocabulary[i]: float(found[i]) for i in np.flatnonzero(found)}, float(linear.intercept))
-
+    return Model(voters, {terms[i]: float(found[i]) for i in np.flatnonzero(found)}, float(linear.intercept))
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on). Whole texts; an empty or
-    null text gets the score of a text without terms. Columns of these names are replaced."""
 
+def _score(model: Model):
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([model.score(t) for t in batch], dtype="float64")
 
-    out = docs.withColumn("score", run(F.col("text")))
+    return run
+
+
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on). Whole texts; an empty or
+    null text gets the score of a text without terms. Columns of these names are replaced."""
+    bounded_batches(docs.sparkSession)
+    out = docs.withColumn("score", _score(model)("text"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that a model fitted on them does not find toxic."""
-    columns = docs.columns
-    marked = scored(docs.select(F.struct(*columns).alias("_row"), "text"), fit(docs, labels))
-    return marked.filter("predicted = 0").select("_row.*")
+    toxic = _score(fit(docs, labels))("text") >= 0.5
+    return docs.withColumn("_toxic", toxic).filter("NOT _toxic").drop("_toxic")
