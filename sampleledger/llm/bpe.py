@@ -14,6 +14,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sampleledger.llm.common import bounded_batches
+
 #: A rank file is sent to every executor, so its size is bounded: 16 MiB hold a million tokens.
 MAX_RANK_BYTES = 16 << 20
 #: Characters after which a text is cut at the next safe place.
@@ -99,6 +101,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, digest: bool = False) -
     replaced, others stay. A null text counts as empty.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     ranks = read_ranks(spark, path)
     if not digest:
         out = docs.withColumn("ids", tokens(spark, F.col("text"), ranks, pattern))
