@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sampleledger.llm.common import id_crc32
+from sampleledger.llm.common import bounded_batches, bounded_sample, id_crc32
 
 #: Labelled documents that train the network, and windows taken from each.
 SAMPLE_ROWS, SAMPLE_WINDOWS = 6000, 3
@@ -190,9 +190,10 @@ def sample_windows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[np.ndarray
     data = F.col("text").cast("binary")
     many = F.octet_length("text")
     starts = [F.when(many > WINDOW, F.pmod(F.xxhash64(F.lit(k), "doc_id"), many - WINDOW + 1)).otherwise(0).cast("int") for k in range(SAMPLE_WINDOWS)]
-    usable = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL AND length(text) > 0").filter(~held_out(F.col("doc_id")))
-    picked = usable.select(F.xxhash64(F.lit(3), "doc_id").alias("h"), "doc_id", "lang", F.array(*[F.substring(data, s + 1, WINDOW) for s in starts]).alias("cuts"))
-    found = picked.orderBy("h", "doc_id", "lang").limit(rows).select("lang", F.explode("cuts").alias("piece")).collect()
+    usable = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
+    picked = usable.select("doc_id", "lang", F.array(*[F.substring(data, s + 1, WINDOW) for s in starts]).alias("cuts"))
+    pieces = bounded_sample(picked, rows, 3).select("lang", F.explode("cuts").alias("piece"))
+    found = sorted(pieces.filter(F.octet_length("piece") > 0).collect())
     windows = np.full((len(found), WINDOW), PAD, np.int16)
     for row, item in zip(windows, found):
         row[: len(item["piece"])] = np.frombuffer(bytes(item["piece"]), np.uint8)
@@ -217,6 +218,8 @@ def predicted(docs: DataFrame, network: Network | None) -> DataFrame:
     network. Every byte of every text is labelled. Columns of these names are replaced.
     """
 
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
