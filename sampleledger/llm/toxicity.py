@@ -27,7 +27,8 @@ from sampleledger.llm.common import bounded_batches, bounded_sample, cut, id_crc
 #: Labelled rows that lexicons and classifier are fitted on, and the terms they may use.
 SAMPLE_ROWS = 16_000
 MAX_TERMS, MIN_TEXTS = 8192, 5
-MINED_TERMS, MINED_VOTERS = 240, 6
+MINED_TERMS, MINED_TEXTS, MINED_VOTERS = 240, 5, 6
+PENALTY = 0.1
 FOLDS, HELD_OUT = 5, 0
 #: Characters of a text that are split at once.
 CHUNK = 1 << 20
@@ -190,7 +191,7 @@ def _mined(sample: DataFrame) -> dict[str, int]:
         return {}
     counts = sample.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.avg("toxic").alias("p"))
     z = (F.col("p") - base["p"]) / F.sqrt(F.lit(base["p"] * (1 - base["p"])) / F.col("n"))
-    best = counts.withColumn("z", z).filter(f"n >= {MIN_TEXTS} AND p >= 0.7 AND z >= 6").orderBy(F.desc("z"), "term").limit(MINED_TERMS)
+    best = counts.withColumn("z", z).filter(f"n >= {MINED_TEXTS} AND p >= 0.7 AND z >= 6").orderBy(F.desc("z"), "term").limit(MINED_TERMS)
     return {r["term"]: xxh64_intdigest(r["term"]) % MINED_VOTERS for r in best.collect()}
 
 
@@ -248,7 +249,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     both = space.transform(rows).select(
         "features", F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("p")).alias("w")))).alias("x")
     ).select("features", F.col("x.y").alias("label"), F.col("x.w").alias("weight"))
-    linear = LogisticRegression(weightCol="weight", regParam=0.0005, elasticNetParam=0.9, maxIter=60).fit(both)
+    # the noise of a term's weight falls with the root of the sample, and so does the penalty
+    penalty = PENALTY / math.sqrt(rows.count())
+    linear = LogisticRegression(weightCol="weight", regParam=penalty, elasticNetParam=0.9, maxIter=60).fit(both)
     found = linear.coefficients.toArray()
     return Model(voters, {terms[i]: float(found[i]) for i in np.flatnonzero(found)}, float(linear.intercept))
 
