@@ -6,20 +6,25 @@ bands of a window's MinHash retrieve the templates that may be in it, and the sh
 template's five-word shingles that the window holds, counted exactly, decides.
 
 With one row a band, a window of similarity s to a template meets it in some band with probability
-1 - (1 - s) ** BANDS. Sizes grow by a half and windows are half as long again as their size, so a
-window that holds 0.8 of a template has s above 0.3, and 24 bands find it with probability 0.9998.
+1 - (1 - s) ** BANDS. The least s of a match follows from the template's own number of shingles and
+the window's (``least_similarity``). Where 24 bands find it with probability RECALL or more, bands
+retrieve the template. Short templates have less (one shingle of a window's eight in "MIT"): some of
+their shingles, so many that no match lacks them all, are keys of their own, which find every match.
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE, CONTAINED, BANDS = 5, 0.8, 24
 SMALLEST = 8
+#: Least probability with which bands alone may retrieve a template.
+RECALL = 0.9998
 
 # The notices as their licences prescribe or as they are commonly written.
 TEMPLATES = {
@@ -59,6 +64,32 @@ def size_of(words: int) -> int:
     return size
 
 
+def plain_shingles(text: str) -> list[str]:
+    """The distinct five-word shingles of a template."""
+    words = plain_words(text)
+    return list(dict.fromkeys(" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))))
+
+
+def _needed(many: int) -> int:
+    """Shingles of so many that a match holds at least."""
+    return next(k for k in range(ceil(CONTAINED * many) - 1, many + 1) if k / many >= CONTAINED)
+
+
+def least_similarity(text: str) -> float:
+    """The least Jaccard similarity of a template to a window that matches: the window has as many
+    other shingles as it has room for."""
+    many, room = len(plain_shingles(text)), size_of(len(plain_words(text))) * 3 // 2 - SHINGLE + 1
+    return _needed(many) / (many + room - _needed(many))
+
+
+def sure_shingles(text: str) -> list[str]:
+    """Shingles of which every match holds one, for a template that bands find too seldom."""
+    if 1 - (1 - least_similarity(text)) ** BANDS >= RECALL:
+        return []
+    found = plain_shingles(text)
+    return found[: len(found) - _needed(len(found)) + 1]
+
+
 def needed_words(templates: dict[str, str]) -> list[str]:
     """A few words, one of which every text with a match must hold.
 
@@ -92,11 +123,24 @@ def bands(marks: Column) -> Column:
     return F.array(*[F.struct(F.lit(b).alias("band"), smallest(b).alias("value")) for b in range(BANDS)])
 
 
+def sure_keys(texts: list[str]) -> Column:
+    """The hashes of the templates' sure shingles."""
+    return F.array(*[F.xxhash64(F.lit(x)) for x in dict.fromkeys(x for t in texts for x in sure_shingles(t))]).cast("array<bigint>")
+
+
+def keys(marks: Column, sure: Column) -> Column:
+    """(band, value): the bands, and those of the sure shingles among ``marks`` as one band more."""
+    return F.concat(bands(marks), F.transform(F.array_intersect(marks, sure), lambda x: F.struct(F.lit(BANDS).alias("band"), x.alias("value"))))
+
+
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """(license, size, marks) of the templates, whose number is that of the parameter."""
-    rows = [F.struct(F.lit(n).alias("license"), F.lit(size_of(len(plain_words(t)))).alias("size"), F.lit(t).alias("notice")) for n, t in templates.items()]
+    """(license, size, marks, sure) of the templates, whose number is that of the parameter."""
+    rows = [
+        F.struct(F.lit(n).alias("license"), F.lit(size_of(len(plain_words(t)))).alias("size"), F.lit(t).alias("notice"), sure_keys([t]).alias("sure"))
+        for n, t in templates.items()
+    ]
     out = spark.range(1).select(F.inline(F.array(*rows)))
-    return out.select("license", "size", shingles(normal_words(F.col("notice"))).alias("marks"))
+    return out.select("license", "size", shingles(normal_words(F.col("notice"))).alias("marks"), "sure")
 
 
 def notices(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -124,12 +168,13 @@ def notices(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame
         return F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.lit(size).alias("size"), (i * step).alias("at"), F.slice("words", i * step + 1, length).alias("part")))
 
     windows = rows.select("doc_id", F.inline(F.flatten(F.array(*map(cuts, sizes)))))
+    sure = sure_keys(list(templates.values()))
     marked = windows.select("doc_id", "size", "at", shingles(F.col("part")).alias("marks"))
-    banded = marked.select("doc_id", "size", "at", F.col("marks").alias("have"), F.explode(bands(F.col("marks"))).alias("b"))
+    banded = marked.select("doc_id", "size", "at", F.col("marks").alias("have"), F.explode(keys(F.col("marks"), sure)).alias("b"))
     banded = banded.select("doc_id", "size", "at", "have", "b.band", "b.value")
-    keys = known.select("license", "size", F.col("marks").alias("want"), F.explode(bands(F.col("marks"))).alias("b")).select("license", "size", "want", "b.band", "b.value")
+    asked = known.select("license", "size", F.col("marks").alias("want"), F.explode(keys(F.col("marks"), F.col("sure"))).alias("b")).select("license", "size", "want", "b.band", "b.value")
     # the bounded table of templates against windows; a pair may meet in several bands
-    met = banded.join(F.broadcast(keys), ["size", "band", "value"])
+    met = banded.join(F.broadcast(asked), ["size", "band", "value"])
     share = F.size(F.array_intersect("want", "have")) / F.size("want")
     good = met.withColumn("containment", share).filter(F.col("containment") >= CONTAINED)
     once = good.groupBy("doc_id", "license", "at").agg(F.max("containment").alias("containment"))

@@ -194,6 +194,25 @@ def test_notices_against_every_window(spark):
     assert 103 not in got and 102 not in got and "MIT-permission" in got[100] and got[101] == {"MIT"}
 
 
+def test_short_notices_are_always_found(spark):
+    # many at the end of a text, where a single window holds them
+    notices = [n for n in licenses.TEMPLATES.values() if len(licenses.plain_words(n)) <= 9]
+    rows = [(i, f"{odd.prose(5000 + i, 20 + i % 40)} {notices[i % len(notices)]}") for i in range(1200)]
+    found = {}
+    for r in licenses.notices(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r["doc_id"], set()).add(r["license"])
+    assert len(notices) >= 4 and found == {i: plain_notices(t) for i, t in rows}
+
+
+def test_every_template_is_retrieved_as_surely_as_stated():
+    for notice in licenses.TEMPLATES.values():
+        want, sure = licenses.plain_shingles(notice), licenses.sure_shingles(notice)
+        if sure:  # without all of these too few are left for a match
+            assert len(want) - len(sure) < licenses.CONTAINED * len(want)
+        else:
+            assert 1 - (1 - licenses.least_similarity(notice)) ** licenses.BANDS >= 0.9998
+
+
 def test_notices_of_odd_rows(docs, empty):
     assert licenses.notices(docs).count() == 0 and licenses.notices(empty).count() == 0
 
