@@ -177,9 +177,8 @@ def _terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for id_, text, toxic in zip(frame["doc_id"], frame["text"], frame["toxic"]):
             words = words_of(text or "")
-            # near copies share their long word of smallest hash, and one of them is enough
-            long = [w for w in words if len(w) >= 8] or sorted(words)
-            mark = min((xxh64_intdigest(w) for w in long), default=0) >> 1
+            # copies have equal bytes, and one of them with each label is enough
+            mark = xxh64_intdigest((text or "").encode("utf-8", "replace")) >> 1
             rows.append((int(id_), int(toxic), mark, Voters.pattern_bits(text or ""), sorted(terms_of(words))))
         yield pd.DataFrame(rows, columns=["doc_id", "toxic", "mark", "patterns", "terms"])
 
@@ -199,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model learned from the rows of ``docs`` and ``labels`` outside the held-out fold.
 
     Lexicons and classifier take at most SAMPLE_ROWS labelled rows, those of smallest hash, one of
-    each set of near copies; the label model takes the votes on every training document. Only the
+    each set of equal texts with one label; the label model takes the votes on every training document. Only the
     text is ever an input. Null or repeated labels of a document: nulls do not count, and the
     largest does. Without labelled rows of both kinds the fixed voters alone give the weights.
     """
@@ -213,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     texts = docs.select("doc_id", "text").join(chosen, "doc_id")
     sample = stored(texts.mapInPandas(_terms, "doc_id long, toxic int, mark long, patterns int, terms array<string>"))
     # ids alone are shuffled; their table is no larger than the sample
-    apart = stored(sample.groupBy("mark").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
+    apart = stored(sample.groupBy("mark", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
     sample = sample.join(apart, "doc_id")
     voters = Voters(_mined(sample))
 

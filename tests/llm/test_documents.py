@@ -94,6 +94,19 @@ def test_toxic_texts_are_learned_from_labels_alone(spark):
     assert len(held) > 100 and sum(found[i]["predicted"] == (i % 5 == 0) for i in held) >= 0.98 * len(held)
 
 
+def test_only_copies_are_left_out_of_training(spark, monkeypatch):
+    # all share their one long word; ids outside the held-out fold
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    short = lambda i: " ".join(w[:6] for w in odd.prose(3000 + i, 20).split())
+    rows = [(i, f"extraordinary {short(i)}") for i in ids[:100]]
+    rows += [(i, rows[0][1]) for i in ids[100:120]]  # copies, of both labels
+    marks = [(i, 0, k % 2) for k, (i, _) in enumerate(rows)]
+    seen, mined = [], toxicity._mined
+    monkeypatch.setattr(toxicity, "_mined", lambda sample: seen.extend((r["doc_id"], r["toxic"]) for r in sample.collect()) or mined(sample))
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), odd.labels(spark, marks))
+    assert len(seen) == 101 and {i for i in ids[:100]} <= {i for i, _ in seen} and (ids[101], 1) in seen
+
+
 def test_toxicity_of_odd_rows(spark, docs, empty):
     model = toxicity.fit(docs, odd.labels(spark))
     found = toxicity.scored(docs, model)
