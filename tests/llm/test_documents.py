@@ -362,6 +362,13 @@ def test_fingerprints_of_odd_rows(docs, rows, empty):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted({c for i, _, c in want if i is not None})
 
 
+def test_texts_that_share_an_id_stay_unless_linked(spark):
+    rows = [(1, odd.prose(7000, 50), "a"), (1, odd.prose(7001, 50), "b"), (1, odd.prose(7001, 50), "c"), (2, odd.prose(7000, 50), "d"), (3, odd.prose(7002, 50), "e")]
+    frames = [spark.createDataFrame(r, "doc_id long, text string, source string").repartition(n) for r, n in ((rows, 1), (rows[::-1], 4))]
+    kept = [sorted(map(tuple, simhash.deduplicated(f).collect())) for f in frames]
+    assert kept[0] == kept[1] and len(kept[0]) == 3 and {t for _, t, _ in kept[0]} == {t for _, t, _ in rows}
+
+
 def test_every_close_pair_is_linked(spark, monkeypatch):
     monkeypatch.setattr(simhash, "PART", 5)
     rng = random.Random(6)
