@@ -150,8 +150,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     size = F.exists("embedding", lambda x: x != 0)
     rows = cut(vectors.select("vec_id", F.when(usable(F.col("embedding")) & size, F.col("embedding")).alias("v")))
     classes = rows.filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first_id"))
-    # a number for each distinct vector: its smallest id, or a hash where it has none
-    classes = classes.withColumn("rep", F.coalesce("first_id", -F.abs(F.xxhash64("v")) - 1))
+    # a number for each distinct vector, of its own even where vectors share an id; stored, so it is final
+    classes = classes.withColumn("rep", F.monotonically_increasing_id())
     classes = cut(classes.select("rep", "first_id", "copies", "v"))
     celled = classes.select("rep", "copies", "v").mapInPandas(_cells(half), "rep long, copies long, v array<double>, cell int, dims int")
     celled = cut(celled)

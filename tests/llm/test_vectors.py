@@ -58,6 +58,14 @@ def test_links_against_every_pair(spark, rows, monkeypatch):
         assert sorted(map(tuple, found.collect()), key=str) == want
 
 
+def test_vectors_that_share_an_id_are_vectors_of_their_own(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(5, a), (5, b), (6, [1.0, 0.01, 0.0]), (7, [1.0, 0.02, 0.0]), (8, [0.0, 1.0, 0.01]), (4, [0.0, 1.0, 0.02])]
+    found = embedding_dedup.near_duplicates(frame(spark, rows))
+    want = [(4, 2, 4, True), (5, 2, 4, False), (5, 2, 5, True), (6, 2, 5, False), (7, 2, 5, False), (8, 2, 4, False)]
+    assert sorted(map(tuple, found.collect())) == want
+
+
 def test_a_pair_at_the_threshold_is_found():
     assert embedding_dedup.calibrated_count() == embedding_dedup.PROJECTIONS - 1
     rng = np.random.default_rng(9)
