@@ -90,13 +90,15 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5, scale: int = 256) -> Dat
     products with all other rows, components being floor(scale * x).
 
     ``vectors`` has vec_id and embedding. Vectors that are null or hold null or non-finite
-    components take no part, nor do rows without a vec_id. Rows that repeat a vec_id count once.
+    components take no part, nor do rows without a vec_id. Rows equal in vec_id and vector count once;
+    other rows that share a vec_id are all candidates, and as queries they share one ranking.
     Vectors meet those of their own number of components. Ties go to the smaller vec_id. Scores
     must fit a signed 64-bit integer. Work is queries times vectors; a task holds one block of each.
     """
     scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    rows = vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    rows = cut(rows.select("vec_id", scaled.alias("v"), F.size("embedding").alias("dims"), asks.alias("asks")).dropDuplicates(["vec_id"]))
+    rows = vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).withColumn("_asks", asks)
+    rows = rows.groupBy("vec_id", "embedding").agg(F.bool_or("_asks").alias("asks"))
+    rows = cut(rows.select("vec_id", scaled.alias("v"), F.size("embedding").alias("dims"), "asks"))
     many = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
     blocks, parts = -(-many["n"] // BLOCK) or 1, -(-many["q"] // QUERIES) or 1
 

@@ -104,6 +104,12 @@ def test_top_k_against_all(spark, rows, monkeypatch, block):
     assert sorted(map(tuple, found.collect())) == plain_top(usable, 5)
 
 
+def test_top_k_takes_every_vector_of_a_shared_id(spark):
+    rows = [(7, [1.0, 0.0]), (1, [3.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0]), (3, [0.5, 0.0])]
+    found = topk.top_k(frame(spark, rows), topk.F.col("vec_id") % 7 == 0, 3)
+    assert sorted(map(tuple, found.collect())) == [(7, 1, 1, 3 << 16), (7, 2, 1, 2 << 16), (7, 3, 2, 1 << 16)]
+
+
 def test_the_walk_stops_early_and_is_exact():
     rng = np.random.default_rng(2)
     vectors = np.floor(rng.normal(size=(500, 4)) * 100).astype(np.int64)
