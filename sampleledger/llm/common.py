@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,3 +88,18 @@ def text_crc32(text: Column) -> Column:
 def id_crc32(id_: Column) -> Column:
     """CRC-32 of an id written as decimal text, the basis of the held-out folds."""
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary"))
+
+
+#: Bytes or characters of a text that are searched at once.
+PIECE = 1 << 20
+
+
+def pieces(text: str | bytes, gap: re.Pattern, size: int = PIECE) -> Iterator:
+    """A text in pieces of about ``size``, cut where ``gap`` matches one character between words, so
+    that no word is cut however long the text."""
+    start = 0
+    while start < len(text):
+        cut = gap.search(text, start + size)
+        end = cut.end() if cut else len(text)
+        yield text[start:end]
+        start = end

@@ -66,3 +66,27 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOU
 scores AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) r WHERE rank <= 5"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_P = "(1 + (1000000000::HUGEINT * ({0} + 5)) // ({1} + 5 * {2}))::BIGINT"
+
+DIVERGENCE = rf"""
+WITH docs AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (SELECT i, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS size FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sizes AS (SELECT lang, source, sum(n) AS size FROM counts GROUP BY lang, source),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {_P.format("coalesce(c.n, 0)", "coalesce(s.size, 0)", "l.v")} AS p, {_P.format("k.n", "l.size", "l.v")} AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term) LEFT JOIN sizes s USING (lang, source)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM dense WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) u)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
