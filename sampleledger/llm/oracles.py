@@ -90,3 +90,29 @@ ranked AS (
   SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
   FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) u)
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
+VARIANTS = rf"""
+WITH RECURSIVE {_CRC},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS k FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, k, xor(4294967295::BIGINT, list_reduce({_BYTES.format("coalesce(doc_id::VARCHAR, '') || ':' || run")}, lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT)) AS h
+  FROM counted, crc),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+deleted AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS short FROM places),
+masked AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+links AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM masked a JOIN masked b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT d.word, w.word, w.n FROM deleted d JOIN words w ON w.word = d.short
+  UNION ALL SELECT w.word, d.word, d.n FROM deleted d JOIN words w ON w.word = d.short),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM links),
+formed AS (
+  SELECT w.word, w.n, coalesce(o.n_near, 0)::BIGINT AS n_near, CASE WHEN o.near_n >= 5 * w.n THEN o.near END AS form, CASE WHEN o.near_n >= 5 * w.n THEN o.near_n END AS form_n
+  FROM words w LEFT JOIN ordered o ON o.word = w.word AND o.place = 1),
+walk AS (SELECT word, word AS root FROM formed UNION ALL SELECT k.word, f.form FROM walk k JOIN formed f ON f.word = k.root WHERE f.form IS NOT NULL),
+ends AS (SELECT k.word, k.root FROM walk k JOIN formed f ON f.word = k.root WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e ON e.word = f.word"""
