@@ -40,12 +40,17 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table to the checkpoint folder and read again. Its columns are
     pruned when read, and the planner knows its true size, so a small one is broadcast and a large
     one is not. The table goes when the session ends."""
-    spark = df.sparkSession
-    path = f"{_shared_folder(spark).rstrip('/')}/table-{uuid4().hex}"
+    path = fresh_folder(df.sparkSession, "table")
     df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh_folder(spark: SparkSession, kind: str) -> str:
+    """The name of a new folder in the session's checkpoint folder. It goes when the session ends."""
+    path = f"{_shared_folder(spark).rstrip('/')}/{kind}-{uuid4().hex}"
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 #: Texts that go to Python at once.

@@ -116,3 +116,13 @@ formed AS (
 walk AS (SELECT word, word AS root FROM formed UNION ALL SELECT k.word, f.form FROM walk k JOIN formed f ON f.word = k.root WHERE f.form IS NOT NULL),
 ends AS (SELECT k.word, k.root FROM walk k JOIN formed f ON f.word = k.root WHERE f.form IS NULL)
 SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e ON e.word = f.word"""
+
+
+_BASE32 = "array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr({0}, (k // 8) * 10 + 1, 10))::BIGINT >> (35 - 5 * (k % 8))) & 31) + 1, 1)), '')"
+
+ARCHIVED = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {_BASE32.format("sha1(payload)")} AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM payloads"""

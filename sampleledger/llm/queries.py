@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleledger.llm import bpe, divergence, embedding_dedup, langid, licenses, mixing, oracles, sharding, simhash, spelling, suffix_dedup, topk, toxicity
+from sampleledger.llm import bpe, divergence, embedding_dedup, langid, licenses, mixing, oracles, sharding, simhash, spelling, suffix_dedup, topk, toxicity, warc
 from sampleledger.llm.common import table
 
 SHARDS = 8
@@ -74,13 +74,17 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.grouped(table(spark, sf_dir, "documents"))
 
 
+def op13_warc_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_stratified_shards, op2_weak_toxicity, op3_bucket_refinement, op4_license_notices, op5_collision_counting, op6_threshold_top_k,
             op7_byte_bpe, op8_byte_gru_language, op9_covering_simhash, op10_target_mixture,
-            op11_source_divergence, op12_spelling_variants,
+            op11_source_divergence, op12_spelling_variants, op13_warc_chains,
         )
     }
 
@@ -94,4 +98,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_threshold_top_k": oracles.TOP,
         "op11_source_divergence": oracles.DIVERGENCE,
         "op12_spelling_variants": oracles.VARIANTS,
+        "op13_warc_chains": oracles.ARCHIVED,
     }
