@@ -36,13 +36,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as a Parquet table to the checkpoint folder and read again. Its columns are
+def stored(df: DataFrame, into: SparkSession | None = None) -> DataFrame:
+    """``df`` written as a Parquet table to the checkpoint folder and read again, by the session
+    ``into`` if that is another. Its columns are
     pruned when read, and the planner knows its true size, so a small one is broadcast and a large
     one is not. The table goes when the session ends."""
     path = fresh_folder(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (into or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def fresh_folder(spark: SparkSession, kind: str) -> str:

@@ -13,6 +13,10 @@ they leave the split; from the start of each file, pointer jumping over the spli
 doubles the steps) finds the place at which the true chain enters each. A second pass walks every
 split from its entry: what the chain does not visit is part of a payload.
 
+Both passes have to see the same splits, while Spark cuts files by the cores it has at the time and
+the files it reads. So archives are read through a session of their own, with this one's settings
+but for a split size that depends on nothing.
+
 Places are counted from the first stretch of their split: the lengths of all stretches of earlier
 splits add up to its offset in the file.
 """
@@ -33,6 +37,8 @@ DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+#: Bytes of a split of an archive.
+SPLIT = 32 << 20
 #: Splits with an entry of their own that are sent to executors at once.
 ENTRIES = 1 << 17
 #: Bytes of records that a task hands on at once.
@@ -114,6 +120,18 @@ def _header(head: bytes | None) -> dict[str, str] | None:
     return fields if "warc-type" in fields and size.isascii() and size.isdigit() and len(size) < 16 else None
 
 
+def _with_fixed_splits(spark: SparkSession, split: int) -> SparkSession:
+    """A session like this one that cuts files into pieces of ``split`` bytes whatever it reads."""
+    other = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            other.conf.set(name, value)
+    other.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    other.conf.set("spark.sql.files.minPartitionNum", "1")
+    other.conf.set("spark.sql.files.openCostInBytes", str(min(split, 4 << 20)))
+    return other
+
+
 def _stretches(spark: SparkSession, folder: str, *more: Column) -> DataFrame:
     read = spark.read.option("lineSep", MAGIC).text(folder)
     return read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), *more)
@@ -153,11 +171,11 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Chains:
     """Where the true chain of each file enters its splits."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, split: int = SPLIT):
         text = F.col("value")
         head = F.when(F.contains(text, F.lit(END)), F.substring_index(text, END, 1)).cast("binary")
-        slim = _stretches(spark, folder, head.alias("head"), F.octet_length(text).cast("long").alias("size"))
-        found = stored(slim.mapInArrow(_candidates, "file string, block long, at long, to long, first long, total long"))
+        slim = _stretches(_with_fixed_splits(spark, split), folder, head.alias("head"), F.octet_length(text).cast("long").alias("size"))
+        found = stored(slim.mapInArrow(_candidates, "file string, block long, at long, to long, first long, total long"), spark)
         splits = found.select("file", "block", "first", "total").distinct()
         before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
         whole = Window.partitionBy("file")
@@ -277,7 +295,7 @@ def _joined(parts: DataFrame, splits: DataFrame) -> DataFrame:
     return found.select("file", "owner.block", "owner.at", "headers", F.expr("aggregate(all, cast('' AS binary), (a, p) -> concat(a, p.content))").alias("content"))
 
 
-def records(spark: SparkSession, folder: str) -> DataFrame:
+def records(spark: SparkSession, folder: str, split: int = SPLIT) -> DataFrame:
     """(file, block, at, headers, payload): the records of all archives in ``folder``. ``headers`` are
     named in lower case; the payload is what follows the HTTP header in a record of that type, and
     the whole content in any other. ``block`` and ``at`` tell the place: the split and the bytes from
@@ -287,7 +305,7 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     (``Chains.broken`` tells all of them). A record is held whole by a task, as a row (2 GB at most).
     Empty files have no records.
     """
-    chains = Chains(spark, folder)
+    chains, reader = Chains(spark, folder, split), _with_fixed_splits(spark, split)
     if bad := chains.broken().limit(5).collect():
         raise ValueError(f"records do not reach the end of the file: {[tuple(r) for r in bad]}")
     unusual = stored(chains.unusual())
@@ -296,7 +314,7 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     of = lambda file: F.pmod(F.xxhash64(file), F.lit(batches))
     for n in range(batches):
         entries = {(r["file"], r["block"]): r["entry"] for r in unusual.filter(of("file") == n).collect()}
-        data = _stretches(spark, folder, F.col("value").cast("binary").alias("data")).filter(of("file") == n)
+        data = _stretches(reader, folder, F.col("value").cast("binary").alias("data")).filter(of("file") == n)
         parts = data.mapInArrow(_walking(spark.sparkContext.broadcast(entries)), "file string, block long, at long, whole boolean, headers map<string,string>, content binary")
         found = parts if found is None else found.union(parts)
     all_ = found.filter("whole").select("file", "block", "at", "headers", "content")
@@ -315,17 +333,17 @@ def _payload(headers: Column, content: Column) -> Column:
     return F.when(headers["content-type"].startswith("application/http") & F.contains(text, F.lit(END)), F.substring(block, http + 1, size)).otherwise(block)
 
 
-def page_records(spark: SparkSession, folder: str) -> DataFrame:
+def page_records(spark: SparkSession, folder: str, split: int = SPLIT) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of archives that ``write`` made.
     The size and digest of a response are measured on its payload; a revisit has those of the
     response that it names by id and digest, so one whose response is missing has no size."""
     id_ = lambda name: F.regexp_extract(F.col("headers")[name], "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
-    found = records(spark, folder).select(
+    found = records(spark, folder, split).select(
         id_("warc-record-id").alias("page_id"), F.col("headers")["warc-type"].alias("record_type"), id_("warc-refers-to").alias("refers_to"),
         F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"),
         F.regexp_extract(F.col("headers")["warc-payload-digest"], "^sha1:(.*)$", 1).alias("stated"),
     )
-    found = stored(found)
+    found = stored(found, spark)
     responses, again = found.filter("record_type <> 'revisit'"), found.filter("record_type = 'revisit'")
     originals = responses.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("stated"), "payload_bytes").distinct()
     again = again.drop("payload_bytes").join(originals, ["refers_to", "stated"], "left").withColumn("payload_digest", F.col("stated"))

@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(queries.oracle_sql()))
 def test_equal_to_sql(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     found = queries.queries()[key](spark, SF_DIR)
     cur = con.execute(queries.oracle_sql()[key])
