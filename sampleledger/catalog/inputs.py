@@ -103,6 +103,26 @@ SELECT CASE WHEN size % 50 = 0 THEN '                           PRE humann/'
 FROM fx_files""",
     "fx_mapping": """
 SELECT b.uid AS old_id, min(s.uid) AS new_id FROM fx_biospecimens AS b JOIN fx_seqpreps AS s ON s.biospecimen_id = b.id GROUP BY b.uid""",
+    # Twenty files at a time: a chain of moves that ends at a free name, a cycle, a chain up to a file
+    # that stays, and pairs that want one name.
+    "fx_moves": """
+SELECT 'd/' || CAST(k AS STRING) AS path, CASE
+  WHEN b % 4 = 0 THEN 'd/' || CASE WHEN r < 19 THEN '' ELSE 'x' END || CAST(k + 1 AS STRING)
+  WHEN b % 4 = 1 THEN 'd/' || CAST(CASE WHEN r < 19 THEN k + 1 ELSE k - 19 END AS STRING)
+  WHEN b % 4 = 2 AND r < 12 THEN 'd/' || CAST(k + 1 AS STRING)
+  WHEN b % 4 = 3 THEN 'd/y' || CAST(k - k % 2 AS STRING) END AS newpath
+FROM (SELECT p_partkey AS k, p_partkey % 20 AS r, CAST(floor(p_partkey / 20) AS BIGINT) AS b FROM part) AS p""",
+    # Mappings whose new ids are old ids of later ones, in forty folders; in some a renamed file ends
+    # where another has arrived before.
+    "fx_ordered_mapping": """
+SELECT p_partkey AS seq, 'A' || CAST(p_partkey AS STRING) || '_' AS old_id, 'B' || CAST(p_partkey AS STRING) || '_' AS new_id FROM part WHERE p_partkey % 2 = 0
+UNION ALL SELECT 100000000000 + p_partkey, 'B' || CAST(p_partkey AS STRING) || '_', 'C' || CAST(p_partkey AS STRING) || '_' FROM part WHERE p_partkey % 4 = 0
+UNION ALL SELECT 300000000000 - p_partkey, 'Z' || CAST(p_partkey AS STRING) || '_', 'C ' || CAST(p_partkey AS STRING) || '_' FROM part WHERE p_partkey % 36 = 0
+UNION ALL SELECT 400000000000 + p_partkey, 'Z' || CAST(p_partkey AS STRING) || '_', 'A' || CAST(p_partkey AS STRING) || '_' FROM part WHERE p_partkey % 9 = 0""",
+    "fx_ordered_files": """
+SELECT dir, file, dir || '/' || file AS path FROM (
+  SELECT 'd' || CAST(p_partkey % 40 AS STRING) AS dir, 'A' || CAST(p_partkey AS STRING) || '_' || CAST(p_size AS STRING) || '.tsv' AS file FROM part
+  UNION ALL SELECT 'd' || CAST(p_partkey % 40 AS STRING), 'Z' || CAST(p_partkey AS STRING) || '_' || CAST(p_size AS STRING) || '.tsv' FROM part WHERE p_partkey % 3 = 0) AS x""",
     # Raw reads with missing mates, orphans and doubled mates; SRR1 is a prefix of SRR10.
     "fx_samples": "SELECT 'SRR' || CAST(p_partkey AS STRING) AS sample FROM part",
     "fx_raw": """
@@ -223,6 +243,9 @@ _STEP = re.compile(r"\b(?:fx|ox)_\w+")
 _SOURCE = re.compile(r"\b(FROM|JOIN)\s+([A-Za-z_]\w*)")
 
 
+_RECURSIVE = "WITH RECURSIVE"
+
+
 def oracle_text(sql: str) -> str:
     """``sql`` with every derived step it needs as a common table expression."""
     steps: dict[str, str] = {}
@@ -238,6 +261,8 @@ def oracle_text(sql: str) -> str:
     if not steps:
         return sql.strip()
     ctes = ",\n".join(f"{name} AS ({body.strip()})" for name, body in steps.items())
+    if sql.strip().startswith(_RECURSIVE):
+        return f"{_RECURSIVE} {ctes},\n{sql.strip().removeprefix(_RECURSIVE).strip()}"
     return f"WITH {ctes}\n{sql.strip()}"
 
 

@@ -9,7 +9,7 @@ from sampleledger.catalog.reconciling import ATTACHED_SQL, BY_NAME_WELL_SQL, cho
 from sampleledger.catalog.registry import query
 from sampleledger.functions.names import replace_id, with_name_parts
 from sampleledger.operators import links, reconcile
-from sampleledger.plans import renames, sync
+from sampleledger.plans import ordering, renames, sync
 
 _OLD = r"F[EG]\d{12}"
 _RENAMED = r"""
@@ -110,6 +110,41 @@ def _(inputs):
     return renames.rename_substring(files.withColumn("path", F.concat(F.lit("d/"), "file")), "ab", "")
 
 
+@query("r05_ordered_moves", """
+WITH RECURSIVE moves AS (SELECT * FROM fx_moves WHERE newpath IS NOT NULL),
+files AS (SELECT path FROM fx_moves),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY newpath ORDER BY path) AS n FROM moves),
+movers AS (SELECT path, newpath FROM ranked WHERE n = 1),
+walk AS (
+  SELECT path, newpath, newpath AS last, 1 AS step FROM movers
+  UNION ALL SELECT w.path, w.newpath, m.newpath, w.step + 1 FROM walk w JOIN movers m ON m.path = w.last WHERE w.last <> w.path AND w.step < 100),
+ends AS (SELECT * FROM walk w WHERE NOT EXISTS (SELECT 1 FROM movers m WHERE m.path = w.last) OR w.last = w.path)
+SELECT path, newpath, CASE WHEN last = path THEN 'cycle' WHEN last IN (SELECT path FROM files) THEN 'exists' ELSE 'move' END AS action,
+  CASE WHEN last <> path AND last NOT IN (SELECT path FROM files) THEN CAST(step AS INT) END AS step FROM ends
+UNION ALL SELECT path, newpath, 'clash', NULL FROM ranked WHERE n > 1""")
+def _(inputs):
+    wanted = inputs["fx_moves"]
+    return ordering.order_moves(wanted.filter("newpath IS NOT NULL"), wanted)
+
+
+@query("r06_ordered_renames", """
+WITH RECURSIVE rules AS (SELECT CAST(seq AS BIGINT) AS seq, old_id, replace(new_id, ' ', '') AS new_id FROM fx_ordered_mapping),
+walk AS (
+  SELECT dir, path, CAST(NULL AS VARCHAR) AS name, file AS newname, CAST(-1 AS BIGINT) AS seq FROM fx_ordered_files
+  UNION ALL SELECT w.dir, w.path, w.newname, replace(w.newname, r.old_id, r.new_id), r.seq
+  FROM walk w JOIN rules r ON contains(w.newname, r.old_id) AND r.seq = (SELECT min(s.seq) FROM rules s WHERE s.seq > w.seq AND contains(w.newname, s.old_id))),
+steps AS (SELECT w.*, r.old_id, r.new_id FROM walk w JOIN rules r ON r.seq = w.seq),
+holders AS (SELECT a.dir, a.path, a.newname AS held, a.seq, (SELECT min(b.seq) FROM walk b WHERE b.path = a.path AND b.seq > a.seq) AS until FROM walk a),
+conflicts AS (
+  SELECT s.dir, min((s.seq, s.name)) AS stop FROM steps s JOIN holders h ON h.dir = s.dir AND h.held = s.newname AND (h.path <> s.path OR s.name = s.newname)
+  WHERE h.seq < s.seq AND (h.until IS NULL OR s.seq <= h.until) OR h.seq = s.seq AND h.path < s.path GROUP BY s.dir)
+SELECT s.path, s.seq, s.old_id, s.new_id, s.name, s.newname,
+  CASE WHEN c.stop IS NULL OR (s.seq, s.name) < c.stop THEN 'rename' WHEN (s.seq, s.name) = c.stop THEN 'conflict' ELSE 'stopped' END AS action
+FROM steps s LEFT JOIN conflicts c ON c.dir = s.dir""")
+def _(inputs):
+    return ordering.rename_in_order(inputs["fx_ordered_files"], inputs["fx_ordered_mapping"])
+
+
 # A mapping whose ids are of several lengths and contained in one another.
 # Every fifteenth new id has a second old one, so that two files get one name.
 _MAPPING = """SELECT 'Q' || CAST(p_partkey AS STRING) AS old_id, 'N' || CAST(p_partkey AS STRING) AS new_id FROM part WHERE p_partkey % 3 = 0

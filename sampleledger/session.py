@@ -33,12 +33,13 @@ def kept(df: DataFrame) -> DataFrame:
     """``df`` as a reliable checkpoint, computed now: with adaptive execution parts of a plan run
     while it is checkpointed, so this is an explicit step.
 
-    The folder is the one named in ``spark.checkpoint.dir``; without one this is an error.
+    The folder is the one named in ``spark.checkpoint.dir``. Only a local session that names none
+    gets one of its own; on a cluster that is an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if named is None:
+        if named is None and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(named)
+        context.setCheckpointDir(named or "/tmp/checkpoints")
     return df.checkpoint()
