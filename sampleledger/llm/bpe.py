@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleledger.llm.common import bounded_batches
+from sampleledger.llm.common import bounded_batches, give_back, own_name
 
 #: A rank file is sent to every executor, so its size is bounded: 16 MiB hold a million tokens.
 MAX_RANK_BYTES = 16 << 20
@@ -117,6 +117,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str, digest: bool = False) -
                 ids = encode(coder, text or "")
                 rows.append((len(ids), sha256(ids.tobytes()).hexdigest(), sha256(coder.decode_bytes(ids.tolist())).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        del coder
+        encoding.cache_clear()  # the tables of ranks are large, and the worker goes on to other stages
+        give_back()
 
-    out = docs.withColumn("_coded", run(F.col("text")))
-    return out.withColumns({c: F.col(f"_coded.{c}") for c in ("n_tokens", "ids_sha256", "decoded_sha256")}).drop("_coded")
+    coded = own_name(docs, "_coded")
+    out = docs.withColumn(coded, run(F.col("text")))
+    return out.withColumns({c: F.col(f"{coded}.{c}") for c in ("n_tokens", "ids_sha256", "decoded_sha256")}).drop(coded)

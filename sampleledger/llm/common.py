@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Iterator
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +99,27 @@ def id_crc32(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary"))
 
 
+def give_back() -> None:
+    """Returns the memory that a task's batches took. Python workers are used again by later stages,
+    and what one stage leaves would be missing in all of them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)
+
+
+def own_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column's name, whatever characters it holds, where a path is expected."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 #: Bytes or characters of a text that are searched at once.
 PIECE = 1 << 20
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sampleledger.llm.common import cut, stored, word_count
+from sampleledger.llm.common import cut, quoted, stored, word_count
 
 WEIGHTS = (3, 1, 2)
 RATIO, LIMIT = 1.5, 2.0
@@ -107,7 +107,7 @@ def mixture(
     kept = [c for c in docs.columns if c not in ADDED]
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~"))
     h = F.xxhash64(F.lit(seed), "doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    marked = docs.select(F.struct(*kept).alias("_row"), word_count(F.col("text")).alias("size"), key.alias("_key"), h.alias("_h"))
+    marked = docs.select(F.struct(*map(quoted, kept)).alias("_row"), word_count(F.col("text")).alias("size"), key.alias("_key"), h.alias("_h"))
     slim = cut(marked.select("_key", "_h", "size"))
     sizes = slim.groupBy(F.col("_key").alias("key")).agg(F.count("*").alias("docs"), F.sum("size").alias("source_size"))
     sources = targets(sizes, ratio, limit, weights).withColumns(
@@ -171,7 +171,7 @@ def mixed(docs: DataFrame, seed: int = 0, **how) -> DataFrame:
 def resampled(docs: DataFrame, seed: int = 0, **how) -> DataFrame:
     """``docs`` with each row as often as the mixture takes it, all columns as they are."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "source")]
-    packed = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *others).alias("_others"))
+    packed = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *map(quoted, others)).alias("_others"))
     taken = mixture(packed, seed=seed, **how).filter("copies > 0")
     rows = taken.select("doc_id", "text", "source", "_others", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
-    return rows.select("doc_id", "text", "source", *[F.col("_others").getField(c).alias(c) for c in others]).select(docs.columns)
+    return rows.select("doc_id", "text", "source", *[F.col("_others").getField(c).alias(c) for c in others]).select(*map(quoted, docs.columns))

@@ -3,8 +3,10 @@
 Every place of a text is in a bucket with all places that start alike. Buckets of 8 bytes are the
 bytes themselves; a bucket of 16 is named by the buckets of 8 at a place and 8 further on, one of 25
 by those of 16 at a place and 9 further on, one of 50 by those of 25 at a place and 25 further on:
-each refinement orders by bucket names of later offsets and reuses the names just made. Equal names
-mean equal bytes, to within collisions of 64 bits.
+each refinement orders by bucket names of later offsets and reuses the names just made. Names are
+64-bit hashes of names under a key drawn for the run: no text can be written to share a name with
+another, and two different places share one by chance with probability 2 ** -64. Equal names are
+not compared with the bytes again.
 
 A place of 50 bytes (a *window*) may be removed if its bucket has a place in a document of smaller
 id. Comparing all windows of a corpus would shuffle many times its size, so buckets are refined only
@@ -27,14 +29,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from secrets import randbits
 
 import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sampleledger.llm.common import bounded_batches, stored, utf8_length
+from sampleledger.llm.common import bounded_batches, give_back, own_name, quoted, stored, utf8_length
 
 WINDOW, ANCHOR = 50, 25
 REACH = WINDOW - ANCHOR + 1
@@ -53,19 +57,29 @@ _LOW = np.uint64(0x7FFFFFFF)
 
 def refined(here: np.ndarray, later: np.ndarray) -> np.ndarray:
     """The names of the buckets with these names at a place and at a later one."""
-    out = here * _A
+    return keyed(here, later, (_A, _B))
+
+
+def keyed(here: np.ndarray, later: np.ndarray, key: tuple[np.uint64, np.uint64]) -> np.ndarray:
+    out = here * key[0]
     out ^= out >> _32
     out += later
-    out *= _B
+    out *= key[1]
     out ^= out >> _29
     return out
 
 
+def fresh_key() -> tuple[np.uint64, np.uint64]:
+    """Two secret odd factors. Names are made with them, so no text can be written to share a name
+    with another; they go to the tasks with the functions, so a repeated task names alike."""
+    return np.uint64(randbits(64) | 1), np.uint64(randbits(64) | 1)
+
+
 class Runs:
     """The runs of a slice of pieces: ``anchor``, ``name``, ``piece``, ``start`` (in the piece),
     ``count`` (windows); ``place`` is a run's first window in ``windows``, the names of all."""
 
-    def __init__(self, pieces: list[bytes], first: int):
+    def __init__(self, pieces: list[bytes], first: int, key: tuple):
         data = np.frombuffer(b"".join(pieces), np.uint8)
         sizes = np.array([len(p) for p in pieces])
         ends = np.cumsum(sizes)
@@ -74,9 +88,9 @@ class Runs:
         x = x[:-1] | x[1:] << np.uint64(8)
         x = x[:-2] | x[2:] << np.uint64(16)
         x = x[:-4] | x[4:] << _32
-        x = refined(x[:-8], x[8:])
-        x = refined(x[:-9], x[9:])
-        self.windows = refined(x[:-ANCHOR], x[ANCHOR:])
+        x = keyed(x[:-8], x[8:], key)
+        x = keyed(x[:-9], x[9:], key)
+        self.windows = keyed(x[:-ANCHOR], x[ANCHOR:], key)
         for step in (1, 2, 4, 8, REACH - 16):
             x = np.minimum(x[:-step], x[step:])
         owner = np.repeat(np.arange(len(pieces)), sizes)[:n]
@@ -92,7 +106,7 @@ class Runs:
             count = np.minimum(np.repeat(count, parts) - nth * REACH, REACH)
             start = np.repeat(start, parts) + nth * REACH
         self.place, self.count, self.anchor = start, count, x[start]
-        self.name = refined(refined(self.windows[start], self.windows[start + count - 1]), count.astype(np.uint64))
+        self.name = keyed(keyed(self.windows[start], self.windows[start + count - 1], key), count.astype(np.uint64), key)
         self.piece, self.start = owner[start] + first, start - (ends - sizes)[owner[start]]
 
     def expanded(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,14 +117,14 @@ class Runs:
         return run, self.place[run] + nth
 
 
-def runs_of(pieces: list[bytes]) -> Iterator[Runs]:
+def runs_of(pieces: list[bytes], key: tuple) -> Iterator[Runs]:
     held, size, first = [], 0, 0
     for i, piece in enumerate(pieces):
         held.append(piece)
         size += len(piece)
         if size >= SLICE or i == len(pieces) - 1:
             if size >= WINDOW:
-                yield Runs(held, first)
+                yield Runs(held, first, key)
             held, size, first = [], 0, i + 1
 
 
@@ -180,7 +194,7 @@ def long_name(bucket: np.ndarray, low: np.ndarray) -> np.ndarray:
     return bucket.astype(np.uint64) << np.uint64(31) | low.astype(np.uint64)
 
 
-def send_anchors(buckets: int):
+def send_anchors(buckets: int, key: tuple):
     def settle(anchors: list[np.ndarray], docs: list[np.ndarray]) -> pd.DataFrame:
         anchor, doc = np.concatenate(anchors), np.concatenate(docs)
         order = np.lexsort((doc, anchor))
@@ -200,7 +214,7 @@ def send_anchors(buckets: int):
         for frame in frames:
             ids = frame["doc_id"].to_numpy(np.int64)
             pieces, owner, _ = cut_up([t.encode("utf-8", "replace") for t in frame["text"]])
-            for runs in runs_of(pieces):
+            for runs in runs_of(pieces, key):
                 anchors.append(runs.anchor)
                 docs.append(ids[owner[runs.piece]])
                 size += len(runs.windows)
@@ -209,6 +223,7 @@ def send_anchors(buckets: int):
                     anchors, docs, size = [], [], 0
         if anchors:
             yield settle(anchors, docs)
+        give_back()
 
     return run
 
@@ -260,10 +275,10 @@ class Answers:
         return found
 
 
-def candidates(buckets: int):
+def candidates(buckets: int, key: tuple):
     """Of one group of documents: the stretches of text whose anchors are shared."""
 
-    def run(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def run(at: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = ["at", "doc_id", "tag", "data", "starts", "counts"]
         ids, tags = texts["doc_id"].to_numpy(np.int64), texts["tag"].to_numpy(np.int64)
         wanted, hashed = Answers(*unpacked(answers, None)[:2]), owner_names(ids)
@@ -272,7 +287,7 @@ def candidates(buckets: int):
         pieces, owner, offset = cut_up(raw)
         none = np.empty(0, np.int64)
         parts = [(none, none, none)]
-        for runs in runs_of(pieces):
+        for runs in runs_of(pieces, key):
             mine = owner[runs.piece]
             good = wanted.have(hashed[mine], long_name(*short(runs.anchor, buckets)))
             if good.any():
@@ -293,7 +308,7 @@ def candidates(buckets: int):
         for i in np.unique(mine).tolist():
             a, b = np.searchsorted(mine, [i, i + 1])
             some = bytes_[ends[a] - size[a] : ends[b - 1]].tobytes()
-            rows.append((key[0], int(ids[i]), int(tags[i]), zip_(some), start[a:b].astype("<i8").tobytes(), count[a:b].astype("<i8").tobytes()))
+            rows.append((at[0], int(ids[i]), int(tags[i]), zip_(some), start[a:b].astype("<i8").tobytes(), count[a:b].astype("<i8").tobytes()))
         return pd.DataFrame(rows, columns=columns).astype({"at": "int64", "doc_id": "int64", "tag": "int64"})
 
     return run
@@ -317,7 +332,7 @@ def stretches_of(frame: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarr
     return pieces, np.array(owner, np.int64), np.array(offset, np.int64)
 
 
-def send_runs(buckets: int):
+def send_runs(buckets: int, key: tuple):
     """Rows of kind 0 are open (anchor, name), of kind 1 known answers; a name of 0 tells that an
     anchor has several kinds of runs."""
 
@@ -348,7 +363,7 @@ def send_runs(buckets: int):
         for frame in frames:
             ids = frame["doc_id"].to_numpy(np.int64)
             pieces, owner, _ = stretches_of(frame)
-            for runs in runs_of(pieces):
+            for runs in runs_of(pieces, key):
                 parts.append((runs.anchor, runs.name, ids[owner[runs.piece]]))
                 size += len(runs.windows)
                 if size >= BATCH:
@@ -356,6 +371,7 @@ def send_runs(buckets: int):
                     parts, size = [], 0
         if parts:
             yield settle(parts)
+        give_back()
 
     return run
 
@@ -383,14 +399,14 @@ def refined_runs(groups: int):
 # --- 3: windows ------------------------------------------------------------------------------------
 
 
-def send_windows(buckets: int):
+def send_windows(buckets: int, key: tuple):
     def run(_: tuple, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         ids = frame["doc_id"].to_numpy(np.int64)
         docs, names, status = unpacked(answers, 0)
         wanted = Answers(docs[status == MIXED], names[status == MIXED])
         found_names, found_docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         pieces, owner, _ = stretches_of(frame)
-        for runs in runs_of(pieces):
+        for runs in runs_of(pieces, key):
             mine = ids[owner[runs.piece]]
             run_, window = runs.expanded(np.flatnonzero(wanted.have(owner_names(mine), runs.name)))
             found_names.append(runs.windows[window])
@@ -434,7 +450,7 @@ def removed(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int
     return int(gone.sum()), runs, np.frombuffer(data, np.uint8)[~gone].tobytes()
 
 
-def _results(with_text: bool, carried: bool):
+def _results(with_text: bool, carried: bool, key: tuple):
     def run(_: tuple, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         stretches = frame[frame["starts"].notna()].reset_index(drop=True)
         texts = frame[frame["starts"].isna()]
@@ -445,7 +461,7 @@ def _results(with_text: bool, carried: bool):
         none = np.empty(0, np.int64)
         spans = [(none, none, none)]
         pieces, owner, offset = stretches_of(stretches)
-        for runs in runs_of(pieces):
+        for runs in runs_of(pieces, key):
             row = owner[runs.piece]
             first = runs.start + offset[runs.piece]
             some = whole.have(hashed[row], runs.name)
@@ -480,10 +496,15 @@ def _zipped(groups: int):
             zip_ = zstandard.ZstdCompressor(level=1).compress
             data = [zip_(t.encode("utf-8", "replace")) for t in frame["text"]]
             yield frame.drop(columns="text").assign(at=group_of(frame["doc_id"].to_numpy(np.int64), groups), data=data)
+        give_back()
 
     return run
 
 
+def _fields(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields
+
+
 def without_repeats(docs: DataFrame, with_text: bool = False, carry: list[str] | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept[, rest]): each text without the bytes
     covered by a 50-byte string that also starts in a document of smaller id.
@@ -496,29 +517,29 @@ def without_repeats(docs: DataFrame, with_text: bool = False, carry: list[str] |
     """
     bounded_batches(docs.sparkSession)
     carry = carry or []
-    rest = F.struct(*carry).alias("rest")
+    rest, key = F.struct(*map(quoted, carry)).alias("rest"), fresh_key()
     text = F.coalesce("text", F.lit("")).alias("text")
     rows = docs.select("doc_id", text, F.xxhash64(text).alias("tag"), *([rest] if carry else []))
-    rest_type = f", rest {rows.schema['rest'].dataType.simpleString()}" if carry else ""
+    rest_field = [rows.schema["rest"]] if carry else []
     named, nameless = rows.filter("doc_id IS NOT NULL"), rows.filter("doc_id IS NULL")
     total = named.agg(F.sum(utf8_length(F.col("text")))).first()[0] or 0
     buckets, groups = total // BUCKET_BYTES + 1, total // GROUP_BYTES + 1
 
-    anchors = named.select("doc_id", "text").mapInPandas(send_anchors(buckets), PACKED)
+    anchors = named.select("doc_id", "text").mapInPandas(send_anchors(buckets, key), PACKED)
     answers = anchors.groupBy("at").applyInPandas(shared_anchors(groups), PACKED)
     zipped = named.select("doc_id", "tag", "text").mapInPandas(_zipped(groups), "doc_id long, tag long, at long, data binary")
-    stretches = stored(zipped.groupBy("at").cogroup(answers.groupBy("at")).applyInPandas(candidates(buckets), STRETCHES))
+    stretches = stored(zipped.groupBy("at").cogroup(answers.groupBy("at")).applyInPandas(candidates(buckets, key), STRETCHES))
 
-    runs = stretches.mapInPandas(send_runs(buckets), PACKED)
+    runs = stretches.mapInPandas(send_runs(buckets, key), PACKED)
     judged = stored(runs.groupBy("at").applyInPandas(refined_runs(groups), PACKED))
-    windows = stretches.groupBy("at").cogroup(judged.groupBy("at")).applyInPandas(send_windows(buckets), PACKED)
+    windows = stretches.groupBy("at").cogroup(judged.groupBy("at")).applyInPandas(send_windows(buckets, key), PACKED)
     older = windows.groupBy("at").applyInPandas(older_windows(groups), PACKED)
 
-    texts = named.mapInPandas(_zipped(groups), f"doc_id long, tag long{rest_type}, at long, data binary")
+    texts = named.mapInPandas(_zipped(groups), T.StructType([*_fields("doc_id long, tag long"), *rest_field, *_fields("at long, data binary")]))
     blank = [F.lit(None).cast(t).alias(c) for c, t in (("starts", "binary"), ("counts", "binary"))]
     left = texts.select("*", *blank).unionByName(stretches, allowMissingColumns=True)
-    kind = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary{rest_type}"
-    found = left.groupBy("at").cogroup(judged.unionByName(older).groupBy("at")).applyInPandas(_results(with_text, bool(carry)), kind)
+    kind = T.StructType([*_fields("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"), *rest_field])
+    found = left.groupBy("at").cogroup(judged.unionByName(older).groupBy("at")).applyInPandas(_results(with_text, bool(carry), key), kind)
 
     data = F.col("text").cast("binary")
     whole = nameless.select(
@@ -536,13 +557,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     is left of it goes as well. Other columns stay as they are. Null texts stay null.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    marked = docs.withColumn("_null", F.col("text").isNull())
-    found = without_repeats(marked, with_text=True, carry=[*others, "_null"])
+    null = own_name(docs, "_null")
+    marked = docs.withColumn(null, F.col("text").isNull())
+    found = without_repeats(marked, with_text=True, carry=[*others, null])
 
     @F.pandas_udf("string")
     def readable(kept: pd.Series) -> pd.Series:
         return pd.Series([bytes(x).decode("utf-8", "ignore") for x in kept])
 
-    out = found.withColumn("text", F.when(~F.col("rest._null"), readable("kept")))
-    out = out.select("doc_id", "text", *[F.col("rest").getField(c).alias(c) for c in others]).select(docs.columns)
+    out = found.withColumn("text", F.when(~F.col("rest").getField(null), readable("kept")))
+    out = out.select("doc_id", "text", *[F.col("rest").getField(c).alias(c) for c in others]).select(*map(quoted, docs.columns))
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in others else out

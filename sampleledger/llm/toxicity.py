@@ -22,16 +22,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from sampleledger.llm.common import bounded_batches, bounded_sample, cut, id_crc32, stored
+from sampleledger.llm.common import bounded_batches, bounded_sample, cut, give_back, id_crc32, stored
 
-#: Labelled rows that lexicons and classifier are fitted on, and the terms they may use.
+#: Labelled rows that lexicons and classifier are fitted on, and the most frequent terms they take
+#: unless told otherwise.
 SAMPLE_ROWS = 16_000
 MAX_TERMS, MIN_TEXTS = 8192, 5
 MINED_TERMS, MINED_TEXTS, MINED_VOTERS = 240, 5, 6
+#: Characters of the longest word; longer ones, as of scripts without spaces, are cut into GRAM.
+LONGEST, GRAM = 40, 3
 PENALTY = 0.1
 FOLDS, HELD_OUT = 5, 0
 #: Characters of a text that are split at once.
 CHUNK = 1 << 20
+#: Characters of texts whose terms a task holds at once.
+HELD = 1 << 19
 
 # General English word lists, by kind.
 LEXICONS = (
@@ -51,7 +56,8 @@ _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
 def words_of(text: str) -> set[str]:
-    """Distinct lower-case words of a whole text, without digits and signs at their ends."""
+    """Distinct lower-case words of a whole text, without digits and signs at their ends. A word of
+    more than LONGEST characters, as texts without spaces have, gives its runs of GRAM characters."""
     found: set[str] = set()
     at = 0
     while at < len(text):
@@ -60,7 +66,14 @@ def words_of(text: str) -> set[str]:
         found.update(text[at:end].lower().split())
         at = end
     clean = (w if w.isalpha() else _EDGES.sub("", w) for w in found)
-    return {w for w in clean if 2 <= len(w) <= 40}
+    out, long_ones = set(), []
+    for w in clean:
+        if len(w) > LONGEST:
+            long_ones.append(w)
+        elif len(w) > 1:
+            out.add(w)
+    out.update(w[i : i + GRAM] for w in long_ones for i in range(len(w) - GRAM + 1))
+    return out
 
 
 def terms_of(words: set[str]) -> set[str]:
@@ -173,34 +186,46 @@ def held_out(id_):
 
 
 def _terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        rows = []
-        for id_, text, toxic in zip(frame["doc_id"], frame["text"], frame["toxic"]):
-            words = words_of(text or "")
-            # copies have equal bytes, and one of them with each label is enough
-            mark = xxh64_intdigest((text or "").encode("utf-8", "replace")) >> 1
-            rows.append((int(id_), int(toxic), mark, Voters.pattern_bits(text or ""), sorted(terms_of(words))))
-        yield pd.DataFrame(rows, columns=["doc_id", "toxic", "mark", "patterns", "terms"])
-
-
-def _mined(sample: DataFrame) -> dict[str, int]:
+    columns, rows, size = ["doc_id", "toxic", "mark", "patterns", "terms"], [], 0
+    try:
+        for frame in frames:
+            for id_, text, toxic in zip(frame["doc_id"], frame["text"], frame["toxic"]):
+                words = words_of(text or "")
+                # copies have equal bytes, and one of them with each label is enough
+                mark = xxh64_intdigest((text or "").encode("utf-8", "replace")) >> 1
+                rows.append((int(id_), int(toxic), mark, Voters.pattern_bits(text or ""), sorted(terms_of(words))))
+                size += len(text or "")
+                if size > HELD:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+    finally:
+        give_back()
+
+
+def _mined(sample: DataFrame, most: int | None = MINED_TERMS) -> dict[str, int]:
     """Terms that stand far more often in toxic texts than chance allows, dealt to the voters."""
     base = sample.agg(F.avg("toxic").alias("p"), F.count("*").alias("n")).first()
     if not base["n"] or not 0 < base["p"] < 1:
         return {}
     counts = sample.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.avg("toxic").alias("p"))
     z = (F.col("p") - base["p"]) / F.sqrt(F.lit(base["p"] * (1 - base["p"])) / F.col("n"))
-    best = counts.withColumn("z", z).filter(f"n >= {MINED_TEXTS} AND p >= 0.7 AND z >= 6").orderBy(F.desc("z"), "term").limit(MINED_TERMS)
-    return {r["term"]: xxh64_intdigest(r["term"]) % MINED_VOTERS for r in best.collect()}
+    best = counts.withColumn("z", z).filter(f"n >= {MINED_TEXTS} AND p >= 0.7 AND z >= 6").orderBy(F.desc("z"), "term")
+    return {r["term"]: xxh64_intdigest(r["term"]) % MINED_VOTERS for r in (best if most is None else best.limit(most)).collect()}
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int | None = MAX_TERMS, mined: int | None = MINED_TERMS
+) -> Model:
     """A model learned from the rows of ``docs`` and ``labels`` outside the held-out fold.
 
-    Lexicons and classifier take at most SAMPLE_ROWS labelled rows, those of smallest hash, one of
+    Lexicons and classifier take at most ``rows`` labelled rows, those of smallest hash, one of
     each set of equal texts with one label; the label model takes the votes on every training document. Only the
     text is ever an input. Null or repeated labels of a document: nulls do not count, and the
-    largest does. Without labelled rows of both kinds the fixed voters alone give the weights.
+    largest does. The classifier weighs the ``terms`` terms of the most sample texts and the lexicons
+    take the ``mined`` that tell most; with None all that stand in MIN_TEXTS (MINED_TEXTS) sample
+    texts, whose number the bounded sample bounds. Without labelled rows of both kinds the fixed voters alone give the weights.
     """
     from pyspark.ml.classification import LogisticRegression  # only the driver needs these
     from pyspark.ml.feature import CountVectorizerModel
@@ -208,18 +233,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     bounded_batches(docs.sparkSession)
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = stored(bounded_sample(known, SAMPLE_ROWS, 7))
+    chosen = stored(bounded_sample(known, rows, 7))
     texts = docs.select("doc_id", "text").join(chosen, "doc_id")
     sample = stored(texts.mapInPandas(_terms, "doc_id long, toxic int, mark long, patterns int, terms array<string>"))
     # ids alone are shuffled; their table is no larger than the sample
     apart = stored(sample.groupBy("mark", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
     sample = sample.join(apart, "doc_id")
-    voters = Voters(_mined(sample))
+    voters = Voters(_mined(sample) if mined == MINED_TERMS else _mined(sample, mined))
 
     @F.pandas_udf("int")
     def votes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([voters.votes(terms_of(words_of(t or "")), voters.pattern_bits(t or "")) for t in batch], dtype="int32")
+        give_back()
 
     training = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", votes_of("text").alias("votes"))
     # at most three rows per pattern of the voters' bits, so a table of bounded size
@@ -237,22 +263,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         fired = [[f"#{i}" for i in range(voters.count) if v >> i & 1] for v in votes]
         return pd.DataFrame({"votes": fired, "p": [posterior.get((v, y), 0.5) for v, y in zip(votes, toxic)]})
 
-    rows = sample.select("terms", posterior_of("terms", "toxic", "patterns").alias("x"))
-    rows = stored(rows.select(F.concat("terms", "x.votes").alias("terms"), F.col("x.p").alias("p")))
-    found_in = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).filter(f"n >= {MIN_TEXTS}")
-    terms = [r["term"] for r in found_in.orderBy(F.desc("n"), "term").limit(MAX_TERMS).collect()]
-    if not terms:
+    marked = sample.select("terms", posterior_of("terms", "toxic", "patterns").alias("x"))
+    marked = stored(marked.select(F.concat("terms", "x.votes").alias("terms"), F.col("x.p").alias("p")))
+    found_in = marked.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).filter(f"n >= {MIN_TEXTS}")
+    found_in = found_in.orderBy(F.desc("n"), "term")
+    vocabulary = [r["term"] for r in (found_in if terms is None else found_in.limit(terms)).collect()]
+    if not vocabulary:
         return Model(voters, fixed, -3.0)
-    space = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="features")
+    space = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="features")
     space.setBinary(True)
-    both = space.transform(rows).select(
+    both = space.transform(marked).select(
         "features", F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("p")).alias("w")))).alias("x")
     ).select("features", F.col("x.y").alias("label"), F.col("x.w").alias("weight"))
     # the noise of a term's weight falls with the root of the sample, and so does the penalty
-    penalty = PENALTY / math.sqrt(rows.count())
+    penalty = PENALTY / math.sqrt(marked.count())
     linear = LogisticRegression(weightCol="weight", regParam=penalty, elasticNetParam=0.9, maxIter=60).fit(both)
     found = linear.coefficients.toArray()
-    return Model(voters, {terms[i]: float(found[i]) for i in np.flatnonzero(found)}, float(linear.intercept))
+    return Model(voters, {vocabulary[i]: float(found[i]) for i in np.flatnonzero(found)}, float(linear.intercept))
 
 
 def _score(model: Model):
@@ -260,6 +287,7 @@ def _score(model: Model):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([model.score(t) for t in batch], dtype="float64")
+        give_back()
 
     return run
 
@@ -273,6 +301,6 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that a model fitted on them does not find toxic."""
-    toxic = _score(fit(docs, labels))("text") >= 0.5
-    return docs.withColumn("_toxic", toxic).filter("NOT _toxic").drop("_toxic")
+    """The documents that a model fitted on them does not find toxic, all columns as they are. Null and
+    empty texts are scored like any other without terms."""
+    return docs.filter(_score(fit(docs, labels))("text") < 0.5)

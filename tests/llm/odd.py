@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: More columns than documents have, named as the operators name their own.
 CLASH = ["size", "score", "rank", "shard", "slot", "n", "key", "h", "copies", "taken", "target", "tag", "kept", "at", "data", "words", "toxic", "fp", "blocks", "rest"]
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in CLASH)
+CLASH += ["_null", "_row", "_toxic", "_label", "_letters", "_coded", "_others", "my col", "a.b"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in CLASH) + ", extra map<string,int>"
 
 
 def prose(seed: int, words: int) -> str:
@@ -25,7 +26,7 @@ def documents(spark: SparkSession) -> DataFrame:
         (None, None, None, None), (9, f"{prose(4, 30)} {passage} {prose(5, 30)}", "es", "d"), (10, f"{prose(6, 3)} {passage}", "es", "d"),
         (11, "a" * 5000, "en", "d"), (12, "a" * 3000 + "b", "en", "d"), (13, "日本語の文章です。" * 40, "ja", "e"), (14, "…%%% 123 !!!", "en", "e"),
     ]
-    return spark.createDataFrame([(i, t, lang, s, len(t or "")) + (7,) * len(CLASH) for i, t, lang, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, lang, s, len(t or "")) + (7,) * len(CLASH) + ({"k": 1},) for i, t, lang, s in rows], SCHEMA)
 
 
 def nothing(spark: SparkSession) -> DataFrame:
