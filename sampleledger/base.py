@@ -18,11 +18,14 @@ class RecordBase:
 
     ``back_links`` walks the children's short back-reference arrays (``project``, ``subject``,
     ``biospecimen``); without it the parents' link arrays are used, of which a parent with very many
-    children has one very long one in one row.
+    children has one very long one in one row. With ``all_fields`` walks keep every field that any
+    record of a table has, see :func:`sampleledger.sources.records.all_typed`; a walk then reads each
+    table's fields when it is built.
     """
 
     tables: Mapping[str, DataFrame]
     back_links: bool = True
+    all_fields: bool = False
 
     @classmethod
     def load(
@@ -32,8 +35,9 @@ class RecordBase:
         fallbacks: Mapping[str, str] | None = None,
         back_links: bool = True,
         fmt: str = "lines",
+        all_fields: bool = False,
     ) -> RecordBase:
-        return cls(records.read_base(spark, folder, fallbacks, fmt), back_links)
+        return cls(records.read_base(spark, folder, fallbacks, fmt), back_links, all_fields)
 
     def __getitem__(self, key: str | tuple[str, str]) -> DataFrame:
         """``base[table]``, ``base[table, uid]`` or ``base[record id]``; the last two raise when absent."""
@@ -54,7 +58,7 @@ class RecordBase:
         return records.all_records(self.tables)
 
     def typed(self, table: str) -> DataFrame:
-        return records.typed(self.tables[table], table)
+        return (records.all_typed if self.all_fields else records.typed)(self.tables[table], table)
 
     def uids(self, table: str) -> DataFrame:
         return lookups.uids(self.tables[table])

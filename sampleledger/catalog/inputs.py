@@ -103,6 +103,15 @@ SELECT CASE WHEN size % 50 = 0 THEN '                           PRE humann/'
 FROM fx_files""",
     "fx_mapping": """
 SELECT b.uid AS old_id, min(s.uid) AS new_id FROM fx_biospecimens AS b JOIN fx_seqpreps AS s ON s.biospecimen_id = b.id GROUP BY b.uid""",
+    # Subjects as record lines. Fields that no schema names: one in every third record, one that is a
+    # number or text, one that is a number of either kind.
+    "fx_subject_lines": """
+SELECT '{"id":"' || s.id || '","fields":{"uid":"' || s.uid || '","project":["' || s.project_id || '"]'
+  || CASE WHEN s.keep IS NULL THEN '' ELSE ',"keep":' || CAST(s.keep AS STRING) END
+  || CASE WHEN k % 3 = 0 THEN ',"cohort":"group ' || CAST(k % 7 AS STRING) || '"' ELSE '' END
+  || CASE WHEN k % 5 = 0 THEN ',"Note (free)":' || CAST(k AS STRING) WHEN k % 5 = 1 THEN ',"Note (free)":"see ' || CAST(k AS STRING) || '"' ELSE '' END
+  || CASE WHEN k % 2 = 0 THEN ',"weight":' || CAST(k % 90 AS STRING) WHEN k % 7 = 0 THEN ',"weight":' || CAST(k % 90 AS STRING) || '.5' ELSE '' END || '}}' AS value
+FROM (SELECT *, CAST(uid AS BIGINT) AS k FROM fx_subjects) AS s""",
     # Twenty files at a time: a chain of moves that ends at a free name, a cycle, a chain up to a file
     # that stays, and pairs that want one name.
     "fx_moves": """
@@ -282,7 +291,7 @@ class Inputs:
     def _build(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        text = DERIVED[name]
+        text = DERIVED[name].replace("{", "{{").replace("}", "}}")
         sources = {m.group(2) for m in _SOURCE.finditer(text)}
         return self.spark.sql(
             _SOURCE.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", text), **{s: self[s] for s in sources}

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sampleledger.base import RecordBase
 from sampleledger.catalog.inputs import Inputs
 from sampleledger.catalog.lookups import prep_edges
 from sampleledger.catalog.registry import query
 from sampleledger.functions.names import with_name_parts
 from sampleledger.operators import links
+from sampleledger.schemas import RECORD_FIELDS
+from sampleledger.sources import records
 
 
 def _links_of(df: DataFrame, column: str, into: str) -> DataFrame:
@@ -156,6 +159,22 @@ def _(inputs):
     return walk_seqpreps(inputs).select("project", "biospecimen", "uid")
 
 
+@query("j08_all_fields", """
+SELECT p.uid AS project, s.uid, f.field, f.value FROM (SELECT *, CAST(uid AS BIGINT) AS k FROM fx_subjects) s JOIN fx_projects p ON p.id = s.project_id
+JOIN (SELECT uid, 'cohort' AS field, 'group ' || CAST(CAST(uid AS BIGINT) % 7 AS STRING) AS value FROM fx_subjects WHERE CAST(uid AS BIGINT) % 3 = 0
+  UNION ALL SELECT uid, 'Note (free)', CASE WHEN CAST(uid AS BIGINT) % 5 = 0 THEN '' ELSE 'see ' END || CAST(CAST(uid AS BIGINT) AS STRING) FROM fx_subjects WHERE CAST(uid AS BIGINT) % 5 < 2
+  UNION ALL SELECT uid, 'weight', CAST(CAST(uid AS BIGINT) % 90 AS STRING) || CASE WHEN CAST(uid AS BIGINT) % 2 = 0 THEN '.0' ELSE '.5' END FROM fx_subjects WHERE CAST(uid AS BIGINT) % 2 = 0 OR CAST(uid AS BIGINT) % 7 = 0) f
+  ON f.uid = s.uid
+WHERE s.keep IS DISTINCT FROM 0""")
+def _(inputs):
+    people = records.parse_records(inputs["fx_subject_lines"], "Subjects")
+    projects = inputs["fx_projects"].withColumns({"tbl": F.lit("Projects"), "fields": F.lit(None).cast("variant")})
+    walked = RecordBase({"Projects": projects, "Subjects": people}, all_fields=True).subjects()
+    others = [c for c in walked.columns if c not in ("id", "parent_id", "project", *RECORD_FIELDS["Subjects"].fieldNames())]
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").cast("string").alias("value")) for c in others])
+    return walked.select("project", "uid", F.inline(cells)).filter("value IS NOT NULL")
+
+
 _VISIT_FLAGS = """
 SELECT s.uid, coalesce(max(CASE WHEN v.uid = '3mo' THEN 1 ELSE 0 END), 0) AS mo3, coalesce(max(CASE WHEN v.uid = '6mo' THEN 1 ELSE 0 END), 0) AS mo6
 FROM fx_subjects s LEFT JOIN fx_biospecimens b ON b.subject_id = s.id LEFT JOIN fx_visits v ON v.id = b.visit_id GROUP BY s.uid"""

@@ -6,6 +6,7 @@ so :func:`import_snapshot` writes it once as JSON lines or parquet, which all re
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -119,8 +120,12 @@ def typed(records: DataFrame, table: str, schema: T.StructType | None = None) ->
 
     A flag or ``keep`` may be stored as a number or a boolean.
     """
+    return records.select("id", *_typed_columns(schema or RECORD_FIELDS[table]))
+
+
+def _typed_columns(schema: T.StructType) -> list[Column]:
     columns = []
-    for field in (schema or RECORD_FIELDS[table]).fields:
+    for field in schema.fields:
         path = f"$.{field.name}"
         value = F.try_variant_get("fields", path, field.dataType.simpleString())
         if isinstance(field.dataType, (T.IntegerType, T.BooleanType)):
@@ -129,7 +134,59 @@ def typed(records: DataFrame, table: str, schema: T.StructType | None = None) ->
         if field.name == "uid":
             value = F.col("uid")
         columns.append(value.alias(field.name))
-    return records.select("id", *columns)
+    return columns
+
+
+#: Columns that walks add or join by; a field of such a name, in any case of letters, is read as ``<name>_field``.
+WALK_COLUMNS = ("id", "tbl", "fields", "parent_id", "project", "subject", "biospecimen", "s_well")
+_SCALAR = r"BIGINT|BOOLEAN|STRING|FLOAT|DOUBLE|DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|DECIMAL\(\d+,\s?\d+\)"
+_TYPED = rf"^(ARRAY<)?({_SCALAR})>?$"
+
+
+def merged_fields(records: DataFrame) -> DataFrame:
+    """``(tbl, field, n, kind, kinds)``: every field of each table, in how many records, the type that
+    fits all its values and the sorted outer types there are. ``VARIANT`` in ``kind`` tells that no
+    type does. Values are merged on the map side."""
+    value = F.col("value")
+    outer = F.regexp_extract(F.schema_of_variant(value), r"^\w+", 0)
+    pairs = records.select("tbl", F.explode(F.col("fields").cast("map<string, variant>")).alias("field", "value"))
+    return pairs.groupBy("tbl", "field").agg(
+        F.count(F.lit(1)).alias("n"), F.schema_of_variant_agg(value).alias("kind"),
+        F.array_sort(F.collect_set(F.when(outer != "VOID", outer))).alias("kinds"),
+    )
+
+
+def mixed_fields(records: DataFrame) -> DataFrame:
+    """Fields whose values are of several types that no one type fits."""
+    return merged_fields(records).filter(F.contains("kind", F.lit("VARIANT")))
+
+
+def all_typed(records: DataFrame, table: str) -> DataFrame:
+    """:func:`typed` with a column for every other field that any record has, in order of name.
+
+    A field has the type that fits all its values; one of several types, or of objects, stays a
+    variant, one without values is text. A name that differs from an earlier one in case alone, or
+    that walks use themselves, gets ``_field`` after it. The fields are read from the records now:
+    a row per field comes to the driver.
+    """
+    schema = RECORD_FIELDS.get(table, T.StructType([T.StructField("uid", T.StringType())]))
+    known = schema.fieldNames()
+    found = merged_fields(records).filter(~F.col("field").isin(known)).select("field", "kind").collect()
+    taken = {c.lower() for c in (*known, *WALK_COLUMNS)}
+    cells = F.col("fields").cast("map<string, variant>")
+    columns = []
+    for field, kind in sorted((r["field"], r["kind"]) for r in found):
+        name = field
+        while name.lower() in taken:
+            name += "_field"
+        taken.add(name.lower())
+        value = F.try_element_at(cells, F.lit(field))
+        if kind == "VOID":
+            value = F.lit(None).cast("string")
+        elif re.match(_TYPED, kind):
+            value = F.try_variant_get(value, "$", kind)
+        columns.append(value.alias(name))
+    return records.select("id", *_typed_columns(schema), *columns)
 
 
 def field_names(records: DataFrame) -> DataFrame:

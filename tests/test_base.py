@@ -94,3 +94,22 @@ def test_audit(spark, base, tmp_path, keep):
     audit.write_split(audit.flag_files(listing, result.remote_seq), str(tmp_path / "split"))
     back = spark.read.parquet(str(tmp_path / "split"))
     assert {r.path: r.kind for r in back.collect()} == {"a": "good", "b": "problem", "c": "problem", "d": "problem"}
+
+
+def test_fields_that_no_schema_names_survive_walks(spark):
+    specimens = [
+        ("B", 1, {"uid": "FG1", "subject": [_id("S", 1)], "depth": 3, "Keep": "yes", "project": [_id("P", 9)], "note": "a", "id": "inner", "box": {"row": 1}}),
+        ("B", 2, {"uid": "FG2", "subject": [_id("S", 1)], "depth": 2.5, "note": 7, "tags": ["x", "y"], "nothing": None, "odd 'name'.x": True}),
+        ("B", 3, {"uid": "FG3", "subject": [_id("S", 2)]}),
+    ]
+    lines = {t: spark.createDataFrame([(json.dumps({"id": _id(k, n), "fields": f}),) for k, n, f in rows], "value string") for t, rows in {**RECORDS, "Biospecimens": specimens}.items()}
+    base = RecordBase(records.base_of(lines), all_fields=True)
+    found = {r["uid"]: r for r in base.biospecimens("one").collect()}
+    kinds = dict(base.biospecimens("one").dtypes)
+    assert kinds["note"] == kinds["box"] == "variant" and kinds["tags"] == "array<string>" and kinds["depth"].startswith("decimal")
+    assert float(found["FG1"]["depth"]) == 3 and float(found["FG2"]["depth"]) == 2.5 and found["FG3"]["depth"] is None
+    assert found["FG1"]["Keep_field"] == "yes" and found["FG1"]["id_field"] == "inner" and found["FG1"]["project"] == "one"
+    assert found["FG1"]["note"].toPython() == "a" and found["FG2"]["note"].toPython() == 7 and found["FG1"]["box"].toPython() == {"row": 1}
+    assert found["FG2"]["tags"] == ["x", "y"] and found["FG2"]["odd 'name'.x"] is True and found["FG2"]["nothing"] is None
+    mixed = {(r["tbl"], r["field"]): r["kinds"] for r in records.mixed_fields(base.records()).collect()}
+    assert mixed == {("Biospecimens", "note"): ["BIGINT", "STRING"], ("SequencingPrep", "sequencing_batch"): ["ARRAY", "STRING"]}
