@@ -112,6 +112,16 @@ SELECT '{"id":"' || s.id || '","fields":{"uid":"' || s.uid || '","project":["' |
   || CASE WHEN k % 5 = 0 THEN ',"Note (free)":' || CAST(k AS STRING) WHEN k % 5 = 1 THEN ',"Note (free)":"see ' || CAST(k AS STRING) || '"' ELSE '' END
   || CASE WHEN k % 2 = 0 THEN ',"weight":' || CAST(k % 90 AS STRING) WHEN k % 7 = 0 THEN ',"weight":' || CAST(k % 90 AS STRING) || '.5' ELSE '' END || '}}' AS value
 FROM (SELECT *, CAST(uid AS BIGINT) AS k FROM fx_subjects) AS s""",
+    # Lines of functional tables and profiles, several files of each; one file has no header, some
+    # rows lack a cell or have a word for a number.
+    "fx_table_lines": """
+SELECT 'd/S' || CAST(p_partkey % 40 AS STRING) || '_genefamilies.tsv' AS file, 'G' || CAST(p_partkey AS STRING) || '|g__a' || CASE WHEN p_partkey % 11 = 0 THEN ''
+  WHEN p_partkey % 13 = 0 THEN chr(9) || 'x' ELSE chr(9) || CAST(p_partkey AS STRING) || '.5' END AS value FROM part
+UNION ALL SELECT DISTINCT 'd/S' || CAST(p_partkey % 40 AS STRING) || '_genefamilies.tsv', '# Gene Family' || chr(9) || 'T' || CAST(p_partkey % 40 AS STRING) || '_Abundance-RPKs' FROM part WHERE p_partkey % 40 <> 7
+UNION ALL SELECT 'd/P' || CAST(p_partkey % 30 AS STRING) || '_profile.tsv', 'k__' || CAST(p_partkey AS STRING) || chr(9) || '2' || chr(9) || CAST(p_partkey % 100 AS STRING) || '.25' || CASE WHEN p_partkey % 3 = 0 THEN chr(9) ELSE '' END FROM part
+UNION ALL SELECT DISTINCT 'd/P' || CAST(p_partkey % 30 AS STRING) || '_profile.tsv', '#clade_name' || chr(9) || 'NCBI_tax_id' || chr(9) || 'relative_abundance' || chr(9) || 'additional_species' FROM part
+UNION ALL SELECT DISTINCT 'd/P' || CAST(p_partkey % 30 AS STRING) || '_profile.tsv', '#db' || CAST(p_partkey % 2 AS STRING) FROM part
+UNION ALL SELECT DISTINCT 'd/P' || CAST(p_partkey % 30 AS STRING) || '_profile.tsv', '#/bin/run --in x.fq' FROM part""",
     # Twenty files at a time: a chain of moves that ends at a free name, a cycle, a chain up to a file
     # that stays, and pairs that want one name.
     "fx_moves": """

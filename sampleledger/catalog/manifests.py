@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sampleledger.catalog.registry import query
 from sampleledger.fixed import EXPECTED_ARTEFACTS, FUNCTION_VERSION_TAG, PROFILE_DATABASE
 from sampleledger.plans import abundance, manifests
+from sampleledger.sources import abundance_tables
 
 _RAW = r"""
 SELECT s.sample, max(f.path) FILTER (WHERE regexp_matches(f.file, '_1\.(fastq|fq)(\.gz)?$', 'i')) AS paired_1,
@@ -185,6 +186,24 @@ def _(inputs):
     return manifests.matching_files(inputs["fx_raw"], inputs["fx_samples"])
 
 
+@query("m12_table_values", """
+SELECT 'd/S' || CAST(p_partkey % 40 AS STRING) || '_genefamilies.tsv' AS file, 'T' || CAST(p_partkey % 40 AS STRING) AS sample,
+  'G' || CAST(p_partkey AS STRING) || '|g__a' AS feature, p_partkey + CAST(0.5 AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS database
+FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 13 <> 0 AND p_partkey % 40 <> 7
+UNION ALL SELECT 'd/P' || CAST(p_partkey % 30 AS STRING) || '_profile.tsv', 'P' || CAST(p_partkey % 30 AS STRING), 'k__' || CAST(p_partkey AS STRING), p_partkey % 100 + CAST(0.25 AS DOUBLE), 'db' || CAST(p_partkey % 2 AS STRING) FROM part""")
+def _(inputs):
+    return abundance_tables.abundances(inputs["fx_table_lines"])
+
+
+@query("m12_rejected_rows", """
+SELECT 'd/S' || CAST(p_partkey % 40 AS STRING) || '_genefamilies.tsv' AS file, 'G' || CAST(p_partkey AS STRING) || '|g__a' || CASE WHEN p_partkey % 11 = 0 THEN ''
+    WHEN p_partkey % 13 = 0 THEN chr(9) || 'x' ELSE chr(9) || CAST(p_partkey AS STRING) || '.5' END AS value,
+  CASE WHEN p_partkey % 40 = 7 THEN 'header' WHEN p_partkey % 11 = 0 THEN 'cells' ELSE 'value' END AS reason
+FROM part WHERE p_partkey % 40 = 7 OR p_partkey % 11 = 0 OR p_partkey % 13 = 0""")
+def _(inputs):
+    return abundance_tables.rejected_rows(inputs["fx_table_lines"])
+
+
 _REGROUPED = """
 SELECT g.sample, CASE WHEN g.f = 'UNMAPPED' THEN 'UNMAPPED' ELSE coalesce(m.grp, 'UNGROUPED') END AS grp, g.taxon, sum(g.value) AS value
 FROM (SELECT sample, split_part(feature, '|', 1) AS f, CASE WHEN contains(feature, '|') THEN split_part(feature, '|', 2) END AS taxon, value FROM fx_genefamilies) g

@@ -137,3 +137,11 @@ UNMAPPED = "UNMAPPED"
 UNGROUPED = "UNGROUPED"
 UNINTEGRATED = "UNINTEGRATED"
 UNNAMED = "NO_NAME"
+
+# --- Fixed values: header lines of profiles and functional tables -----------------------
+PROFILE_COLUMNS_START = "#clade_name\t"
+PROFILE_VALUE_COLUMN = "relative_abundance"
+PROFILE_FILE_SUFFIX = r"_profile\.tsv"
+DATABASE_LINE_PATTERN = r"^#[^\s/]+$"
+TABLE_COLUMNS_PATTERN = r"^# [^\t]+\t"
+ABUNDANCE_COLUMN_PATTERN = r"_(Abundance|Coverage)(-\w+)?$"
