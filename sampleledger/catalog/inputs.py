@@ -250,6 +250,22 @@ FROM ox_parsed p JOIN (SELECT seqprep, count(DISTINCT coalesce(s_well, '-')) AS
     "ox_resolved": f"""
 SELECT p.file, p.dir, p.path, p.seqprep AS sample, p.s_well, p.suffix, {_PREP_RULE} AS seqprep
 FROM ox_old_parsed p WHERE p.seqprep IS NOT NULL""",
+    # A third of the biospecimens are recorded with "-" where their file names have "_". Distinct names
+    # are resolved once, by equality first, and the well is looked for in what is left.
+    "ox_known_as": """
+SELECT id, CASE WHEN CAST(right(uid, 4) AS BIGINT) % 3 = 1 THEN replace(uid, 'FG', 'FG-') ELSE uid END AS uid FROM fx_biospecimens""",
+    "ox_named": """
+SELECT 'd/' || f AS path, f AS file, s AS sample FROM (
+  SELECT replace(file, 'FG', CASE WHEN CAST(right(seqprep, 4) AS BIGINT) % 3 = 1 THEN 'FG_' ELSE 'FG' END) AS f,
+    replace(seqprep, 'FG', CASE WHEN CAST(right(seqprep, 4) AS BIGINT) % 3 = 1 THEN 'FG_' ELSE 'FG' END) AS s
+  FROM ox_old_parsed WHERE seqprep IS NOT NULL) AS x""",
+    "ox_specimen_of": """
+SELECT x.file, x.sample, CASE WHEN k.uid IS NOT NULL THEN x.sample ELSE translate(x.sample, '_-', '-_') END AS specimen
+FROM (SELECT DISTINCT file, sample FROM ox_named) x LEFT JOIN (SELECT DISTINCT uid FROM ox_known_as) k ON k.uid = x.sample""",
+    "ox_specimen_preps": "SELECT b.uid AS specimen, s.uid, s.s_well FROM ox_known_as b JOIN fx_seqpreps s ON s.biospecimen_id = b.id",
+    "ox_named_preps": "SELECT g.file, g.sample, s.uid, s.s_well FROM ox_specimen_of g JOIN ox_specimen_preps s ON s.specimen = g.specimen",
+    "ox_well_hits": """
+SELECT file, sample, count(*) AS n, min(uid) AS uid, min(s_well) AS s_well FROM ox_named_preps WHERE contains(file, '_' || s_well || '_') GROUP BY file, sample""",
     "ox_records": """
 SELECT 'Projects' AS tbl, id, uid FROM fx_projects UNION ALL SELECT 'Subjects', id, uid FROM fx_subjects
 UNION ALL SELECT 'Biospecimens', id, uid FROM fx_biospecimens UNION ALL SELECT 'SequencingPrep', id, uid FROM fx_seqpreps

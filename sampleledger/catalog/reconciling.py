@@ -75,14 +75,6 @@ def _(inputs):
 
 
 # A third of the biospecimens are recorded with "-" where their file names have "_".
-_KNOWN_AS = "SELECT id, CASE WHEN CAST(right(uid, 4) AS BIGINT) % 3 = 1 THEN replace(uid, 'FG', 'FG-') ELSE uid END AS uid FROM fx_biospecimens"
-_NAMED = """
-SELECT 'd/' || f AS path, f AS file, s AS sample FROM (
-  SELECT replace(file, 'FG', CASE WHEN CAST(right(seqprep, 4) AS BIGINT) % 3 = 1 THEN 'FG_' ELSE 'FG' END) AS f,
-    replace(seqprep, 'FG', CASE WHEN CAST(right(seqprep, 4) AS BIGINT) % 3 = 1 THEN 'FG_' ELSE 'FG' END) AS s
-  FROM ox_old_parsed WHERE seqprep IS NOT NULL) AS x"""
-
-
 def known_as(inputs: Inputs) -> DataFrame:
     third = F.right("uid", F.lit(4)).cast("bigint") % 3 == 1
     return inputs["fx_biospecimens"].withColumn(
@@ -103,14 +95,9 @@ def named_by_well(inputs: Inputs, times: int = 1) -> DataFrame:
     return reconcile.resolve_by_name_well(files, preps, specimens)
 
 
-BY_NAME_WELL_SQL = f"""
+BY_NAME_WELL_SQL = """
 SELECT f.path, f.file, f.sample, CASE WHEN h.n = 1 THEN h.uid END AS seqid, CASE WHEN h.n = 1 THEN h.s_well END AS remote_well
-FROM ({_NAMED}) f LEFT JOIN (
-  SELECT g.path, count(*) AS n, min(s.uid) AS uid, min(s.s_well) AS s_well FROM (
-    SELECT x.path, x.file, CASE WHEN k.uid IS NOT NULL THEN x.sample ELSE translate(x.sample, '_-', '-_') END AS specimen
-    FROM ({_NAMED}) x LEFT JOIN ({_KNOWN_AS}) k ON k.uid = x.sample) g
-  JOIN ({_KNOWN_AS}) b ON b.uid = g.specimen
-  JOIN fx_seqpreps s ON s.biospecimen_id = b.id AND contains(g.file, '_' || s.s_well || '_') GROUP BY g.path) h ON h.path = f.path"""
+FROM ox_named f LEFT JOIN ox_well_hits h ON h.file = f.file AND h.sample = f.sample"""
 
 
 @query("j12_resolved_by_name_well", BY_NAME_WELL_SQL)
