@@ -142,11 +142,69 @@ def _(inputs):
     return manifests.stage_plan(inputs["fx_runs"], inputs["fx_samples"], raw)
 
 
+_FLAGS = ", ".join(f"{rule} AS {stage}" for stage, rule in _RULES.items())
+_LACKS = f"""
+SELECT *, CASE WHEN NOT (clean_paired AND clean_single) THEN CASE WHEN NOT ok THEN 'raw' WHEN NOT clean_paired THEN 'clean_paired' ELSE 'clean_single' END END AS no_concat
+FROM (SELECT * REPLACE (clean_paired OR ok AND NOT pair AS clean_paired, clean_single OR ok AND NOT orphan AS clean_single), clean_paired AS was_paired, clean_single AS was_single FROM (
+  SELECT d.*, r.paired_1 IS NOT NULL AND r.paired_2 IS NOT NULL AS pair, r.unpaired IS NOT NULL AS orphan,
+    r.n_1 <= 1 AND (r.paired_1 IS NULL) = (r.paired_2 IS NULL) AND coalesce(r.paired_1, r.unpaired) IS NOT NULL AS ok
+  FROM (SELECT sample, {_FLAGS} FROM fx_samples) d JOIN ({_RAW}) r ON r.sample = d.sample) AS x) AS y"""
+_NO_PROFILE = "CASE WHEN NOT concat THEN coalesce(no_concat, 'concat') END"
+_NO_FAMILIES = f"CASE WHEN NOT concat THEN {_NO_PROFILE} WHEN NOT relab_profile THEN 'relab_profile' END"
+_STATES = {
+    "clean_paired": ("CASE WHEN ok AND NOT pair THEN 'not_needed' WHEN was_paired THEN 'done' END", "CASE WHEN NOT ok THEN 'raw' END"),
+    "clean_single": ("CASE WHEN ok AND NOT orphan THEN 'not_needed' WHEN was_single THEN 'done' END", "CASE WHEN NOT ok THEN 'raw' END"),
+    "concat": ("CASE WHEN concat THEN 'done' END", "no_concat"),
+    "relab_profile": ("CASE WHEN relab_profile THEN 'done' END", _NO_PROFILE),
+    "stats_profile": ("CASE WHEN stats_profile THEN 'done' END", f"CASE WHEN NOT relab_profile THEN coalesce({_NO_PROFILE}, 'relab_profile') END"),
+    "genefamilies": ("CASE WHEN genefamilies THEN 'done' END", _NO_FAMILIES),
+    "regroup_rename": ("CAST(NULL AS VARCHAR)", f"CASE WHEN NOT genefamilies THEN coalesce({_NO_FAMILIES}, 'genefamilies') END"),
+}
+_READY = " UNION ALL ".join(
+    f"SELECT sample, '{stage}' AS stage, coalesce({over}, CASE WHEN {lack} IS NULL THEN 'ready' ELSE 'blocked' END) AS state, CASE WHEN {over} IS NULL THEN {lack} END AS missing FROM lacks"
+    for stage, (over, lack) in _STATES.items()
+)
+
+
+@query("m07_ready_stages", f"SELECT * FROM (WITH lacks AS ({_LACKS}) {_READY}) AS r")
+def _(inputs):
+    raw = manifests.raw_inputs(inputs["fx_raw"], inputs["fx_samples"])
+    return manifests.ready_stages(inputs["fx_runs"], inputs["fx_samples"], raw)
+
+
+_BEFORE_OLDER = {"profile": "clean", "genefamilies": "profile"} | {f"regroup_{k}": "genefamilies" for k in ("kos", "pfams", "ecs")}
+_BEFORE_OLDER |= {f"rename_{k}": f"regroup_{k}" for k in ("kos", "pfams", "ecs")}
+
+
+def _older_ready() -> str:
+    """Each stage of the older pipeline with the last stage before it that leaves a gap."""
+    parts = []
+    for stage in ["clean", *_BEFORE_OLDER]:
+        lack, at = "CAST(NULL AS VARCHAR)", stage
+        chain = []
+        while at in _BEFORE_OLDER:
+            at = _BEFORE_OLDER[at]
+            chain.append(at)
+        for source in reversed(chain):
+            lack = f"CASE WHEN NOT {source} THEN coalesce({lack}, '{source}') END"
+        parts.append(
+            f"SELECT sample, '{stage}' AS stage, CASE WHEN {stage} THEN 'done' WHEN {lack} IS NULL THEN 'ready' ELSE 'blocked' END AS state, "
+            f"CASE WHEN NOT {stage} THEN {lack} END AS missing FROM flags"
+        )
+    flags = ", ".join(f"{_exists((e,))} AS {s}" for s, e in _OLDER.items())
+    return f"SELECT * FROM (WITH flags AS (SELECT sample, {flags} FROM fx_samples) {' UNION ALL '.join(parts)}) AS r"
+
+
 _OLDER = {"clean": "_kneaddata.log", "profile": "_profile.tsv", "genefamilies": "_genefamilies.tsv"}
 _OLDER |= {f"regroup_{k}": f"_{k}.tsv" for k in ("kos", "pfams", "ecs")}
 _OLDER |= {f"rename_{k}": f"_{k}_rename.tsv" for k in ("kos", "pfams", "ecs")}
 
 
+@query("m08_older_ready_stages", _older_ready())
+def _(inputs):
+    return manifests.older_ready_stages(inputs["fx_runs"], inputs["fx_samples"])
+
+
 @query("m08_older_stage_plan", _stages({s: _exists((e,)) for s, e in _OLDER.items()}))
 def _(inputs):
     return manifests.older_stage_plan(inputs["fx_runs"], inputs["fx_samples"])

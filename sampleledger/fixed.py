@@ -117,6 +117,27 @@ OLDER_STAGE_MARKERS = {
     "rename_pfams": ("{sample}_pfams_rename.tsv",),
     "rename_ecs": ("{sample}_ecs_rename.tsv",),
 }
+#: What each stage reads: raw reads or what other stages leave. Stages stand after those they read.
+STAGE_INPUTS = {
+    "clean_paired": ("raw",),
+    "clean_single": ("raw",),
+    "concat": ("clean_paired", "clean_single"),
+    "relab_profile": ("concat",),
+    "stats_profile": ("relab_profile",),
+    "genefamilies": ("concat", "relab_profile"),
+    "regroup_rename": ("genefamilies",),
+}
+OLDER_STAGE_INPUTS = {
+    "clean": ("raw",),
+    "profile": ("clean",),
+    "genefamilies": ("profile",),
+    "regroup_kos": ("genefamilies",),
+    "regroup_pfams": ("genefamilies",),
+    "regroup_ecs": ("genefamilies",),
+    "rename_kos": ("regroup_kos",),
+    "rename_pfams": ("regroup_pfams",),
+    "rename_ecs": ("regroup_ecs",),
+}
 EXPECTED_ARTEFACTS = {
     "relab_profile": "{sample}_{db}_RELAB_profile.tsv",
     "mapout": "{sample}_{db}_bowtie2.tsv",

@@ -12,8 +12,10 @@ from sampleledger.fixed import (
     EXPECTED_ARTEFACTS,
     FASTQ_PATTERN,
     FUNCTION_VERSION_TAG,
+    OLDER_STAGE_INPUTS,
     OLDER_STAGE_MARKERS,
     PROFILE_DATABASE,
+    STAGE_INPUTS,
     STAGE_MARKERS,
 )
 from sampleledger.operators.joins import contained
@@ -242,6 +244,20 @@ def stage_plan(
     has no marker: it runs every time. With a raw manifest, cleaning of reads that a sample does
     not have is ``not_needed``.
     """
+    wide, done, needed = _current_stages(files, samples, raw, dbs, tag)
+    status = {stage: F.when(flag, "done").otherwise("pending") for stage, flag in done.items()}
+    for stage, flag in needed.items():
+        status[stage] = F.when(~flag, "not_needed").otherwise(status[stage])
+    return _long(wide, status)
+
+
+def _current_stages(
+    files: DataFrame, samples: DataFrame, raw: DataFrame | None, dbs: Sequence[str], tag: str
+) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """Marker columns per sample, whether each stage is done, and whether cleaning is needed.
+
+    With a raw manifest ``raw_status`` is its status, NULL for a sample it does not have.
+    """
     markers = _per_database(STAGE_MARKERS, dbs)
     wide = _markers_found(files, samples, _endings(markers, tag))
     done = _done(markers)
@@ -250,13 +266,78 @@ def stage_plan(
         if stage.split(":")[0] == "relab_profile":
             readers = readers & flag
     done["concat"] = done["concat"] | readers
-    status = {stage: F.when(flag, "done").otherwise("pending") for stage, flag in done.items()}
-    status["regroup_rename"] = F.lit("pending")
-    if raw is not None:
-        wide = wide.join(pairing(raw).select("sample", "has_pair", "has_orphan"), "sample", "left")
-        for stage, needed in (("clean_paired", "has_pair"), ("clean_single", "has_orphan")):
-            status[stage] = F.when(~F.coalesce(F.col(needed), F.lit(False)), "not_needed").otherwise(status[stage])
-    return _long(wide, status)
+    done["regroup_rename"] = F.lit(False)
+    if raw is None:
+        return wide, done, {}
+    reads = pairing(raw).select("sample", "has_pair", "has_orphan", F.col("status").alias("raw_status"))
+    needed = {"clean_paired": "has_pair", "clean_single": "has_orphan"}
+    return wide.join(reads, "sample", "left"), done, {s: F.coalesce(c, F.lit(False)) for s, c in needed.items()}
+
+
+def _inputs_per_database(stages: Sequence[str], dbs: Sequence[str]) -> dict[str, list[str]]:
+    """What each of ``stages`` reads. A stage of a database reads what the same database gave; any
+    other reads the profile of the first."""
+    out = {}
+    for stage in stages:
+        name, _, db = stage.partition(":")
+        out[stage] = [
+            source if source in stages or source == "raw" else f"{source}:{db or dbs[0]}" for source in STAGE_INPUTS[name]
+        ]
+    return out
+
+
+def _with_states(
+    wide: DataFrame, done: Mapping[str, Column], unneeded: Mapping[str, Column], raw_there: Column, inputs: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """``(sample, stage, state, missing)``. What a sample has is a set of bits, raw reads first and then
+    the stages in order; what a stage lacks is the closure of its inputs over all that is not there."""
+    stages = list(inputs)
+    bit = {name: F.lit(1 << k).cast("long") for k, name in enumerate(["raw", *stages])}
+    skipped = {s: unneeded.get(s, F.lit(False)) & raw_there for s in stages}
+    have = F.when(raw_there, bit["raw"]).otherwise(0)
+    for stage in stages:
+        have = have.bitwiseOR(F.when(done[stage] | skipped[stage], bit[stage]).otherwise(0))
+    wide = wide.withColumn("_have", have)
+    lacks: dict[str, Column] = {"raw": F.lit(0).cast("long")}
+    for k, stage in enumerate(stages):
+        lack = F.lit(0).cast("long")
+        for source in inputs[stage]:
+            there = F.col("_have").bitwiseAND(bit[source]) != 0
+            lack = lack.bitwiseOR(F.when(there, F.lit(0)).otherwise(bit[source].bitwiseOR(lacks[source])))
+        wide, lacks[stage] = wide.withColumn(f"_lack_{k}", lack), F.col(f"_lack_{k}")
+    rows = []
+    for stage in stages:
+        state = F.when(skipped[stage], "not_needed").when(done[stage], "done").when(lacks[stage] == 0, "ready").otherwise("blocked")
+        first = F.coalesce(*[F.when(lacks[stage].bitwiseAND(b) != 0, name) for name, b in bit.items()])
+        rows.append(F.struct(F.lit(stage).alias("stage"), state.alias("state"), F.when(state == "blocked", first).alias("missing")))
+    return wide.select("sample", F.explode(F.array(*rows)).alias("r")).select("sample", "r.*")
+
+
+def ready_stages(
+    files: DataFrame,
+    samples: DataFrame,
+    raw: DataFrame | None = None,
+    dbs: Sequence[str] = (PROFILE_DATABASE,),
+    tag: str = FUNCTION_VERSION_TAG,
+) -> DataFrame:
+    """``(sample, stage, state, missing)``: what can run now.
+
+    A stage that is not done is ``ready`` when all that it reads is there, else ``blocked``, and
+    ``missing`` is the first thing to make, back along the stages that are not done: a stage that
+    is ready itself, or ``raw``. With a raw manifest raw reads are there when its status is ok, and
+    cleaning of reads that such a sample does not have is ``not_needed``; without one raw reads
+    count as there. Everything comes from the one grouping of :func:`stage_plan`.
+    """
+    wide, done, needed = _current_stages(files, samples, raw, dbs, tag)
+    there = F.lit(True) if raw is None else F.coalesce(F.col("raw_status") == "ok", F.lit(False))
+    ordered = [s for name in STAGE_INPUTS for s in done if s.split(":")[0] == name]
+    return _with_states(wide, done, {s: ~c for s, c in needed.items()}, there, _inputs_per_database(ordered, dbs))
+
+
+def older_ready_stages(files: DataFrame, samples: DataFrame) -> DataFrame:
+    """:func:`ready_stages` of the older pipeline, raw reads taken as there."""
+    wide = _markers_found(files, samples, _endings(OLDER_STAGE_MARKERS))
+    return _with_states(wide, _done(OLDER_STAGE_MARKERS), {}, F.lit(True), OLDER_STAGE_INPUTS)
 
 
 def older_stage_plan(files: DataFrame, samples: DataFrame) -> DataFrame:

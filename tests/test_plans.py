@@ -177,6 +177,59 @@ def test_stage_plan(spark):
     assert (needed["S1", "clean_single"], needed["S2", "clean_paired"], needed["S2", "clean_single"]) == ("not_needed", "not_needed", "pending")
 
 
+def plain_states(have, stages, inputs):
+    """State and first gap of every stage, by walking back from it."""
+    def gaps(stage):
+        out = set()
+        for source in inputs[stage]:
+            if source not in have:
+                out |= {source} | (gaps(source) if source != "raw" else set())
+        return out
+
+    order = ["raw", *stages]
+    found = {s: sorted(gaps(s), key=order.index) for s in stages}
+    return {s: ("done", None) if s in have else ("blocked", found[s][0]) if found[s] else ("ready", None) for s in stages}
+
+
+def test_ready_stages_of_random_runs(spark):
+    db, other = "mpa_vOct22_CHOCOPhlAnSGB_202403", "db2"
+    ends = {
+        "clean_paired": ["_kneaddata.log"], "clean_single": ["_kneaddata_single.log"], "concat": [".joined.fastq.gz"],
+        f"relab_profile:{db}": [f"_{db}_RELAB_profile.tsv", f"_{db}_bowtie2.tsv"], f"relab_profile:{other}": [f"_{other}_RELAB_profile.tsv", f"_{other}_bowtie2.tsv"],
+        f"stats_profile:{db}": [f"_{db}_STATS_profile.tsv"], f"stats_profile:{other}": [f"_{other}_STATS_profile.tsv"],
+        "genefamilies": ["_HM40_2_genefamilies.tsv"], "regroup_rename": [],
+    }
+    inputs = {
+        "clean_paired": ["raw"], "clean_single": ["raw"], "concat": ["clean_paired", "clean_single"], f"relab_profile:{db}": ["concat"],
+        f"relab_profile:{other}": ["concat"], f"stats_profile:{db}": [f"relab_profile:{db}"], f"stats_profile:{other}": [f"relab_profile:{other}"],
+        "genefamilies": ["concat", f"relab_profile:{db}"], "regroup_rename": ["genefamilies"],
+    }
+    rng, names, raws, want = random.Random(5), [], [], {}
+    for i in range(150):
+        sample, kind = f"S{i:03d}", rng.choice(["pair", "orphan", "both", "one_mate", "nothing"])
+        made = [e for group in ends.values() for e in group if rng.random() < 0.6]
+        names += [sample + e for e in made]
+        raws += [sample + e for e in {"pair": ["_1.fq", "_2.fq"], "orphan": [".fq"], "both": ["_1.fq", "_2.fq", ".fq"], "one_mate": ["_1.fq"], "nothing": []}[kind]]
+        have = {s for s, group in ends.items() if group and set(group) <= set(made)}
+        if {"genefamilies", f"relab_profile:{db}", f"relab_profile:{other}"} <= have:
+            have.add("concat")
+        skipped = {"pair": {"clean_single"}, "orphan": {"clean_paired"}}.get(kind, set())
+        raw = {"raw"} if kind in ("pair", "orphan", "both") else set()
+        states = plain_states(have | skipped | raw, list(ends), inputs)
+        want |= {(sample, s): ("not_needed", None) if s in skipped else v for s, v in states.items()}
+    ids = samples(spark, *[f"S{i:03d}" for i in range(150)])
+    plan = manifests.ready_stages(files(spark, *names), ids, manifests.raw_inputs(files(spark, *raws), ids), dbs=(db, other))
+    assert {(r.sample, r.stage): (r.state, r.missing) for r in plan.collect()} == want
+    assert {v[0] for v in want.values()} == {"done", "ready", "blocked", "not_needed"}
+
+
+def test_ready_stages_without_a_raw_manifest(spark):
+    plan = manifests.ready_stages(files(spark, "S1_kneaddata.log"), samples(spark, "S1"))
+    assert {r.stage: (r.state, r.missing) for r in plan.collect()} == {
+        "clean_paired": ("done", None), "clean_single": ("ready", None), "concat": ("blocked", "clean_single"), "relab_profile": ("blocked", "clean_single"),
+        "stats_profile": ("blocked", "clean_single"), "genefamilies": ("blocked", "clean_single"), "regroup_rename": ("blocked", "clean_single")}
+
+
 def test_matching_files(spark):
     listing = files(spark, "S1_1.fq", "S1_2.fq", "S10_1.fq", "xS2")
     got = {r.sample: r.n_files for r in manifests.matching_files(listing, samples(spark, "S1", "S10", "S2", "S3")).collect()}
