@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sampleledger.catalog.inputs import Inputs
 from sampleledger.catalog.registry import query
 from sampleledger.operators import links, lookups
-from sampleledger.sources import records, refresh, tables
+from sampleledger.sources import records, refresh, tables, versions
 
 _FX = {
     "Aliases": "fx_aliases",
@@ -28,7 +28,10 @@ _FX = {
 
 def stored_lines(inputs: Inputs, table: str) -> DataFrame:
     """A record table as the JSON lines of a snapshot."""
-    rows = inputs[_FX[table]]
+    return as_lines(inputs[_FX[table]])
+
+
+def as_lines(rows: DataFrame) -> DataFrame:
     fields = F.struct(*[F.col(c) for c in rows.columns if c != "id"])
     return rows.select(F.to_json(F.struct("id", fields.alias("fields"))).alias("value"))
 
@@ -88,6 +91,32 @@ def _(inputs):
     return tables.sample_list(lines)
 
 
+_N = "CAST(right(id, 4) AS INT)"
+
+
+@query("s11_snapshot_changes", f"""
+SELECT 'Biospecimens' AS tbl, * FROM (
+  SELECT id, 'removed' AS change, CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS old_value, CAST(NULL AS VARCHAR) AS new_value FROM fx_biospecimens WHERE {_N} % 7 IN (0, 1)
+  UNION ALL SELECT 'recZ' || right(id, 13), 'added', NULL, NULL, NULL FROM fx_biospecimens WHERE {_N} % 7 = 0
+  UNION ALL SELECT id, 'changed', 'subject_id', '"' || subject_id || '"', '"' || subject_id || 'x"' FROM fx_biospecimens WHERE {_N} % 7 = 2 AND subject_id IS NOT NULL
+  UNION ALL SELECT id, 'changed', 'visit_id', '"' || visit_id || '"', NULL FROM fx_biospecimens WHERE {_N} % 7 = 3 AND visit_id IS NOT NULL
+  UNION ALL SELECT id, 'changed', 'keep', CAST(keep AS VARCHAR), CAST(coalesce(keep, 0) + 1 AS VARCHAR) FROM fx_biospecimens WHERE {_N} % 7 = 4
+) AS c""")
+def _(inputs):
+    table = "Biospecimens"
+    rows = inputs["fx_biospecimens"]
+    n = F.expr(_N) % 7
+    newer = rows.filter(n != 1).select(
+        F.when(n == 0, F.concat(F.lit("recZ"), F.right("id", F.lit(13)))).otherwise(F.col("id")).alias("id"), "uid",
+        F.when(n == 2, F.concat("subject_id", F.lit("x"))).otherwise(F.col("subject_id")).alias("subject_id"),
+        F.when(n != 3, F.col("visit_id")).alias("visit_id"),
+        F.when(n == 4, F.coalesce("keep", F.lit(0)) + 1).otherwise(F.col("keep")).alias("keep"),
+    )
+    return versions.snapshot_changes(
+        records.parse_records(as_lines(rows), table), records.parse_records(as_lines(newer), table)
+    )
+
+
 _NOW = datetime.datetime(1996, 3, 31)
 _POLICY = """
 SELECT t.tbl, p.force, CASE WHEN p.tbl IS NULL THEN 1 ELSE p.months END AS months, CASE WHEN p.tbl IS NULL THEN 0 ELSE p.days END AS days
