@@ -63,7 +63,7 @@ def op9_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_target_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixture(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "size", "source_size", "target", "taken")
+    return found.select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from sampleledger.llm import bpe, langid, licenses, mixing, sharding, simhash, suffix_dedup, toxicity
@@ -440,6 +441,86 @@ def test_mixture_is_near_targets_and_repeats_itself(spark):
     assert {r["shard"] for r in copies.collect()} <= set(range(mixing.SHARDS))
 
 
+def plain_hash(*values):
+    """Spark's xxhash64 of ints (as 4 bytes), ``("long", n)`` and texts; nulls are passed over."""
+    out = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v.to_bytes(4, "little", signed=True) if isinstance(v, int) else v[1].to_bytes(8, "little", signed=True)
+        out = xxh64_intdigest(data, out)
+    return out - (1 << 64) if out >> 63 else out
+
+
+def plain_mixture(rows, block_docs, shards, seed=0):
+    """(doc_id, taken, shards) of every row: passes over permuted blocks, numbered, dealt by the tree."""
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    sources = {}
+    for i, text, source in rows:
+        sources.setdefault(source, []).append((plain_hash(seed, ("long", i), ("long", zlib.crc32(text.encode()))), words(text), i))
+    want = plain_targets({k: sum(w for _, w, _ in v) for k, v in sources.items()})
+    order, cuts = {}, {}
+    for source, mine in sources.items():
+        blocks, total = -(-len(mine) // block_docs), sum(w for _, w, _ in mine)
+        held = {}
+        for h, w, _ in mine:
+            held[h % blocks] = held.get(h % blocks, 0) + w
+        passes = int(want[source] // total)
+        left, order[source] = want[source] - passes * total, []
+        for turn in range(passes + 1):
+            for b in sorted(held, key=lambda b: (plain_hash(seed, turn, f"={source}", ("long", b)), b)):
+                if turn == passes and left <= 0:
+                    break
+                order[source].append((turn, b))
+                if turn == passes:
+                    if held[b] > left:
+                        cuts[source] = (turn, b, left)
+                    left -= held[b]
+    names = sorted(sources, key=lambda s: f"={s}")
+    ends = np.cumsum(mixing._split(np.array([len(order[s]) for s in names]), shards, seed), axis=1)
+    out = []
+    for source, mine in sources.items():
+        blocks = -(-len(mine) // block_docs)
+        dealt = {}
+        for number, (turn, b) in enumerate(order[source]):
+            dealt.setdefault(b, []).append((turn, int((ends[names.index(source)] <= number).sum())))
+        chosen = set()
+        if source in cuts:
+            turn, b, left = cuts[source]
+            for h, w in sorted(((h, w) for h, w, _ in mine if h % blocks == b), key=lambda x: (-x[1], x[0])):
+                if 0 < w <= left:
+                    chosen.add(h)
+                    left -= w
+        for h, w, i in mine:
+            mine_shards = [s for turn, s in dealt.get(h % blocks, []) if (turn, h % blocks) != cuts.get(source, (None,) * 3)[:2] or h in chosen]
+            out.append((i, w * len(mine_shards), tuple(mine_shards)))
+    return sorted(out)
+
+
+def test_mixture_is_the_plain_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 8)
+    monkeypatch.setattr(mixing, "SPAN_BLOCKS", 4)
+    rows = [(i, odd.prose(i, 1 + i % 30), "abcdefg"[min(i % 13, 6)]) for i in range(900)]
+    found = mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((r["doc_id"], r["taken"], tuple(r["shards"])) for r in found) == plain_mixture(rows, 8, mixing.SHARDS)
+
+
+def test_mixture_is_laid_out_by_shards(spark):
+    rows = [(i, odd.prose(i, 5), "ab"[i % 2]) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    place = {}
+    for r in mixing.mixed(docs).collect():
+        place.setdefault(r["doc_id"], []).append((r["shard"], r["order_key"]))
+    for part in mixing.resampled(docs).select("doc_id", F.spark_partition_id().alias("p")).groupBy("p").agg(F.collect_list("doc_id").alias("ids")).collect():
+        at = (-1, 0)
+        for i in part["ids"]:  # every row is the first place of its document that is not before the last row's
+            at = min(p for p in place[i] if p >= at)
+
+
+def test_a_hot_row_in_the_last_block(spark):
+    rows = [(1, odd.prose(1, 9), "a")] * 400 + [(i, odd.prose(i, 7), "ab"[i % 2]) for i in range(2, 400)]
+    found = mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == 798 and len({r["copies"] for r in found if r["doc_id"] == 1}) == 1
+
+
 def test_the_tree_splits_exactly():
     quotas = np.array([100, 1, 0, 37, 8])
     split = mixing._split(quotas, 8, 3)
