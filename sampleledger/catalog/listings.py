@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sampleledger.catalog.registry import query
 from sampleledger.fixed import DISK_NAME_PATTERN, STORE_NAME_PATTERN
 from sampleledger.functions import names
+from sampleledger.operators import lookups
 from sampleledger.sources import listings
 
 _PARTS = ", ".join(
@@ -112,6 +113,31 @@ def _(inputs):
     )
 
 
+#: Visit ids with numbers too large and missing ones among them.
+_ODD_VISITS = """
+SELECT visit FROM fx_visit_ids UNION ALL
+SELECT CASE WHEN s_suppkey % 4 <> 0 THEN 'SDM9999999999' || lpad(CAST(s_suppkey AS VARCHAR), 10, '0') || 'B' END FROM supplier"""
+
+
+def _odd_visits(inputs):
+    long = F.concat(F.lit("SDM9999999999"), F.lpad(F.col("s_suppkey").cast("string"), 10, "0"), F.lit("B"))
+    return inputs["fx_visit_ids"].select("visit").unionAll(inputs["supplier"].select(F.when(F.col("s_suppkey") % 4 != 0, long)))
+
+
+@query("p06_rejected_visits", rf"""
+SELECT visit, CASE WHEN visit IS NULL THEN 'missing' WHEN regexp_matches(visit, '^SDM?\d+[A-Z]$') THEN 'subject' ELSE 'pattern' END AS reason
+FROM ({_ODD_VISITS}) AS v WHERE visit IS NULL OR TRY_CAST(NULLIF(regexp_extract(visit, '^(SDM?)(\d+)([A-Z])$', 2), '') AS BIGINT) IS NULL""")
+def _(inputs):
+    return lookups.rejected_visits(_odd_visits(inputs))
+
+
+@query("p06_accepted_visits", rf"""
+SELECT visit, TRY_CAST(regexp_extract(visit, '^(SDM?)(\d+)([A-Z])$', 2) AS BIGINT) AS subject FROM ({_ODD_VISITS}) AS v
+WHERE TRY_CAST(NULLIF(regexp_extract(visit, '^(SDM?)(\d+)([A-Z])$', 2), '') AS BIGINT) IS NOT NULL""")
+def _(inputs):
+    return lookups.with_visits(_odd_visits(inputs)).select("visit", F.col("visit_id.subject").alias("subject"))
+
+
 @query("p07_profile_versions", r"""
 SELECT path, NULLIF(regexp_extract(first_line, 'mpa_v(\d+)_CHOCOPhlAn', 1), '') AS mpa_v FROM fx_first_lines""")
 def _(inputs):

@@ -86,6 +86,17 @@ def visit_id(text: Column) -> Column:
     return F.when(subject.isNotNull(), value)
 
 
+def visit_reject(text: Column) -> Column:
+    """Why a text is no visit id: ``missing``, ``pattern``, or ``subject`` (a number beyond 64 bits);
+    NULL for a visit id."""
+    subject = F.regexp_extract(text, VISIT_ID_PATTERN, 2)
+    return (
+        F.when(text.isNull(), "missing")
+        .when(~F.rlike(text, F.lit(VISIT_ID_PATTERN)), "pattern")
+        .when(subject.try_cast("bigint").isNull(), "subject")
+    )
+
+
 def subject_of(visit: Column) -> Column:
     return visit["subject"]
 

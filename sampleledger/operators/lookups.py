@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleledger.functions.names import is_record_id
+from sampleledger.functions.names import is_record_id, visit_id, visit_reject
 from sampleledger.operators.joins import attach, matched
 
 
@@ -90,6 +90,27 @@ def record_id_flags(values: DataFrame, column: str) -> DataFrame:
     return values.withColumn("is_record_id", is_record_id(F.col(column).cast("string")))
 
 
+class InvalidVisit(ValueError):
+    """Texts that are no visit ids; ``rejects`` is the table of them."""
+
+    def __init__(self, rejects: DataFrame):
+        super().__init__("there are texts that are no visit ids; see `rejects`")
+        self.rejects = rejects
+
+
+def rejected_visits(rows: DataFrame, column: str = "visit") -> DataFrame:
+    """Rows whose ``column`` is no visit id, with the ``reason``; it replaces a column of that name."""
+    return rows.withColumn("reason", visit_reject(F.col(column))).filter("reason IS NOT NULL")
+
+
+def with_visits(rows: DataFrame, column: str = "visit", into: str = "visit_id", check: bool = False) -> DataFrame:
+    """Rows with the parsed visit id as the struct ``into``, without those of :func:`rejected_visits`;
+    with ``check`` any such row is an error, raised now."""
+    if check and not (rejects := rejected_visits(rows, column)).isEmpty():
+        raise InvalidVisit(rejects)
+    return rows.withColumn(into, visit_id(F.col(column))).filter(F.col(into).isNotNull())
+
+
 def with_field(records: DataFrame, field: str) -> DataFrame:
     """Records that have the field (a column, or a key of ``fields``)."""
     if field in records.columns:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sampleledger.functions import names
+from sampleledger.operators import lookups
 
 DISK = {
     "SEQ01071_S26_kneaddata.log": ("SEQ01071", "S26", "kneaddata.log"),
@@ -70,3 +71,16 @@ def test_cleaned_pairs_and_prefixes(spark):
     }
     files = spark.createDataFrame([("b_S1_S2",), ("a_S1",), ("b_S9",), ("none",)], "file string")
     assert [r.prefix for r in names.distinct_prefixes(files, "_S").collect()] == ["a", "b"]
+
+
+def test_rejected_visits(spark):
+    texts = ["SD0012A", "SDM7Z", "sd1A", "SD1", "SD1a", "xSD1A", "SD" + "9" * 19 + "A", "", None, "SD1AB", "SD9223372036854775807C"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, visit string")
+    rejects = {r.visit: r.reason for r in lookups.rejected_visits(df).collect()}
+    assert rejects == {"sd1A": "pattern", "SD1": "pattern", "SD1a": "pattern", "xSD1A": "pattern", "SD" + "9" * 19 + "A": "subject", "": "pattern", None: "missing", "SD1AB": "pattern"}
+    kept = {r.visit: (r.visit_id.subject, r.visit_id.timepoint) for r in lookups.with_visits(df).collect()}
+    assert kept == {"SD0012A": (12, 1), "SDM7Z": (7, 26), "SD9223372036854775807C": (9223372036854775807, 3)}
+    with pytest.raises(lookups.InvalidVisit) as error:
+        lookups.with_visits(df, check=True)
+    assert error.value.rejects.count() == len(rejects)
+    assert lookups.with_visits(df.filter("n < 2"), check=True).count() == 2
