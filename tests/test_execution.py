@@ -9,7 +9,7 @@ import bench
 from sampleledger.catalog import queries
 from sampleledger.operators import audit, reconcile
 from sampleledger.operators.joins import contained, matched
-from sampleledger.plans import renames
+from sampleledger.plans import ordering, renames
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -156,3 +156,63 @@ def test_hot_target_is_split(spark):
     with splitting(spark):
         rows, plan = _final_plan(renames.rename_substring(listing, "ab", ""))
     assert rows == 60000 and "skew=true" in plan
+
+
+@pytest.mark.parametrize("key", ["r07_insert_database", "r06_rename_by_mapping", "r06_unmatched_ids", "r01_rename_unambiguous"])
+def test_nothing_that_grows_with_the_files_is_broadcast(spark, key):
+    """Nor where the statistics call it small: they know no rows that an explode makes."""
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold="1GB"):
+        plan = queries()[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert not [line for line in joins if any(c in line for c in ("_piece", "_l0", "_k0"))]
+
+
+def test_renames_in_order_broadcast_nothing_that_grows(spark, monkeypatch):
+    plans, keep = [], ordering.kept
+    monkeypatch.setattr(ordering, "kept", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    files = spark.createDataFrame([("d", "A1_x", "d/A1_x"), ("d", "A2_x", "d/A2_x")], "dir string, file string, path string")
+    rules = spark.createDataFrame([(1, "A1_", "A2_"), (2, "A2_", "B_")], "seq bigint, old_id string, new_id string")
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold="1GB"):
+        ordering.rename_in_order(files, rules)
+    assert plans and not any("BroadcastHashJoin" in plan for plan in plans)
+
+
+def test_unmatched_ids_meet_the_names_once(spark):
+    """One join, and names are cut by compiled code, not by functions on arrays."""
+    ids = spark.createDataFrame([("A1",), ("A2",), ("A1",), ("",), (None,)], "old_id string")
+    files = spark.createDataFrame([("xA1_A1",), ("A1",), ("A",), (None,)], "file string")
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold=-1):
+        df = renames.unmatched_ids(files, ids)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1
+    assert sorted(str(r.old_id) for r in df.collect()) == ["", "A2", "None"]
+
+
+def test_moves_resolve_their_names_once(spark):
+    """Files under two spellings, and files listed twice, are rows of one resolved listing."""
+    assert _shuffles(spark, "j12_repeated_paths") == _shuffles(spark, "j12_resolved_by_name_well")
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold=-1):
+        plan = queries()["r02_move_old_names"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Union") == 6
+
+
+def test_pair_files_are_not_made_distinct_before_they_are_grouped(spark):
+    files = spark.createDataFrame([("B1", "S1", "f"), ("B1", "S1", "f"), ("B2", "S1", "g")], "biospecimen string, s_well string, file string")
+    listing = spark.createDataFrame([("B1", "S1", "Q2"), ("B1", "S1", "Q1")], "biospecimen string, s_well string, sample string")
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold=-1):
+        df = reconcile.attach_samples(files, listing)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert [tuple(r) for r in df.collect()] == [("f", "B1", "S1", "Q1")]
+
+
+def test_words_of_a_file_listed_twice_hit_one_well(spark):
+    files = spark.createDataFrame([("p", "B1_S1_x", "B1"), ("p", "B1_S1_x", "B1"), ("q", "B1_S1_S2_x", "B1"), ("r", "B1_S3_x", "B1")], "path string, file string, sample string")
+    preps = spark.createDataFrame([("B1", 1, "Q1", "S1"), ("B1", 2, "Q2", "S2"), ("B1", 3, "Q3", "S3"), ("B1", 4, "Q4", "S3")], "biospecimen string, pos int, prep string, prep_well string")
+    uids = spark.createDataFrame([("B1",)], "uid string")
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold=-1):
+        df = reconcile.resolve_by_name_well(files, preps, uids)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    # one less than with the files made distinct first
+    assert plan.count("Exchange hashpartitioning") <= 9
+    assert sorted((r.path, r.seqid) for r in df.collect()) == [("p", "Q1"), ("p", "Q1"), ("q", None), ("r", None)]
