@@ -33,7 +33,7 @@ def order_moves(moves: DataFrame, listing: DataFrame) -> DataFrame:
     wanted = moves.groupBy("path").agg(F.min("newpath").alias("newpath"))
     going = wanted.filter("path <> newpath")
     first = going.groupBy("newpath").agg(F.min("path").alias("_first"))
-    chosen = kept(attach(going, first, "newpath", spread_by=["path"]).withColumn("clash", F.col("path") != F.col("_first")).drop("_first"))
+    chosen = kept(attach(going, first, "newpath", spread_by=["path"], both_grow=True).withColumn("clash", F.col("path") != F.col("_first")).drop("_first"))
     movers = chosen.filter(~F.col("clash")).select("path", "newpath")
     next_ = movers.select(F.col("path").alias("newpath"), F.lit(True).alias("_moves"))
     have = listing.select(F.col("path").alias("newpath"), F.lit(True).alias("_exists")).distinct()
@@ -87,7 +87,7 @@ def rename_in_order(files: DataFrame, mapping: DataFrame) -> DataFrame:
     while True:
         held = contained(state.select("name", F.col("seq").alias("last")).distinct(), "name", rules, "old_id").filter("seq > last")
         following = held.groupBy("name", "last").agg(F.min(F.struct("seq", "old_id", "new_id")).alias("rule"))
-        named = matched(state.withColumnRenamed("seq", "last"), following, ["name", "last"])
+        named = matched(state.withColumnRenamed("seq", "last"), following, ["name", "last"], both_grow=True)
         newname = replace_id(F.col("name"), F.col("rule.old_id"), F.col("rule.new_id"))
         made = kept(named.select("dir", "path", "name", "last", "rule.*", newname.alias("newname")))
         if made.isEmpty():
@@ -116,13 +116,13 @@ def _stops(first_names: DataFrame, steps: DataFrame) -> DataFrame:
         steps.select("dir", "path", F.col("newname").alias("name"), "at", "seq")
     )
     # whether a file leaves a name is told by its next rename, which carries the seq of the one before
-    holders = matched(holders, leaving, ["path", "seq"], "left").withColumn("slot", F.concat("dir", F.lit("/"), "name"))
+    holders = matched(holders, leaving, ["path", "seq"], "left", both_grow=True).withColumn("slot", F.concat("dir", F.lit("/"), "name"))
     left = kept(holders.select("slot", "dir", "at", "until"))
     own = steps.filter("name = newname").select("dir", "at")
     found = own
     while not left.isEmpty():
         heads = left.groupBy("slot").agg(F.min(F.struct("at", "until")).alias("head"))
-        later = matched(left, heads, "slot").filter(F.col("at") > F.col("head.at"))
+        later = matched(left, heads, "slot", both_grow=True).filter(F.col("at") > F.col("head.at"))
         late = kept(later.select("slot", "dir", "at", "until", (F.col("head.until").isNull() | (F.col("at") < F.col("head.until"))).alias("held")))
         found = found.union(late.filter("held").select("dir", "at"))
         left = late.filter("NOT held").drop("held")
