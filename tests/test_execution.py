@@ -216,3 +216,19 @@ def test_words_of_a_file_listed_twice_hit_one_well(spark):
     # one less than with the files made distinct first
     assert plan.count("Exchange hashpartitioning") <= 9
     assert sorted((r.path, r.seqid) for r in df.collect()) == [("p", "Q1"), ("p", "Q1"), ("q", None), ("r", None)]
+
+
+def _reused(spark, df):
+    """The plan, and how often it uses a shuffle that is there already."""
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold=-1, spark_sql_adaptive_enabled="false"):
+        plan = df(spark)._jdf.queryExecution().executedPlan().toString()
+    return plan, plan.count("ReusedExchange")
+
+
+@pytest.mark.parametrize("key", ["r04_replace_or_move", "a08_good_files"])
+def test_conditions_do_not_parse_names_again(spark, key):
+    """Nor do they go below the distinct keys, which are read and shuffled once for all uses."""
+    plan, _ = _reused(spark, lambda s: queries()[key](s, SF_DIR))
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_" in line]
+    if key != "a08_good_files":
+        assert sum("FileScan" in line and "lineitem" in line for line in plan.splitlines()) == 1
