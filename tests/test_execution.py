@@ -225,10 +225,16 @@ def _reused(spark, df):
     return plan, plan.count("ReusedExchange")
 
 
-@pytest.mark.parametrize("key", ["r04_replace_or_move", "a08_good_files"])
+@pytest.mark.parametrize("key", ["r04_replace_or_move", "r01_rename_unambiguous", "a08_good_files"])
 def test_conditions_do_not_parse_names_again(spark, key):
     """Nor do they go below the distinct keys, which are read and shuffled once for all uses."""
     plan, _ = _reused(spark, lambda s: queries()[key](s, SF_DIR))
     assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_" in line]
     if key != "a08_good_files":
         assert sum("FileScan" in line and "lineitem" in line for line in plan.splitlines()) == 1
+
+
+def test_wells_are_counted_on_the_shuffles_of_the_plan(spark):
+    renamed = spark.createDataFrame([("A", "S1", "p", "n")], "oldname string, s_well string, path string, newpath string").repartition(3, "path")
+    listing = spark.createDataFrame([("p",)], "path string")
+    assert _reused(spark, lambda s: renames.rename_unambiguous(renamed, listing))[1] >= 2
