@@ -225,7 +225,7 @@ def _reused(spark, df):
     return plan, plan.count("ReusedExchange")
 
 
-@pytest.mark.parametrize("key", ["r04_replace_or_move", "r01_rename_unambiguous", "a08_good_files"])
+@pytest.mark.parametrize("key", ["r04_replace_or_move", "r01_rename_unambiguous", "j11_resolved_samples", "a08_good_files"])
 def test_conditions_do_not_parse_names_again(spark, key):
     """Nor do they go below the distinct keys, which are read and shuffled once for all uses."""
     plan, _ = _reused(spark, lambda s: queries()[key](s, SF_DIR))
@@ -238,3 +238,10 @@ def test_wells_are_counted_on_the_shuffles_of_the_plan(spark):
     renamed = spark.createDataFrame([("A", "S1", "p", "n")], "oldname string, s_well string, path string, newpath string").repartition(3, "path")
     listing = spark.createDataFrame([("p",)], "path string")
     assert _reused(spark, lambda s: renames.rename_unambiguous(renamed, listing))[1] >= 2
+
+
+def test_choices_are_grouped_once(spark):
+    files = spark.createDataFrame([("p", "B1", "S1")], "path string, seqprep string, s_well string")
+    preps = spark.createDataFrame([("B1", 1, "Q1", "S1")], "biospecimen string, pos int, prep string, prep_well string")
+    _, reused = _reused(spark, lambda s: reconcile.resolve_samples(files, preps))
+    assert reused == 1
