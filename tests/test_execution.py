@@ -225,7 +225,7 @@ def _reused(spark, df):
     return plan, plan.count("ReusedExchange")
 
 
-@pytest.mark.parametrize("key", ["r04_replace_or_move", "r01_rename_unambiguous", "j11_resolved_samples", "a08_good_files"])
+@pytest.mark.parametrize("key", ["r04_replace_or_move", "r01_rename_unambiguous", "j11_resolved_samples", "r09_rename_pairs", "a08_good_files"])
 def test_conditions_do_not_parse_names_again(spark, key):
     """Nor do they go below the distinct keys, which are read and shuffled once for all uses."""
     plan, _ = _reused(spark, lambda s: queries()[key](s, SF_DIR))
@@ -234,6 +234,16 @@ def test_conditions_do_not_parse_names_again(spark, key):
         assert sum("FileScan" in line and "lineitem" in line for line in plan.splitlines()) == 1
 
 
+def test_plans_share_the_shuffles_below_their_targets(spark):
+    parsed = spark.createDataFrame([("d/A_S1", "A", "S1"), ("d/B_S1", "B", "S1"), ("d/Q9_S1", "Q9", "S1")], "path string, seqprep string, s_well string")
+    pairs = spark.createDataFrame([("A", "S1", "Q1"), ("B", "S1", "Q1")], "sample string, s_well string, seqprep string")
+    _, reused = _reused(spark, lambda s: renames.rename_pairs(parsed, pairs))
+    assert reused == 2
+    elsewhere = spark.createDataFrame([("d/Q1_S1",)], "path string")
+    assert {r.path: r.action for r in renames.rename_pairs(parsed, pairs).collect()} == {"d/A_S1": "rename", "d/B_S1": "clash"}
+    assert {r.action for r in renames.rename_pairs(parsed, pairs, elsewhere).collect()} == {"exists"}
+
+
 def test_wells_are_counted_on_the_shuffles_of_the_plan(spark):
     renamed = spark.createDataFrame([("A", "S1", "p", "n")], "oldname string, s_well string, path string, newpath string").repartition(3, "path")
     listing = spark.createDataFrame([("p",)], "path string")
