@@ -88,7 +88,7 @@ def flag_files(
 
 def _flag_by(listing: DataFrame, decided: DataFrame, known: Sequence[str]) -> DataFrame:
     per_sample = decided.select("seqprep", "s_well_ambiguity", "bad_uid")
-    return attach(listing, per_sample, "seqprep", spread_by=["path"], null_safe=True).withColumn(
+    return attach(listing, per_sample, "seqprep", spread_by=["path"], null_safe=True, hashed=True).withColumn(
         "bad_suffix", bad_suffix(F.col("suffix"), known)
     )
 
@@ -98,7 +98,7 @@ def well_ambiguity(listing: DataFrame) -> DataFrame:
     wells = sample_evidence(listing, KNOWN_SUFFIXES, {}).select(
         "seqprep", (F.col("n_wells") != 1).alias("s_well_ambiguity")
     )
-    return attach(listing, wells, "seqprep", spread_by=["path"], null_safe=True)
+    return attach(listing, wells, "seqprep", spread_by=["path"], null_safe=True, hashed=True)
 
 
 def unknown_uids(listing: DataFrame, remote_seq: DataFrame, uid: str = "uid") -> DataFrame:

@@ -114,6 +114,16 @@ def test_hot_sample_is_split_in_the_audit(spark):
     assert "skew=true" in plan
 
 
+@pytest.mark.parametrize("key", ["a01_well_ambiguity", "a08_good_files", "a08_problem_files"])
+def test_files_are_not_sorted_to_meet_their_samples(spark, key):
+    """A task makes a hash table of its samples; the files, many to a sample, stream by."""
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold=-1):
+        plan = queries()[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    [join] = [line for line in plan.splitlines() if "Join" in line and "_k0" in line]
+    assert "ShuffledHashJoin" in join and "BuildRight" in join
+    assert not [line for line in plan.splitlines() if "Sort [_k0" in line]
+
+
 def test_missing_samples_are_scattered(spark):
     """No partition of the join holds the third of the rows that has no sample."""
     files = _hot_listing(spark).filter("seqprep IS NULL OR seqprep <> 'HOT'")
